@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.oracle import AS_OF, AS_OF_2  # noqa: F401  (shared constants)
-from strata.plans import silver_financial
+from strata.plans import silver_financial, silver_incidents, silver_market
 from strata.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +24,32 @@ def silver_financial_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_financial.build(fx.raw_financial(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
 
 
+def silver_incidents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_incidents.build(fx.raw_incidents(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
+
+
+def silver_market_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_market.build(fx.raw_market(spark, sf_dir), tiebreak=TIEBREAK)
+
+
+def dedup_incidents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_incidents.winners(silver_incidents.typed(fx.raw_incidents(spark, sf_dir)), TIEBREAK)
+
+
+def dedup_financial_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_financial.winners(silver_financial.typed(fx.raw_financial(spark, sf_dir)), TIEBREAK)
+
+
+def dedup_market_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_market.winners(silver_market.typed(fx.raw_market(spark, sf_dir)), TIEBREAK)
+
+
 def queries() -> dict[str, Query]:
     return {
         "silver_financial": silver_financial_q,
+        "silver_incidents": silver_incidents_q,
+        "silver_market": silver_market_q,
+        "dedup_incidents": dedup_incidents_q,
+        "dedup_financial": dedup_financial_q,
+        "dedup_market": dedup_market_q,
     }
