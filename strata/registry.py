@@ -11,9 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.oracle import AS_OF, AS_OF_2  # noqa: F401  (shared constants)
-from strata.plans import silver_financial, silver_incidents, silver_market
+from strata.functions import rules
+from strata.operators import merge, stats
+from strata.plans import gold, silver_financial, silver_incidents, silver_market
 from strata.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +47,166 @@ def dedup_market_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_market.winners(silver_market.typed(fx.raw_market(spark, sf_dir)), TIEBREAK)
 
 
+# ---------------------------------------------------------------------------
+# Merge: targets are earlier silver states derived from the same data.
+# ---------------------------------------------------------------------------
+AS_OF_3 = "2001-03-01 00:00:00"
+
+
+def _knum(col: str = "incident_id"):
+    """Integer behind a valid ``yyyy-kkkk-kkk`` id (NULL otherwise)."""
+    c = F.col(col)
+    return F.substring(c, 6, 4).try_cast("int") * 1000 + F.substring(c, 11, 3).try_cast("int")
+
+
+def _valid_even(df: DataFrame, mod: int) -> DataFrame:
+    return df.where(F.col("incident_id").rlike(rules.INCIDENT_ID_PATTERN) & (_knum() % mod == 0))
+
+
+def _legacy(df: DataFrame) -> DataFrame:
+    """Target-only rows: ids moved to year 1999, so no source row matches them."""
+    return _valid_even(df, 8).withColumn("incident_id", F.concat(F.lit("1999-"), F.substring("incident_id", 6, 100)))
+
+
+def merge_incidents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = fx.raw_incidents(spark, sf_dir)
+    first = silver_incidents.build(raw, as_of=AS_OF, tiebreak=TIEBREAK)
+    target = (_valid_even(first, 2).withColumn("notes", F.concat(F.lit("stale "), F.col("notes")))
+              .unionByName(_legacy(first)).unionByName(first.where(F.col("incident_id").isNull())))
+    source = silver_incidents.build(raw, as_of=AS_OF_2, tiebreak=TIEBREAK)
+    return merge.upsert(target, source, "incident_id")
+
+
+def _financial_source(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
+    w = silver_financial.winners(silver_financial.typed(fx.raw_financial(spark, sf_dir)), TIEBREAK)
+    return silver_financial.derive(w, as_of)
+
+
+def merge_financial_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = silver_financial.build(fx.raw_financial(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
+    target = (_valid_even(first, 2).withColumns({
+        "notes": F.concat(F.lit("stale "), F.col("notes")),
+        "loss_range_valid_flag": F.lit(1), "data_quality_flag": F.lit(0)})
+        .unionByName(_legacy(first)))
+    return merge.upsert(target, _financial_source(spark, sf_dir, AS_OF_2), "incident_id")
+
+
+def _market_target(raw: DataFrame) -> DataFrame:
+    first = silver_market.build_table(raw, as_of=AS_OF, tiebreak=TIEBREAK)
+    k, ts = _knum(), F.col("bronze_ingestion_timestamp")
+    return _valid_even(first, 2).withColumns({
+        "notes": F.lit("stale"),
+        "bronze_ingestion_timestamp": F.when(k % 20 == 0, F.lit(None).cast("timestamp"))
+        .when(k % 4 == 0, ts - F.expr("INTERVAL 1 DAY")).otherwise(ts + F.expr("INTERVAL 1 DAY")),
+    })
+
+
+def _market_merge(spark: SparkSession, sf_dir: str):
+    raw = fx.raw_market(spark, sf_dir)
+    source = silver_market.build(raw, tiebreak=TIEBREAK)
+    return _market_target(raw), source
+
+
+NEWER = merge.newer_only("bronze_ingestion_timestamp")
+
+
+def merge_market_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, source = _market_merge(spark, sf_dir)
+    return merge.upsert(target, source, "incident_id", when=NEWER, stamp_col="silver_ingestion_timestamp",
+                        as_of=AS_OF_2)
+
+
+def merge_rerun_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, source = _market_merge(spark, sf_dir)
+    once = merge.upsert(target, source, "incident_id", when=NEWER, stamp_col="silver_ingestion_timestamp",
+                        as_of=AS_OF_2)
+    return merge.upsert(once, source, "incident_id", when=NEWER, stamp_col="silver_ingestion_timestamp",
+                        as_of=AS_OF_3)
+
+
+def merge_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, source = _market_merge(spark, sf_dir)
+    return merge.metrics(target, source, "incident_id", when=NEWER).select(
+        "num_updated_rows", "num_inserted_rows", "num_unchanged_rows")
+
+
+# ---------------------------------------------------------------------------
+# Gold and analysis
+# ---------------------------------------------------------------------------
+def _silvers(spark: SparkSession, sf_dir: str):
+    inc = silver_incidents.build(fx.raw_incidents(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
+    fin = silver_financial.build(fx.raw_financial(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
+    mkt = silver_market.build_table(fx.raw_market(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
+    return inc, fin, mkt
+
+
+def gold_fact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inc, fin, mkt = _silvers(spark, sf_dir)
+    return gold.build(inc, fx.dim_country(spark, sf_dir), fin, mkt)
+
+
+def country_lookup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inc = silver_incidents.build(fx.raw_incidents(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
+    return gold.with_country(inc.select("incident_id", "country_hq"), fx.dim_country(spark, sf_dir))
+
+
+def gold_left_joins_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inc, fin, mkt = _silvers(spark, sf_dir)
+    return gold.joined(inc, fx.dim_country(spark, sf_dir), fin, mkt).select(*gold.FACT_COLS)
+
+
+def safe_ratios_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold_fact_q(spark, sf_dir).select(
+        "incident_id", "total_loss_usd", "total_loss_revenue_ratio", "total_loss_employee_ratio",
+        "total_loss_downtime_ratio", "total_loss_data_compromised_records_ratio")
+
+
+def numeric_projection_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.numeric_projection(gold_fact_q(spark, sf_dir))
+
+
+X, Y = "company_revenue_usd", "total_loss_revenue_ratio"
+
+
+def pearson_zero_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.corr(gold_fact_q(spark, sf_dir), X, Y, nulls="zero")
+
+
+def pearson_pairwise_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.corr(gold_fact_q(spark, sf_dir), X, Y, nulls="pairwise")
+
+
+def correlation_matrix_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = gold_fact_q(spark, sf_dir)
+    return stats.corr_matrix(g, stats.numeric_columns(g), nulls="zero")
+
+
+def size_vs_loss_points_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = gold_fact_q(spark, sf_dir).select("incident_id", X, Y)
+    return stats.points(g, X, Y, cap=20_000, order=[X, Y, "incident_id"])
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pts = stats.points(gold_fact_q(spark, sf_dir), X, Y, cap=None)
+    return stats.quantile_bucket(pts, X, 5, stats.SIZE_LABELS)
+
+
+def size_quantile_bucket_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bucketed(spark, sf_dir).select("incident_id", X, "size_bucket")
+
+
+def box_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.box_summary(_bucketed(spark, sf_dir), "size_bucket", Y)
+
+
+def median_ratio_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.median_by_bucket(_bucketed(spark, sf_dir), "size_bucket", Y)
+
+
+def size_loss_density_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.log_density(gold_fact_q(spark, sf_dir), X, Y, 100).withColumnRenamed("n", "n")
+
+
 def queries() -> dict[str, Query]:
     return {
         "silver_financial": silver_financial_q,
@@ -52,4 +215,22 @@ def queries() -> dict[str, Query]:
         "dedup_incidents": dedup_incidents_q,
         "dedup_financial": dedup_financial_q,
         "dedup_market": dedup_market_q,
+        "merge_incidents": merge_incidents_q,
+        "merge_financial": merge_financial_q,
+        "merge_market_newer_only": merge_market_q,
+        "merge_rerun_idempotent": merge_rerun_q,
+        "merge_metrics": merge_metrics_q,
+        "gold_incident_fact": gold_fact_q,
+        "country_lookup": country_lookup_q,
+        "gold_left_joins": gold_left_joins_q,
+        "safe_ratios": safe_ratios_q,
+        "numeric_projection": numeric_projection_q,
+        "pearson_zero_fill": pearson_zero_q,
+        "pearson_pairwise": pearson_pairwise_q,
+        "correlation_matrix": correlation_matrix_q,
+        "size_vs_loss_points": size_vs_loss_points_q,
+        "size_quantile_bucket": size_quantile_bucket_q,
+        "box_summary_by_size": box_summary_q,
+        "median_ratio_by_size": median_ratio_q,
+        "size_loss_density": size_loss_density_q,
     }
