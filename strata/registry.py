@@ -14,8 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.oracle import AS_OF, AS_OF_2  # noqa: F401  (shared constants)
-from strata.functions import rules
-from strata.operators import merge, stats
+import uuid
+
+from strata import schemas
+from strata.functions import clean, rules
+from strata.operators import merge, profile, stats
+from strata.sources import io
 from strata.plans import gold, silver_financial, silver_incidents, silver_market
 from strata.sources import fixtures as fx
 
@@ -207,6 +211,247 @@ def size_loss_density_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.log_density(gold_fact_q(spark, sf_dir), X, Y, 100).withColumnRenamed("n", "n")
 
 
+# ---------------------------------------------------------------------------
+# Column-level keys: one projection over a raw or typed view.
+# ---------------------------------------------------------------------------
+def _raw_inc(spark, sf):
+    return fx.raw_incidents(spark, sf)
+
+
+def _raw_fin(spark, sf):
+    return fx.raw_financial(spark, sf)
+
+
+def _raw_mkt(spark, sf):
+    return fx.raw_market(spark, sf)
+
+
+def _typed_inc(spark, sf):
+    return silver_incidents.typed(fx.raw_incidents(spark, sf))
+
+
+def _typed_fin(spark, sf):
+    return silver_financial.typed(fx.raw_financial(spark, sf))
+
+
+def _typed_mkt(spark, sf):
+    return silver_market.typed(fx.raw_market(spark, sf))
+
+
+def _flags_mkt(spark, sf):
+    return silver_market.with_flags(_typed_mkt(spark, sf))
+
+
+def _inc_rules(*names):
+    return lambda: [silver_incidents.issue_rules()[n].alias(n) for n in names]
+
+
+def _fin_rules(*names):
+    return lambda: [silver_financial.issue_rules()[n].alias(n) for n in names]
+
+
+MKT_D2 = silver_market.DEC_18_2
+COLUMN_KEYS: dict[str, tuple] = {
+    "clean_trim_case": (_raw_inc, lambda: [
+        clean.norm("incident_id").alias("incident_id"), clean.norm("company_name", "upper").alias("company_name"),
+        clean.norm("attack_vector_primary", "lower").alias("attack_vector_primary"),
+        clean.norm("source_file", "lower").alias("source_file")]),
+    "clean_blank_null": (_raw_fin, lambda: [clean.blank_to_null("ransom_source").alias("ransom_source")]),
+    "clean_tokens_upper": (_raw_fin, lambda: [
+        clean.tokens_to_null(c, clean.FINANCIAL_NULL_TOKENS, "upper").alias(c)
+        for c in ("incident_id", "direct_loss_method", "total_loss_method")]),
+    "clean_tokens_lower": (_raw_mkt, lambda: [
+        clean.tokens_to_null(c, clean.MARKET_NULL_TOKENS, "lower").alias(c) for c in ("incident_id", "stock_ticker")]),
+    "clean_tokens_keepcase": (_raw_mkt, lambda: [
+        clean.tokens_to_null(c, clean.MARKET_NULL_TOKENS, None).alias(c) for c in ("sector_index", "source_file")]),
+    "clean_sentinel": (_raw_inc, lambda: [
+        clean.tokens_to_null("attribution_confidence", clean.INCIDENT_SENTINELS, "lower").alias(
+            "attribution_confidence")]),
+    "cast_strict": (_raw_inc, lambda: [
+        clean.cast("company_revenue_usd", "double", "fail").alias("company_revenue_usd"),
+        clean.cast("employee_count", "int", "fail").alias("employee_count"),
+        clean.cast("incident_date", "date", "fail").alias("incident_date"),
+        clean.cast("is_public_company", "boolean", "fail").alias("is_public_company"),
+        clean.cast("created_at", "timestamp", "fail").alias("created_at")]),
+    "parse_money": (_raw_fin, lambda: [clean.money(m).alias(m) for m in silver_financial.MONEY]),
+    "parse_grouped_decimal": (_raw_mkt, lambda: [
+        *[clean.number(m, "decimal(18,2)").alias(m) for m in MKT_D2],
+        clean.number("sector_return_same_period", "decimal(18,6)").alias("sector_return_same_period"),
+        clean.number("car_0_to_90", "decimal(18,6)").alias("car_0_to_90"),
+        clean.number("market_cap_at_disclosure", "decimal(20,2)").alias("market_cap_at_disclosure")]),
+    "parse_grouped_bigint": (_raw_mkt, lambda: [clean.number(m, "bigint").alias(m) for m in silver_market.BIGINTS]),
+    "parse_int": (_raw_mkt, lambda: [
+        clean.number("days_to_price_recovery", "int", strip=None).alias("days_to_price_recovery")]),
+    "parse_boolean": (_raw_mkt, lambda: [
+        clean.boolean("earnings_announcement_within_7d").alias("earnings_announcement_within_7d")]),
+    "parse_timestamp": (_raw_mkt, lambda: [
+        clean.timestamp("created_at").alias("created_at"), clean.timestamp("updated_at").alias("updated_at"),
+        clean.timestamp("ingestion_timestamp").alias("bronze_ingestion_timestamp")]),
+    "parse_cpi": (_raw_fin, lambda: [c.alias(n) for c, n in zip(clean.cpi("cpi_index_used"),
+                                                                 ("cpi_year", "cpi_value"))]),
+    "net_loss": (_typed_fin, lambda: [
+        F.col("total_loss_usd"), F.col("insurance_payout_usd"),
+        silver_financial.net_loss().cast("decimal(18,2)").alias("net_loss_after_insurance")]),
+    "positive_flags": (_typed_fin, lambda: [
+        clean.flag_positive("ransom_paid_usd").alias("ransom_paid_flag"),
+        clean.flag_positive("insurance_payout_usd").alias("insured_flag"),
+        clean.flag_positive("regulatory_fine_usd").alias("regulatory_penalty_flag")]),
+    "rule_format": (_typed_inc, _inc_rules("incident_id_format", "country_format", "industry_format")),
+    "rule_range": (_typed_inc, _inc_rules("revenue_range", "employee_range", "downtime_range")),
+    "rule_domain": (_typed_inc, _inc_rules("confidence_domain", "tier_domain", "grade_domain")),
+    "rule_cross_column": (_typed_fin, _fin_rules("loss_range", "cpi_pair")),
+    "rule_required": (_typed_inc, _inc_rules("public_required")),
+    "incident_date_flag": (_typed_inc, lambda: [silver_incidents.date_flag(AS_OF).alias("date_quality_flag")]),
+    "incident_dq_score": (_typed_inc, lambda: [silver_incidents.dq_issue_count().alias("dq_issue_count")]),
+    "financial_quality_flag": (_typed_fin, lambda: [
+        silver_financial.quality_flag().alias("financial_quality_flag")]),
+    "financial_dq_score": (_typed_fin, lambda: [silver_financial.dq_issue_count().alias("dq_issue_count")]),
+    "completeness_score": (_typed_fin, lambda: [
+        silver_financial.completeness().alias("completeness_score")]),
+    "market_dq_flags": (_flags_mkt, lambda: [F.col(f) for f in schemas.MARKET_DQ_FLAGS]),
+    "market_dq_rollup": (_flags_mkt, lambda: [F.col("dq_has_issues")]),
+}
+
+
+def _column_query(key: str) -> Query:
+    source, cols = COLUMN_KEYS[key]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return source(spark, sf_dir).select(F.col("notes"), *cols())
+    run.__name__ = f"{key}_q"
+    return run
+
+
+def key_not_null_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _typed_fin(spark, sf_dir).where(F.col("incident_id").isNotNull()).select("notes", "incident_id")
+
+
+def placeholder_nullify_all_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.placeholders_to_null(fx.raw_incidents(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Profiles of the bronze incidents table.
+# ---------------------------------------------------------------------------
+FOCUS_COL = "attribution_confidence"
+
+
+def null_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.nulls(fx.raw_incidents(spark, sf_dir))
+
+
+def dq_metrics_snapshot_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.metrics(fx.raw_incidents(spark, sf_dir), "bronze", "incidents_master_raw", AS_OF)
+
+
+def placeholder_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.placeholders(fx.raw_incidents(spark, sf_dir))
+
+
+def placeholder_values_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.placeholder_values(fx.raw_incidents(spark, sf_dir), FOCUS_COL)
+
+
+def nulls_after_clean_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.null_after_clean(clean.placeholders_to_null(fx.raw_incidents(spark, sf_dir)), FOCUS_COL)
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks.  Each run writes below its own folder of the shared
+# work area, so reruns and concurrent runs never see each other's files.
+# ---------------------------------------------------------------------------
+RAW_VIEWS = {"incidents_master_raw": (fx.raw_incidents, "incidents_master.csv"),
+             "financial_impact_raw": (fx.raw_financial, "financial_impact.csv"),
+             "market_impact_raw": (fx.raw_market, "market_impact.csv")}
+LINEAGE = ["ingestion_timestamp", "source_file"]
+
+
+def _run_id() -> str:
+    return uuid.uuid4().hex[:12]
+
+
+def _landed_csv(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    """The incidents file as the source system would deliver it, read back by the CSV scan."""
+    path = io.table_location(spark, "landing.incidents_master_csv", run)
+    io.write_csv(fx.raw_incidents(spark, sf_dir).drop(*LINEAGE), path)
+    return io.read_csv(spark, path)
+
+
+def bronze_csv_scan_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed_csv(spark, sf_dir, _run_id())
+
+
+def bronze_lineage_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return io.add_lineage(_landed_csv(spark, sf_dir, _run_id()), "incidents_master.csv", as_of=AS_OF)
+
+
+def bronze_overwrite_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = _run_id()
+    io.ensure_schemas(spark)
+    bronze = io.add_lineage(_landed_csv(spark, sf_dir, run), "incidents_master.csv", as_of=AS_OF)
+    loc = io.table_location(spark, "bronze.incidents_master_raw", run)
+    io.write_table(bronze, "bronze.incidents_master_raw", "overwrite", loc)
+    return io.write_table(bronze, "bronze.incidents_master_raw", "overwrite", loc)
+
+
+def describe_bronze_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return io.describe(bronze_overwrite_q(spark, sf_dir))
+
+
+def layer_schemas_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = _run_id()
+    io.ensure_schemas(spark)
+    missing = [n for n in io.LAYERS if not spark.catalog.databaseExists(n)]
+    if missing:
+        raise RuntimeError(f"schemas not created: {missing}")
+    out = None
+    for table, (view, source_name) in RAW_VIEWS.items():
+        name = f"bronze.{table}"
+        raw = view(spark, sf_dir).drop(*LINEAGE)
+        t = io.write_table(io.add_lineage(raw, source_name, AS_OF), name, "overwrite",
+                           io.table_location(spark, name, run))
+        counted = t.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(
+            F.lit("bronze").alias("layer"), F.lit(table).alias("table_name"), "rows")
+        out = counted if out is None else out.unionByName(counted)
+    return out
+
+
+def file_inventory_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = None
+    for t in fx.DRIVER_TABLES:
+        inv = io.file_inventory(fx.table(spark, sf_dir, t))
+        out = inv if out is None else out.unionByName(inv)
+    return out
+
+
+def dq_metrics_append_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = _run_id()
+    io.ensure_schemas(spark)
+    name = "audit.data_quality_metrics"
+    loc = io.table_location(spark, name, run)
+    io.create_table(spark, name, schemas.METRICS, replace=True, path=loc)
+    bronze = fx.raw_incidents(spark, sf_dir)
+    for as_of in (AS_OF, AS_OF_2):
+        io.write_table(profile.metrics(bronze, "bronze", "incidents_master_raw", as_of), name, "append", loc)
+    return spark.table(name)
+
+
+def conform_financial_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schemas.conform(_financial_source(spark, sf_dir, AS_OF), schemas.FINANCIAL)
+
+
+def table_replace_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = _run_id()
+    io.ensure_schemas(spark)
+    name = "silver.financial_impact"
+    loc = io.table_location(spark, name, run)
+    rows = silver_financial.build(fx.raw_financial(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
+    for _ in range(2):  # full refresh twice: the table holds one copy
+        io.create_table(spark, name, schemas.FINANCIAL, replace=True, path=loc)
+        io.write_table(rows, name, "append", loc)
+    return spark.table(name)
+
+
 def queries() -> dict[str, Query]:
     return {
         "silver_financial": silver_financial_q,
@@ -233,4 +478,21 @@ def queries() -> dict[str, Query]:
         "box_summary_by_size": box_summary_q,
         "median_ratio_by_size": median_ratio_q,
         "size_loss_density": size_loss_density_q,
+        **{k: _column_query(k) for k in COLUMN_KEYS},
+        "key_not_null": key_not_null_q,
+        "placeholder_nullify_all": placeholder_nullify_all_q,
+        "null_profile": null_profile_q,
+        "dq_metrics_snapshot": dq_metrics_snapshot_q,
+        "placeholder_profile": placeholder_profile_q,
+        "placeholder_values": placeholder_values_q,
+        "nulls_after_clean": nulls_after_clean_q,
+        "layer_schemas": layer_schemas_q,
+        "bronze_csv_scan": bronze_csv_scan_q,
+        "bronze_lineage": bronze_lineage_q,
+        "bronze_overwrite_idempotent": bronze_overwrite_q,
+        "describe_bronze": describe_bronze_q,
+        "file_inventory": file_inventory_q,
+        "dq_metrics_append": dq_metrics_append_q,
+        "conform_financial": conform_financial_q,
+        "table_replace": table_replace_q,
     }

@@ -311,6 +311,10 @@ def dim_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(_table(spark, sf_dir, "nation"), dim_country_columns(SPARK))
 
 
+DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+                 "benchmark labels conversations").split()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table by name (``orders``, ``lineitem``, ...)."""
     return _table(spark, sf_dir, name)
