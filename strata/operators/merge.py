@@ -6,11 +6,13 @@
     WHEN MATCHED [AND when] THEN UPDATE SET *
     WHEN NOT MATCHED THEN INSERT *
 
-Plan: one full outer equi-join on the key.  A NULL key never matches: such
-rows bypass the join entirely (target rows are kept, source rows inserted), so
-a pile of NULL keys cannot become one hot shuffle partition.  When ``source``
-comes straight out of ``dedup.winner`` it is already hash-partitioned by the
-key, and only the target side is exchanged.
+Plan: ONE full outer equi-join, on ``(key, salt)``.  ``salt`` is 0 for every
+row with a key and a deterministic ``xxhash64`` of the row for a NULL key.  A
+NULL key never matches (``NULL = NULL`` is not true), exactly as in MERGE, and
+the salt spreads NULL-key rows over all shuffle partitions instead of piling
+them into the one partition that ``hash(NULL)`` selects.  The salt is a pure
+function of the row, so a recomputed task sends every row to the same
+partition again.  Target and source are each read and shuffled once.
 
 Columns of the target missing from the source are left as they are on update
 and NULL on insert.  ``stamp_col`` receives ``as_of`` only on rows that were
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from strata.functions.clean import now
 
 _T, _S = "__strata_in_target", "__strata_in_source"
+_SALT = "__strata_salt"
 
 #: Condition of the market silver: update only when the target has no bronze
 #: time or the source is strictly newer.
@@ -36,13 +39,15 @@ def newer_only(ts_col: str) -> Callable[[Callable[[str], Column], Callable[[str]
     return cond
 
 
-def _joined(target: DataFrame, source: DataFrame, key: str):
-    t = target.withColumn(_T, F.lit(True)).alias("t")
-    s = source.withColumn(_S, F.lit(True)).alias("s")
-    t_keyed, t_null = t.where(F.col(f"t.{key}").isNotNull()), t.where(F.col(f"t.{key}").isNull())
-    s_keyed, s_null = s.where(F.col(f"s.{key}").isNotNull()), s.where(F.col(f"s.{key}").isNull())
-    j = t_keyed.join(s_keyed, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
-    return j, t_null, s_null
+def _salt(df: DataFrame, key: str) -> Column:
+    return F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(F.lit(0).cast("long"))
+
+
+def _joined(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    t = target.withColumns({_T: F.lit(True), _SALT: _salt(target, key)}).alias("t")
+    s = source.withColumns({_S: F.lit(True), _SALT: _salt(source, key)}).alias("s")
+    cond = (F.col(f"t.{key}") == F.col(f"s.{key}")) & (F.col(f"t.{_SALT}") == F.col(f"s.{_SALT}"))
+    return t.join(s, cond, "full_outer")
 
 
 def _decide(j: DataFrame, when) -> tuple[Column, Column, Column]:
@@ -59,7 +64,7 @@ def _decide(j: DataFrame, when) -> tuple[Column, Column, Column]:
 def upsert(target: DataFrame, source: DataFrame, key: str,
            when: Callable | None = None, stamp_col: str | None = None, as_of=None) -> DataFrame:
     """The merged target (columns and order of ``target``)."""
-    j, t_null, s_null = _joined(target, source, key)
+    j = _joined(target, source, key)
     in_t, in_s, take = _decide(j, when)
     src_cols = set(source.columns)
     out = []
@@ -72,24 +77,15 @@ def upsert(target: DataFrame, source: DataFrame, key: str,
         else:
             e = F.when(in_t, tc).otherwise(F.lit(None).cast(target.schema[name].dataType))
         out.append(e.alias(name))
-    merged = j.select(*out)
-    kept = t_null.select(*[F.col(f"t.{c}").alias(c) for c in target.columns])
-    inserted = s_null.select(*[
-        (now(as_of) if c == stamp_col else (F.col(f"s.{c}") if c in src_cols else F.lit(None)))
-        .cast(target.schema[c].dataType).alias(c)
-        for c in target.columns])
-    return merged.unionByName(kept).unionByName(inserted)
+    return j.select(*out)
 
 
 def metrics(target: DataFrame, source: DataFrame, key: str, when: Callable | None = None) -> DataFrame:
     """One row: rows updated, inserted, left unchanged, and the merged total."""
-    j, t_null, s_null = _joined(target, source, key)
+    j = _joined(target, source, key)
     in_t, _, take = _decide(j, when)
-    decided = (j.select(in_t.alias("in_t"), take.alias("take"))
-               .unionByName(t_null.select(F.lit(True).alias("in_t"), F.lit(False).alias("take")))
-               .unionByName(s_null.select(F.lit(False).alias("in_t"), F.lit(True).alias("take"))))
-    it, tk = F.col("in_t"), F.col("take")
-    return decided.agg(
+    it, tk = in_t, take
+    return j.agg(
         F.count_if(it & tk).cast("bigint").alias("num_updated_rows"),
         F.count_if(~it & tk).cast("bigint").alias("num_inserted_rows"),
         F.count_if(it & ~tk).cast("bigint").alias("num_unchanged_rows"),

@@ -29,20 +29,30 @@ ROLLUP_FLAGS = ["dq_invalid_incident_id", "dq_invalid_stock_ticker", "dq_invalid
                 "dq_invalid_p_value_30d", "dq_invalid_updated_before_created", "dq_invalid_boolean_token"]
 
 
+NUMERIC_TYPES = {**{m: "decimal(18,2)" for m in DEC_18_2}, **{m: "bigint" for m in BIGINTS},
+                 **{m: "decimal(18,6)" for m in DEC_18_6_A}, "market_cap_at_disclosure": "decimal(20,2)",
+                 **{m: "decimal(18,6)" for m in DEC_18_6_B}, "days_to_price_recovery": "int"}
+
+
 def typed(raw: DataFrame) -> DataFrame:
+    """Two projections: cleaned text of every numeric field, then the tolerant casts."""
     tok = clean.MARKET_NULL_TOKENS
     s = lambda name: F.col(name).cast("string")
+    text = raw.select(
+        *[clean.number_text(m, strip=None if m == "days_to_price_recovery" else ",").alias(m)
+          for m in NUMERIC_TYPES],
+        *[c for c in ("incident_id", "stock_ticker", "sector_index", "earnings_announcement_within_7d", "notes",
+                      "created_at", "updated_at", "ingestion_timestamp", "source_file")])
     spec = [
         ("incident_id", clean.tokens_to_null(s("incident_id"), tok, "lower")),
         ("stock_ticker", clean.tokens_to_null(s("stock_ticker"), tok, "lower")),
-        *[(m, clean.number(m, "decimal(18,2)")) for m in DEC_18_2],
-        *[(m, clean.number(m, "bigint")) for m in BIGINTS],
+        *[(m, clean.parse_number_text(m, NUMERIC_TYPES[m])) for m in DEC_18_2 + BIGINTS],
         ("sector_index", clean.tokens_to_null(s("sector_index"), tok, None)),
-        *[(m, clean.number(m, "decimal(18,6)")) for m in DEC_18_6_A],
+        *[(m, clean.parse_number_text(m, NUMERIC_TYPES[m])) for m in DEC_18_6_A],
         ("earnings_announcement_within_7d", clean.boolean("earnings_announcement_within_7d")),
-        ("market_cap_at_disclosure", clean.number("market_cap_at_disclosure", "decimal(20,2)")),
-        *[(m, clean.number(m, "decimal(18,6)")) for m in DEC_18_6_B],
-        ("days_to_price_recovery", clean.number("days_to_price_recovery", "int", strip=None)),
+        ("market_cap_at_disclosure", clean.parse_number_text("market_cap_at_disclosure", "decimal(20,2)")),
+        *[(m, clean.parse_number_text(m, NUMERIC_TYPES[m])) for m in DEC_18_6_B],
+        ("days_to_price_recovery", clean.parse_number_text("days_to_price_recovery", "int")),
         ("notes", clean.tokens_to_null(s("notes"), tok, None)),
         ("created_at", clean.timestamp("created_at")),
         ("updated_at", clean.timestamp("updated_at")),
@@ -50,7 +60,7 @@ def typed(raw: DataFrame) -> DataFrame:
         ("source_file", clean.tokens_to_null(s("source_file"), tok, None)),
         (RAW_BOOL, F.trim(s("earnings_announcement_within_7d"))),
     ]
-    return clean.select_cleaned(raw, spec)
+    return clean.select_cleaned(text, spec)
 
 
 def boolean_token_flag() -> Column:

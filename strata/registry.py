@@ -19,6 +19,7 @@ import uuid
 from strata import schemas
 from strata.functions import clean, rules
 from strata.operators import merge, profile, stats
+from strata.session import materialize
 from strata.sources import io
 from strata.plans import gold, silver_financial, silver_incidents, silver_market
 from strata.sources import fixtures as fx
@@ -191,7 +192,7 @@ def size_vs_loss_points_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pts = stats.points(gold_fact_q(spark, sf_dir), X, Y, cap=None)
+    pts = materialize(stats.points(gold_fact_q(spark, sf_dir).select("incident_id", X, Y), X, Y, cap=None))
     return stats.quantile_bucket(pts, X, 5, stats.SIZE_LABELS)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Session settings every entry point relies on.  AQE re-plans joins and
 #: coalesces shuffle partitions at runtime; skew join splits hot partitions.
@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Wide cleaning projections generate methods above the JIT's 8000-byte
+    # limit; without this flag they run interpreted (about 4x slower).
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
@@ -65,3 +69,25 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts])
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage: a reliable checkpoint in the shared folder.
+
+    Used where one intermediate result feeds several actions or branches (the
+    gold fact behind bucket edges, quartiles and whiskers).  Never a
+    local checkpoint: an executor lost later would take the data with it.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks (default parallelism).
+
+    A scan of a few small files yields one task per row group: all of the
+    following narrow work would then run on one core.  Inputs already split
+    wider than that are returned untouched, so at scale this adds no shuffle.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

@@ -17,10 +17,15 @@ injected at fixed residues of the row keys.
 
 from __future__ import annotations
 
+import hashlib
+import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.session import shared_dir, spread
+
 
 @dataclass(frozen=True)
 class Dialect:
@@ -289,24 +294,61 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _select(df: DataFrame, cols: list[tuple[str, str]]) -> DataFrame:
-    return df.selectExpr(*[f"{expr} AS {name}" for name, expr in cols])
+    return spread(df).selectExpr(*[f"{expr} AS {name}" for name, expr in cols])
 
 
-def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     base = orders.selectExpr("*", "0 AS copy").unionByName(
         orders.where("o_orderkey % 10 = 0").selectExpr("*", "1 AS copy"))
     return _select(base, incidents_columns(SPARK))
 
 
-def raw_financial(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_financial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(_table(spark, sf_dir, "lineitem"), financial_columns(SPARK))
 
 
-def raw_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(_table(spark, sf_dir, "events"), market_columns(SPARK))
 
 
+# ---------------------------------------------------------------------------
+# Bronze tables: each raw view is derived once per session and stored as
+# Parquet in the shared folder, like the reference's bronze ingest writes
+# tables that every silver job then reads.  Keyed by input folder and by a
+# digest of the expressions, so a changed derivation never reads stale files.
+# ---------------------------------------------------------------------------
+_DERIVE = {"raw_incidents": derive_incidents, "raw_financial": derive_financial, "raw_market": derive_market}
+_STORED: dict[tuple, str] = {}
+
+
+def _digest() -> str:
+    text = repr([incidents_columns(SPARK), financial_columns(SPARK), market_columns(SPARK)])
+    return hashlib.sha1(text.encode()).hexdigest()[:12]
+
+
+def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name, _digest())
+    path = _STORED.get(key)
+    if path is None:
+        path = shared_dir(spark, "bronze", uuid.uuid4().hex[:12], name)
+        _DERIVE[name](spark, sf_dir).write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(path)
+
+
+def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze(spark, sf_dir, "raw_incidents")
+
+
+def raw_financial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze(spark, sf_dir, "raw_financial")
+
+
+def raw_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze(spark, sf_dir, "raw_market")
+
+
 def dim_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(_table(spark, sf_dir, "nation"), dim_country_columns(SPARK))
 
