@@ -28,7 +28,7 @@ SIZE_LABELS = ["Q1 (smallest)", "Q2", "Q3", "Q4", "Q5 (largest)"]
 REFERENCE_NUMERIC_DTYPES = ("int", "bigint", "double", "float", "decimal", "long", "short")
 
 #: Above this many rows, quantiles switch from exact to approximate.
-EXACT_QUANTILE_MAX_ROWS = 20_000_000
+EXACT_QUANTILE_MAX_ROWS = 5_000_000
 
 
 def numeric_columns(df: DataFrame, include_decimal: bool = False) -> list[str]:

@@ -109,7 +109,11 @@ def winners(df: DataFrame, tiebreak=None, drop_null_key: bool = False) -> DataFr
 def build(raw: DataFrame, as_of=None, tiebreak=None, drop_null_key: bool = False,
           on_error: str = "null") -> DataFrame:
     """Raw incidents -> silver rows (37 columns, one per incident_id)."""
-    w = winners(typed(raw, on_error), tiebreak, drop_null_key)
+    return finish(winners(typed(raw, on_error), tiebreak, drop_null_key), as_of)
+
+
+def finish(w: DataFrame, as_of=None) -> DataFrame:
+    """Score and stamp winner rows; conform to the silver schema."""
     scored = w.withColumns({
         "date_quality_flag": date_flag(as_of),
         "dq_issue_count": dq_issue_count(),

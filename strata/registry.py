@@ -73,31 +73,37 @@ def _legacy(df: DataFrame) -> DataFrame:
     return _valid_even(df, 8).withColumn("incident_id", F.concat(F.lit("1999-"), F.substring("incident_id", 6, 100)))
 
 
+# The earlier silver state (merge target) and the new batch (merge source) come
+# from the same winners: computed once, stored (checkpoint), used twice.
+
 def merge_incidents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fx.raw_incidents(spark, sf_dir)
-    first = silver_incidents.build(raw, as_of=AS_OF, tiebreak=TIEBREAK)
+    w = materialize(silver_incidents.winners(silver_incidents.typed(fx.raw_incidents(spark, sf_dir)), TIEBREAK))
+    first = silver_incidents.finish(w, AS_OF)
     target = (_valid_even(first, 2).withColumn("notes", F.concat(F.lit("stale "), F.col("notes")))
               .unionByName(_legacy(first)).unionByName(first.where(F.col("incident_id").isNull())))
-    source = silver_incidents.build(raw, as_of=AS_OF_2, tiebreak=TIEBREAK)
-    return merge.upsert(target, source, "incident_id")
+    return merge.upsert(target, silver_incidents.finish(w, AS_OF_2), "incident_id")
+
+
+def _financial_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_financial.winners(silver_financial.typed(fx.raw_financial(spark, sf_dir)), TIEBREAK)
 
 
 def _financial_source(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
-    w = silver_financial.winners(silver_financial.typed(fx.raw_financial(spark, sf_dir)), TIEBREAK)
-    return silver_financial.derive(w, as_of)
+    return silver_financial.derive(_financial_winners(spark, sf_dir), as_of)
 
 
 def merge_financial_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = silver_financial.build(fx.raw_financial(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
+    w = materialize(_financial_winners(spark, sf_dir))
+    first = schemas.conform(silver_financial.derive(w, AS_OF), schemas.FINANCIAL)
     target = (_valid_even(first, 2).withColumns({
         "notes": F.concat(F.lit("stale "), F.col("notes")),
         "loss_range_valid_flag": F.lit(1), "data_quality_flag": F.lit(0)})
         .unionByName(_legacy(first)))
-    return merge.upsert(target, _financial_source(spark, sf_dir, AS_OF_2), "incident_id")
+    return merge.upsert(target, silver_financial.derive(w, AS_OF_2), "incident_id")
 
 
-def _market_target(raw: DataFrame) -> DataFrame:
-    first = silver_market.build_table(raw, as_of=AS_OF, tiebreak=TIEBREAK)
+def _market_target(source: DataFrame) -> DataFrame:
+    first = schemas.conform(source.withColumn("silver_ingestion_timestamp", clean.now(AS_OF)), schemas.MARKET)
     k, ts = _knum(), F.col("bronze_ingestion_timestamp")
     return _valid_even(first, 2).withColumns({
         "notes": F.lit("stale"),
@@ -107,9 +113,8 @@ def _market_target(raw: DataFrame) -> DataFrame:
 
 
 def _market_merge(spark: SparkSession, sf_dir: str):
-    raw = fx.raw_market(spark, sf_dir)
-    source = silver_market.build(raw, tiebreak=TIEBREAK)
-    return _market_target(raw), source
+    source = materialize(silver_market.build(fx.raw_market(spark, sf_dir), tiebreak=TIEBREAK))
+    return _market_target(source), source
 
 
 NEWER = merge.newer_only("bronze_ingestion_timestamp")

@@ -91,3 +91,22 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
+def scale_conf(input_bytes: int, executors_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a run over ``input_bytes`` of Parquet on ``executors_cores`` task slots.
+
+    * shuffle partitions: enough that each holds ~``target_partition_bytes``
+      before AQE coalesces small ones (never fewer than 2 waves of tasks);
+    * scan splits of 512 MB: wide string rows decode slower than they read;
+    * skew join: split partitions 5x the median and above 256 MB.
+    E.g. 100 TB on 8,000 cores -> 409,600 shuffle partitions, coalesced at runtime.
+    """
+    parts = max(2 * executors_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    }
