@@ -175,15 +175,23 @@ def timestamp(c: Column | str, tokens: Sequence[str] = MARKET_NULL_TOKENS) -> Co
     return F.try_to_timestamp(tokens_to_null(v, tokens, case="lower"))
 
 
-def cpi(c: Column | str) -> tuple[Column, Column]:
+def cpi_value_text(c: Column | str) -> Column:
+    """First parenthesised text of a price-index label ('' when there is none)."""
+    return F.regexp_extract(_col(c), r"\(([^)]+)\)", 1)
+
+
+def cpi(c: Column | str, value_text: Column | str | None = None) -> tuple[Column, Column]:
     """Split a price-index label into (year INT, value DECIMAL(10,2)).
 
-    Year = first run of four digits; value = first parenthesised text.
+    Year = first run of four digits; value = first parenthesised text.  Pass
+    ``value_text`` (a column holding ``cpi_value_text(c)``, computed in an
+    earlier projection) to run the extraction once instead of once per
+    reference inside the cast's guard.
     """
     col = _col(c)
     year = F.regexp_extract(col, r"(\d{4})", 1).try_cast("int")
-    value = to_decimal(F.regexp_extract(col, r"\(([^)]+)\)", 1), "decimal(10,2)")
-    return year, value
+    text = cpi_value_text(col) if value_text is None else _col(value_text)
+    return year, to_decimal(text, "decimal(10,2)")
 
 
 def flag_positive(c: Column | str) -> Column:

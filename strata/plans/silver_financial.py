@@ -23,7 +23,8 @@ MONEY = ["direct_loss_usd", "ransom_demanded_usd", "ransom_paid_usd", "recovery_
 
 def typed(raw: DataFrame) -> DataFrame:
     tok = clean.FINANCIAL_NULL_TOKENS
-    year, value = clean.cpi("cpi_index_used")
+    raw = raw.withColumn("__cpi_value_text", clean.cpi_value_text("cpi_index_used"))
+    year, value = clean.cpi("cpi_index_used", "__cpi_value_text")
     spec = [
         ("incident_id", clean.tokens_to_null("incident_id", tok, "upper")),
         ("direct_loss_method", clean.tokens_to_null("direct_loss_method", tok, "upper")),

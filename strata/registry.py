@@ -214,7 +214,7 @@ def median_ratio_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def size_loss_density_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.log_density(gold_fact_q(spark, sf_dir), X, Y, 100).withColumnRenamed("n", "n")
+    return stats.log_density(gold_fact_q(spark, sf_dir), X, Y, 100)
 
 
 # ---------------------------------------------------------------------------

@@ -31,10 +31,16 @@ def _check_ident(name: str) -> str:
     return name
 
 
-def ensure_schemas(spark: SparkSession, names: Sequence[str] = LAYERS) -> list[str]:
-    """CREATE SCHEMA IF NOT EXISTS for each layer; returns the names."""
+def ensure_schemas(spark: SparkSession, names: Sequence[str] = LAYERS, location_root: str | None = None) -> list[str]:
+    """CREATE SCHEMA IF NOT EXISTS for each layer; returns the names.
+
+    ``location_root`` places each schema's folder there (default: the shared
+    work folder); pass ``""`` to use the catalog's own warehouse location.
+    """
+    root = shared_dir(spark, "warehouse") if location_root is None else location_root
     for n in names:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_check_ident(n)}")
+        loc = f" LOCATION '{root.rstrip('/')}/{_check_ident(n)}.db'" if root else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_check_ident(n)}{loc}")
     return list(names)
 
 

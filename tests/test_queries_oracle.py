@@ -44,3 +44,14 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert "total_loss_revenue_ratio" in df.columns
     assert Counter(df.columns)["incident_id"] == 1
+
+
+PY_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+            "CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_plans_stay_in_the_jvm(spark, key):
+    """No Python UDF, no cartesian or nested-loop join in any registered query."""
+    plan = entry.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not [n for n in PY_NODES if n in plan]
