@@ -56,6 +56,12 @@ def norm(c: Column | str, case: str | None = None) -> Column:
     raise ValueError(f"case must be 'upper', 'lower' or None, not {case!r}")
 
 
+def key_case(c: Column | str, case: str | None) -> Column:
+    """Optionally fold a business key to one case so that keys of all feeds join."""
+    col = _col(c)
+    return F.upper(col) if case == "upper" else F.lower(col) if case == "lower" else col
+
+
 def blank_to_null(c: Column | str) -> Column:
     """Trimmed text, NULL when nothing is left.  Case is kept."""
     return F.nullif(F.trim(_col(c)), F.lit(""))

@@ -21,12 +21,13 @@ MONEY = ["direct_loss_usd", "ransom_demanded_usd", "ransom_paid_usd", "recovery_
          "total_loss_upper_bound", "inflation_adjusted_usd"]
 
 
-def typed(raw: DataFrame) -> DataFrame:
+def typed(raw: DataFrame, key_case: str | None = "upper") -> DataFrame:
+    """Cleaning and typing; the key is upper-cased (the reference's policy) unless ``key_case`` says otherwise."""
     tok = clean.FINANCIAL_NULL_TOKENS
     raw = raw.withColumn("__cpi_value_text", clean.cpi_value_text("cpi_index_used"))
     year, value = clean.cpi("cpi_index_used", "__cpi_value_text")
     spec = [
-        ("incident_id", clean.tokens_to_null("incident_id", tok, "upper")),
+        ("incident_id", clean.key_case(clean.tokens_to_null("incident_id", tok, None), key_case or None)),
         ("direct_loss_method", clean.tokens_to_null("direct_loss_method", tok, "upper")),
         ("total_loss_method", clean.tokens_to_null("total_loss_method", tok, "upper")),
         ("ransom_source", clean.blank_to_null("ransom_source")),
@@ -107,6 +108,6 @@ def derive(w: DataFrame, as_of=None) -> DataFrame:
     })
 
 
-def build(raw: DataFrame, as_of=None, tiebreak=None) -> DataFrame:
+def build(raw: DataFrame, as_of=None, tiebreak=None, key_case: str | None = "upper") -> DataFrame:
     """Raw financial rows -> silver rows (31 columns; the two never-filled ones are NULL)."""
-    return schemas.conform(derive(winners(typed(raw), tiebreak), as_of), schemas.FINANCIAL)
+    return schemas.conform(derive(winners(typed(raw, key_case), tiebreak), as_of), schemas.FINANCIAL)

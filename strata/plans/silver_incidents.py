@@ -18,12 +18,15 @@ from strata.operators import dedup
 KEY = "incident_id"
 
 
-def typed(raw: DataFrame, on_error: str = "null") -> DataFrame:
-    """Cleaning and typing of every raw column (the ``base`` step)."""
+def typed(raw: DataFrame, on_error: str = "null", key_case: str | None = None) -> DataFrame:
+    """Cleaning and typing of every raw column (the ``base`` step).
+
+    The key is trimmed only (its case kept) unless ``key_case`` folds it.
+    """
     n, cast = clean.norm, clean.cast
     c = F.col
     spec = [
-        ("incident_id", n("incident_id")),
+        ("incident_id", clean.key_case(n("incident_id"), key_case)),
         ("company_name", n("company_name", "upper")),
         ("company_revenue_usd", cast("company_revenue_usd", "double", on_error)),
         ("country_hq", n("country_hq", "upper")),
@@ -107,9 +110,9 @@ def winners(df: DataFrame, tiebreak=None, drop_null_key: bool = False) -> DataFr
 
 
 def build(raw: DataFrame, as_of=None, tiebreak=None, drop_null_key: bool = False,
-          on_error: str = "null") -> DataFrame:
+          on_error: str = "null", key_case: str | None = None) -> DataFrame:
     """Raw incidents -> silver rows (37 columns, one per incident_id)."""
-    return finish(winners(typed(raw, on_error), tiebreak, drop_null_key), as_of)
+    return finish(winners(typed(raw, on_error, key_case), tiebreak, drop_null_key), as_of)
 
 
 def finish(w: DataFrame, as_of=None) -> DataFrame:

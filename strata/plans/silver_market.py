@@ -34,8 +34,13 @@ NUMERIC_TYPES = {**{m: "decimal(18,2)" for m in DEC_18_2}, **{m: "bigint" for m
                  **{m: "decimal(18,6)" for m in DEC_18_6_B}, "days_to_price_recovery": "int"}
 
 
-def typed(raw: DataFrame) -> DataFrame:
-    """Two projections: cleaned text of every numeric field, then the tolerant casts."""
+def typed(raw: DataFrame, key_case: str | None = "lower", lenient_int: bool = False) -> DataFrame:
+    """Two projections: cleaned text of every numeric field, then the tolerant casts.
+
+    The key is lower-cased (the reference's policy) unless ``key_case`` says
+    otherwise.  ``lenient_int`` parses integer fields written as ``12.0`` (a
+    float-typed CSV export) instead of giving NULL.
+    """
     tok = clean.MARKET_NULL_TOKENS
     s = lambda name: F.col(name).cast("string")
     text = raw.select(
@@ -44,15 +49,16 @@ def typed(raw: DataFrame) -> DataFrame:
         *[c for c in ("incident_id", "stock_ticker", "sector_index", "earnings_announcement_within_7d", "notes",
                       "created_at", "updated_at", "ingestion_timestamp", "source_file")])
     spec = [
-        ("incident_id", clean.tokens_to_null(s("incident_id"), tok, "lower")),
+        ("incident_id", clean.key_case(clean.tokens_to_null(s("incident_id"), tok, None), key_case or None)),
         ("stock_ticker", clean.tokens_to_null(s("stock_ticker"), tok, "lower")),
-        *[(m, clean.parse_number_text(m, NUMERIC_TYPES[m])) for m in DEC_18_2 + BIGINTS],
+        *[(m, clean.parse_number_text(m, NUMERIC_TYPES[m])) for m in DEC_18_2],
+        *[(m, clean.parse_number_text(m, NUMERIC_TYPES[m], lenient_int)) for m in BIGINTS],
         ("sector_index", clean.tokens_to_null(s("sector_index"), tok, None)),
         *[(m, clean.parse_number_text(m, NUMERIC_TYPES[m])) for m in DEC_18_6_A],
         ("earnings_announcement_within_7d", clean.boolean("earnings_announcement_within_7d")),
         ("market_cap_at_disclosure", clean.parse_number_text("market_cap_at_disclosure", "decimal(20,2)")),
         *[(m, clean.parse_number_text(m, NUMERIC_TYPES[m])) for m in DEC_18_6_B],
-        ("days_to_price_recovery", clean.parse_number_text("days_to_price_recovery", "int")),
+        ("days_to_price_recovery", clean.parse_number_text("days_to_price_recovery", "int", lenient_int)),
         ("notes", clean.tokens_to_null(s("notes"), tok, None)),
         ("created_at", clean.timestamp("created_at")),
         ("updated_at", clean.timestamp("updated_at")),
@@ -119,9 +125,9 @@ def winners(df: DataFrame, tiebreak=None) -> DataFrame:
 SOURCE_COLUMNS = [f.name for f in schemas.MARKET.fields if f.name != "silver_ingestion_timestamp"]
 
 
-def build(raw: DataFrame, tiebreak=None) -> DataFrame:
+def build(raw: DataFrame, tiebreak=None, key_case: str | None = "lower", lenient_int: bool = False) -> DataFrame:
     """Raw market rows -> merge source (52 columns, one per incident_id, no silver stamp)."""
-    w = with_flags(winners(typed(raw), tiebreak))
+    w = with_flags(winners(typed(raw, key_case, lenient_int), tiebreak))
     return w.select(*SOURCE_COLUMNS)
 
 

@@ -61,6 +61,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="strata-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", base)

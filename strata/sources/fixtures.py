@@ -293,8 +293,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _select(df: DataFrame, cols: list[tuple[str, str]]) -> DataFrame:
-    return spread(df).selectExpr(*[f"{expr} AS {name}" for name, expr in cols])
+def _select(df: DataFrame, cols: list[tuple[str, str]], spread_input: bool = True) -> DataFrame:
+    return (spread(df) if spread_input else df).selectExpr(*[f"{expr} AS {name}" for name, expr in cols])
 
 
 def derive_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,7 +350,7 @@ def raw_market(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(_table(spark, sf_dir, "nation"), dim_country_columns(SPARK))
+    return _select(_table(spark, sf_dir, "nation"), dim_country_columns(SPARK), spread_input=False)
 
 
 DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "

@@ -64,3 +64,27 @@ def test_p_value_flags(spark):
     df = spark.createDataFrame([(-0.1,), (0.0,), (1.0,), (1.1,), (None,)], "p_value_1d double")
     flag = silver_market.flag_rules()["dq_invalid_p_value_1d"]
     assert [x[0] for x in df.select(flag).collect()] == [1, 0, 0, 1, 0]
+
+
+def test_key_case_unifies_feeds(spark, sf_small):
+    from strata.sources import fixtures as fx
+
+    fin = silver_financial.typed(fx.raw_financial(spark, sf_small), key_case="lower")
+    assert fin.where(F.col("incident_id") == "unknown").count() > 0          # hot key kept, folded
+    default = silver_financial.typed(fx.raw_financial(spark, sf_small))
+    assert default.where(F.col("incident_id") == "UNKNOWN").count() > 0      # reference policy
+
+
+def test_market_lenient_int(spark):
+    raw = spark.createDataFrame([("2021-0000-001", "12.0", "7.0")],
+                                "incident_id string, volume_avg_30d_baseline string, days_to_price_recovery string")
+    for c in silver_market.NUMERIC_TYPES:
+        if c not in raw.columns:
+            raw = raw.withColumn(c, F.lit(None).cast("string"))
+    for c in ("stock_ticker", "sector_index", "earnings_announcement_within_7d", "notes", "created_at", "updated_at",
+              "ingestion_timestamp", "source_file"):
+        raw = raw.withColumn(c, F.lit(None).cast("string"))
+    strict = silver_market.typed(raw).first()
+    lenient = silver_market.typed(raw, lenient_int=True).first()
+    assert (strict.volume_avg_30d_baseline, strict.days_to_price_recovery) == (None, None)
+    assert (lenient.volume_avg_30d_baseline, lenient.days_to_price_recovery) == (12, 7)
