@@ -192,8 +192,11 @@ def correlation_matrix_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def size_vs_loss_points_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All points with both measures present.  The reference capped them at
+    20,000 only to protect driver memory before plotting; nothing is collected
+    here, so no row is dropped (``stats.points(cap=...)`` keeps the option)."""
     g = gold_fact_q(spark, sf_dir).select("incident_id", X, Y)
-    return stats.points(g, X, Y, cap=20_000, order=[X, Y, "incident_id"])
+    return stats.points(g, X, Y, cap=None)
 
 
 def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
