@@ -14,6 +14,11 @@ them into the one partition that ``hash(NULL)`` selects.  The salt is a pure
 function of the row, so a recomputed task sends every row to the same
 partition again.  Target and source are each read and shuffled once.
 
+With ``salt_nulls=False`` the join is on the key alone: use it when the
+target is stored bucketed on the key (``io.write_table(bucket_by=...)``), so
+the target side is read co-partitioned and only the source is shuffled; the
+price is that all NULL-key target rows sit in one bucket.
+
 Columns of the target missing from the source are left as they are on update
 and NULL on insert.  ``stamp_col`` receives ``as_of`` only on rows that were
 updated or inserted.
@@ -43,7 +48,10 @@ def _salt(df: DataFrame, key: str) -> Column:
     return F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(F.lit(0).cast("long"))
 
 
-def _joined(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def _joined(target: DataFrame, source: DataFrame, key: str, salt_nulls: bool = True) -> DataFrame:
+    if not salt_nulls:
+        t, s = target.withColumn(_T, F.lit(True)).alias("t"), source.withColumn(_S, F.lit(True)).alias("s")
+        return t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
     t = target.withColumns({_T: F.lit(True), _SALT: _salt(target, key)}).alias("t")
     s = source.withColumns({_S: F.lit(True), _SALT: _salt(source, key)}).alias("s")
     cond = (F.col(f"t.{key}") == F.col(f"s.{key}")) & (F.col(f"t.{_SALT}") == F.col(f"s.{_SALT}"))
@@ -62,9 +70,10 @@ def _decide(j: DataFrame, when) -> tuple[Column, Column, Column]:
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str,
-           when: Callable | None = None, stamp_col: str | None = None, as_of=None) -> DataFrame:
+           when: Callable | None = None, stamp_col: str | None = None, as_of=None,
+           salt_nulls: bool = True) -> DataFrame:
     """The merged target (columns and order of ``target``)."""
-    j = _joined(target, source, key)
+    j = _joined(target, source, key, salt_nulls)
     in_t, in_s, take = _decide(j, when)
     src_cols = set(source.columns)
     out = []
@@ -80,9 +89,10 @@ def upsert(target: DataFrame, source: DataFrame, key: str,
     return j.select(*out)
 
 
-def metrics(target: DataFrame, source: DataFrame, key: str, when: Callable | None = None) -> DataFrame:
+def metrics(target: DataFrame, source: DataFrame, key: str, when: Callable | None = None,
+            salt_nulls: bool = True) -> DataFrame:
     """One row: rows updated, inserted, left unchanged, and the merged total."""
-    j = _joined(target, source, key)
+    j = _joined(target, source, key, salt_nulls)
     in_t, _, take = _decide(j, when)
     it, tk = in_t, take
     return j.agg(

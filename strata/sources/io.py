@@ -75,11 +75,23 @@ def table_location(spark: SparkSession, name: str, run: str | None = None) -> st
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None,
-                fmt: str = "parquet") -> DataFrame:
-    """Write ``df`` as table ``name`` (overwrite = idempotent replace, append = add rows)."""
+                fmt: str = "parquet", bucket_by: tuple[int, Sequence[str]] | None = None,
+                sort_by: Sequence[str] | None = None) -> DataFrame:
+    """Write ``df`` as table ``name`` (overwrite = idempotent replace, append = add rows).
+
+    ``bucket_by=(n, [key])`` stores the table hash-bucketed on the key: joins
+    and aggregations on that key between tables with the same bucket count then
+    read co-partitioned files and shuffle nothing (silver tables bucketed on
+    ``incident_id`` make the gold joins shuffle-free).
+    """
     w = df.write.mode(mode).format(fmt)
     if path is not None:
         w = w.option("path", path)
+    if bucket_by is not None:
+        n, cols = bucket_by
+        w = w.bucketBy(n, *cols)
+        if sort_by:
+            w = w.sortBy(*sort_by)
     w.saveAsTable(_check_ident(name))
     return df.sparkSession.table(name)
 

@@ -115,3 +115,11 @@ def test_assert_unique(spark):
     with pytest.raises(ValueError):
         merge.assert_unique(df, "incident_id")
     merge.assert_unique(df.where("incident_id IS NULL"), "incident_id")
+
+
+def test_unsalted_merge_gives_the_same_result(spark):
+    target, source = _merge_frames(spark)
+    kw = dict(when=merge.newer_only("ts"), stamp_col="stamp", as_of="2026-02-01 00:00:00")
+    a = merge.upsert(target, source, "incident_id", **kw).collect()
+    b = merge.upsert(target, source, "incident_id", salt_nulls=False, **kw).collect()
+    assert sorted(map(tuple, a), key=repr) == sorted(map(tuple, b), key=repr)

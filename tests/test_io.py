@@ -63,3 +63,29 @@ def test_scale_conf():
     c = scale_conf(100 * 2 ** 40, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(scale_conf(1, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_bucketed_silvers_make_gold_joins_shuffle_free(spark, sf_small):
+    from strata.plans import gold, silver_financial, silver_incidents, silver_market
+    from strata.sources import fixtures as fx
+
+    io.ensure_schemas(spark, ["silver"])
+    built = {
+        "silver.incidents_master": silver_incidents.build(fx.raw_incidents(spark, sf_small), as_of="2001-01-01"),
+        "silver.financial_impact": silver_financial.build(fx.raw_financial(spark, sf_small), as_of="2001-01-01"),
+        "silver.market_impact": silver_market.build_table(fx.raw_market(spark, sf_small), as_of="2001-01-01"),
+    }
+    tables = {n: io.write_table(df, n, "overwrite", io.table_location(spark, n, "bucketed"),
+                                bucket_by=(8, ["incident_id"]), sort_by=["incident_id"])
+              for n, df in built.items()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = gold.build(tables["silver.incidents_master"], fx.dim_country(spark, sf_small),
+                          tables["silver.financial_impact"], tables["silver.market_impact"])
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        n = fact.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    assert "Exchange hashpartitioning" not in plan
+    assert n == built["silver.incidents_master"].count()
