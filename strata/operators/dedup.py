@@ -42,7 +42,8 @@ def winner(df: DataFrame, key: str | Sequence[str], order: Sequence[Column],
             cond = c if cond is None else cond & c
         df = df.where(cond)
     if tiebreak is None:
-        tb = [row_hash(df).asc()]
+        # two independent hashes (64 + 32 bit): a full tie needs both to collide
+        tb = [row_hash(df).asc(), F.hash(*[F.col(c) for c in df.columns]).asc()]
     else:
         tb = [F.col(t).asc_nulls_first() if isinstance(t, str) else t for t in tiebreak]
     w = Window.partitionBy(*keys).orderBy(*order, *tb)

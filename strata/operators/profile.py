@@ -31,6 +31,9 @@ def _unpivot(wide: DataFrame, names: Sequence[str], prefix: str, value: str) ->
 def null_counts(df: DataFrame) -> DataFrame:
     """Rows (column_name, null_count, null_pct, total_rows) for every column."""
     names = df.columns
+    if not names:
+        return df.sparkSession.createDataFrame(
+            [], "column_name string, null_count bigint, null_pct double, total_rows bigint")
     wide = df.agg(F.count(F.lit(1)).alias("__total"),
                   *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"__n{i}") for i, c in enumerate(names)])
     long = _unpivot(wide, names, "__n", "null_count")
@@ -62,6 +65,8 @@ def _string_columns(df: DataFrame) -> list[str]:
 def placeholders(df: DataFrame, tokens: Sequence[str] = clean.PLACEHOLDER_TOKENS) -> DataFrame:
     """(column_name, placeholder_count) for string columns holding any placeholder, descending."""
     names = _string_columns(df)
+    if not names:
+        return df.sparkSession.createDataFrame([], "column_name string, placeholder_count bigint")
     toks = list(tokens)
     wide = df.agg(F.count(F.lit(1)).alias("__total"),
                   *[F.count_if(F.lower(F.trim(F.col(f"`{c}`"))).isin(toks)).alias(f"__p{i}")

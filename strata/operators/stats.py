@@ -69,8 +69,15 @@ def corr(df: DataFrame, a: str, b: str, nulls: str = "zero", digits: int | None
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], nulls: str = "zero", digits: int | None = 6) -> DataFrame:
-    """Rows (x, y, r) for all ordered pairs of ``cols``, from a single aggregation."""
+    """Rows (x, y, r) for all ordered pairs of ``cols``, from a single aggregation.
+
+    k columns cost k(k+1)/2 aggregate buffers in one pass; for very wide
+    matrices (hundreds of columns) ``pyspark.ml.stat.Correlation`` on an
+    assembled vector is the better tool.
+    """
     cols = list(cols)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "x string, y string, r double")
     aggs, pairs = [], []
     for i, a in enumerate(cols):
         for b in cols[i:]:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -42,7 +43,7 @@ def current(spark: SparkSession, root: str) -> DataFrame | None:
     """Newest committed version of the silver table at ``root`` (None before the first batch)."""
     try:
         versions = spark.read.parquet(f"{root}/_versions")
-    except Exception:  # nothing committed yet
+    except AnalysisException:  # nothing committed yet (path does not exist)
         return None
     latest = versions.orderBy(F.desc("batch_id")).select("path").limit(1).collect()
     return spark.read.parquet(latest[0]["path"]) if latest else None

@@ -104,3 +104,9 @@ def test_placeholder_profile_and_values(spark):
     vals = sorted(tuple(r) for r in profile.placeholder_values(df, "c1").collect())
     assert vals == [(" Unknown", "unknown", 1), ("N/A", "n/a", 1), ("unknown", "unknown", 1)]
     assert not math.isnan(profile.null_after_clean(df, "c2").first().nulls_after_clean)
+
+
+def test_profiles_of_tables_without_matching_columns(spark):
+    nums = spark.createDataFrame([(1,)], "a int")
+    assert profile.placeholders(nums).count() == 0
+    assert stats.corr_matrix(nums, []).count() == 0
