@@ -123,3 +123,18 @@ def test_unsalted_merge_gives_the_same_result(spark):
     a = merge.upsert(target, source, "incident_id", **kw).collect()
     b = merge.upsert(target, source, "incident_id", salt_nulls=False, **kw).collect()
     assert sorted(map(tuple, a), key=repr) == sorted(map(tuple, b), key=repr)
+
+
+def test_silver_build_independent_of_partitioning(spark, sf_small):
+    """Same rows whatever the input partitioning and shuffle width (default hash tie-break)."""
+    from strata.plans import silver_financial
+    from strata.sources import fixtures as fx
+
+    raw = fx.raw_financial(spark, sf_small)
+    results = []
+    for parts, shuffle in ((1, 3), (7, 8), (13, 17)):
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle))
+        out = silver_financial.build(raw.repartition(parts), as_of="2001-01-01 00:00:00")
+        results.append(sorted(map(tuple, out.collect()), key=repr))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert results[0] == results[1] == results[2]
