@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import clean
-from strata.operators import joins
+from strata.operators import joins, stats
+from strata.session import materialize
 
 KEY = "incident_id"
 
@@ -58,3 +59,22 @@ def build(incidents: DataFrame, dim_country: DataFrame, financial: DataFrame, ma
     """Silver tables + country dimension -> gold fact (25 carried columns + 4 ratios)."""
     j = joined(incidents, dim_country, financial, market)
     return j.select(*FACT_COLS, *ratios())
+
+
+def analyze(fact: DataFrame, x: str = "company_revenue_usd", y: str = "total_loss_revenue_ratio",
+            q: int = 5, labels=stats.SIZE_LABELS) -> dict[str, DataFrame]:
+    """The analysis leg over a gold fact: correlation matrix of the numeric
+    columns, size buckets, box summary and median ratio per bucket, 2-D density.
+
+    The points with both measures are stored once (checkpoint) because bucket
+    edges, quartiles and whiskers each read them.
+    """
+    pts = materialize(stats.points(fact.select(KEY, x, y), x, y, cap=None))
+    bucketed = stats.quantile_bucket(pts, x, q, labels)
+    return {
+        "correlation_matrix": stats.corr_matrix(fact, stats.numeric_columns(fact), nulls="zero"),
+        "size_buckets": bucketed,
+        "box_summary": stats.box_summary(bucketed, "size_bucket", y),
+        "median_by_size": stats.median_by_bucket(bucketed, "size_bucket", y),
+        "density": stats.log_density(fact, x, y),
+    }

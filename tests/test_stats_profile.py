@@ -110,3 +110,18 @@ def test_profiles_of_tables_without_matching_columns(spark):
     nums = spark.createDataFrame([(1,)], "a int")
     assert profile.placeholders(nums).count() == 0
     assert stats.corr_matrix(nums, []).count() == 0
+
+
+def test_audit_run_and_gold_analyze(spark, sf_small):
+    import __spark_entry__ as entry
+    from strata.plans import audit, gold
+    from strata.sources import fixtures as fx
+
+    res = audit.run(fx.raw_incidents(spark, sf_small), "bronze", "incidents_master_raw", "attribution_confidence",
+                    as_of="2001-01-01 00:00:00")
+    assert res.nulls.count() == 34 and res.metrics.count() == 34
+    assert res.nulls_after_clean.first().nulls_after_clean >= res.placeholder_values.agg(
+        F.sum("count")).first()[0]
+    parts = gold.analyze(entry.queries()["gold_incident_fact"](spark, sf_small))
+    assert parts["correlation_matrix"].count() == 49
+    assert parts["box_summary"].count() == 5
