@@ -426,11 +426,7 @@ def layer_schemas_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_inventory_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = None
-    for t in fx.DRIVER_TABLES:
-        inv = io.file_inventory(fx.table(spark, sf_dir, t))
-        out = inv if out is None else out.unionByName(inv)
-    return out
+    return io.file_inventory(*[fx.table(spark, sf_dir, t) for t in fx.DRIVER_TABLES])
 
 
 def dq_metrics_append_q(spark: SparkSession, sf_dir: str) -> DataFrame:

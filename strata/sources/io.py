@@ -111,7 +111,14 @@ def describe(df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "col_name string, data_type string, position int")
 
 
-def file_inventory(df: DataFrame) -> DataFrame:
-    """Rows per input file of a file-based DataFrame (file_name, rows)."""
-    return (df.select(F.col("_metadata.file_name").alias("file_name"))
-            .groupBy("file_name").agg(F.count(F.lit(1)).cast("bigint").alias("rows")))
+def file_inventory(*dfs: DataFrame) -> DataFrame:
+    """Rows per input file of one or more file-based DataFrames (file_name, rows).
+
+    The file names of all inputs are unioned first, so any number of tables
+    costs one aggregation (partial counts per task, one exchange).
+    """
+    names = None
+    for df in dfs:
+        n = df.select(F.col("_metadata.file_name").alias("file_name"))
+        names = n if names is None else names.unionByName(n)
+    return names.groupBy("file_name").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
