@@ -138,3 +138,16 @@ def test_silver_build_independent_of_partitioning(spark, sf_small):
         results.append(sorted(map(tuple, out.collect()), key=repr))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+def test_every_silver_has_one_row_per_key(spark, sf_small):
+    from strata.plans import silver_financial, silver_incidents, silver_market
+    from strata.sources import fixtures as fx
+
+    builds = [silver_incidents.build(fx.raw_incidents(spark, sf_small), as_of="2001-01-01 00:00:00"),
+              silver_financial.build(fx.raw_financial(spark, sf_small), as_of="2001-01-01 00:00:00"),
+              silver_market.build(fx.raw_market(spark, sf_small))]
+    for df in builds:
+        per_key = df.groupBy("incident_id").count()
+        assert per_key.where("count > 1").count() == 0
+        assert df.count() == per_key.count()
