@@ -133,7 +133,7 @@ def number_text(c: Column | str, tokens: Sequence[str] = MARKET_NULL_TOKENS, str
     """First half of ``number``: lower/trim, tokens -> NULL, drop ``strip`` chars, '' -> NULL."""
     v = tokens_to_null(_col(c).cast("string"), tokens, case="lower")
     if strip:
-        v = F.regexp_replace(v, "[" + "".join("\\" + ch for ch in strip) + "]", "")
+        v = F.translate(v, strip, "")  # drops every character of ``strip``; no regex per value
     return F.nullif(v, F.lit(""))
 
 
