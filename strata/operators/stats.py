@@ -96,16 +96,24 @@ def quantile_edges(df: DataFrame, col: str, q: int = 5, exact: bool | None = Non
                    accuracy: int = 100_000) -> list[float]:
     """The q+1 equal-frequency edges (min, interior quantiles, max) of ``col``.
 
-    One aggregation.  ``exact=None`` picks exact ``percentile`` below
-    ``EXACT_QUANTILE_MAX_ROWS`` rows (checked with a bounded count), else
-    ``percentile_approx`` whose memory does not grow with the data.
+    ``exact=None``: one aggregation computes the row count, min, max and
+    ``percentile_approx`` (bounded memory) together; only when that count
+    shows at most ``EXACT_QUANTILE_MAX_ROWS`` rows does a second, small pass
+    compute exact linear-interpolated ``percentile``.  At scale: one pass.
     """
     probs = [i / q for i in range(1, q)]
     c = F.col(col).cast("double")
+    present = df.where(F.col(col).isNotNull())
     if exact is None:
-        exact = df.limit(EXACT_QUANTILE_MAX_ROWS + 1).count() <= EXACT_QUANTILE_MAX_ROWS
+        first = present.agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("lo"),
+                            F.percentile_approx(c, probs, accuracy).alias("mid"), F.max(c).alias("hi")).first()
+        if first is None or not first["n"]:
+            return []
+        if first["n"] > EXACT_QUANTILE_MAX_ROWS:
+            return [first["lo"], *first["mid"], first["hi"]]
+        exact = True
     qs = F.percentile(c, probs) if exact else F.percentile_approx(c, probs, accuracy)
-    row = df.where(F.col(col).isNotNull()).agg(F.min(c).alias("lo"), qs.alias("mid"), F.max(c).alias("hi")).first()
+    row = present.agg(F.min(c).alias("lo"), qs.alias("mid"), F.max(c).alias("hi")).first()
     if row is None or row["lo"] is None:
         return []
     return [row["lo"], *row["mid"], row["hi"]]
@@ -151,6 +159,23 @@ def _quartiles(val: Column, exact: bool) -> Column:
     return F.percentile_approx(val, [0.25, 0.5, 0.75], 100_000)
 
 
+def _grouped_quartiles(base: DataFrame, bucket: str, exact: bool | None) -> DataFrame:
+    """Per bucket: n and the quartile array ``__q``.
+
+    ``exact=None``: approximate quartiles and counts in one aggregation; if the
+    counts (one row per bucket, a bounded collect) total at most
+    ``EXACT_QUANTILE_MAX_ROWS``, the small input is aggregated again exactly.
+    """
+    def agg(ex: bool) -> DataFrame:
+        return base.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), _quartiles(F.col("__v"), ex).alias("__q"))
+
+    if exact is not None:
+        return agg(exact)
+    approx = agg(False)
+    total = sum(r["n"] for r in approx.select("n").collect())
+    return agg(True) if total <= EXACT_QUANTILE_MAX_ROWS else approx
+
+
 def box_summary(df: DataFrame, bucket: str, val: str, digits: int = 6, exact: bool | None = None) -> DataFrame:
     """Per bucket: n, q1, median, q3, iqr, whiskers (furthest points within 1.5 IQR), outliers.
 
@@ -159,9 +184,7 @@ def box_summary(df: DataFrame, bucket: str, val: str, digits: int = 6, exact: bo
     """
     v = F.col(val).cast("double")
     base = df.where(F.col(bucket).isNotNull() & F.col(val).isNotNull()).select(F.col(bucket), v.alias("__v"))
-    if exact is None:
-        exact = base.limit(EXACT_QUANTILE_MAX_ROWS + 1).count() <= EXACT_QUANTILE_MAX_ROWS
-    quart = base.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), _quartiles(F.col("__v"), exact).alias("__q"))
+    quart = _grouped_quartiles(base, bucket, exact)
     quart = quart.select(bucket, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
                          F.col("__q")[2].alias("q3"))
     quart = quart.withColumn("iqr", F.col("q3") - F.col("q1")).withColumns({
@@ -180,12 +203,10 @@ def box_summary(df: DataFrame, bucket: str, val: str, digits: int = 6, exact: bo
 
 def median_by_bucket(df: DataFrame, bucket: str, val: str, out: str = "median_ratio", digits: int = 6,
                      exact: bool | None = None) -> DataFrame:
-    v = F.col(val).cast("double")
-    base = df.where(F.col(bucket).isNotNull() & F.col(val).isNotNull())
-    if exact is None:
-        exact = base.limit(EXACT_QUANTILE_MAX_ROWS + 1).count() <= EXACT_QUANTILE_MAX_ROWS
-    med = F.percentile(v, 0.5) if exact else F.percentile_approx(v, 0.5, 100_000)
-    return base.groupBy(bucket).agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.round(med, digits).alias(out))
+    base = df.where(F.col(bucket).isNotNull() & F.col(val).isNotNull()).select(
+        F.col(bucket), F.col(val).cast("double").alias("__v"))
+    quart = _grouped_quartiles(base, bucket, exact)
+    return quart.select(bucket, F.col("n").cast("bigint").alias("n"), F.round(F.col("__q")[1], digits).alias(out))
 
 
 def log_density(df: DataFrame, x: str, y: str, y_bins_per_unit: int = 100) -> DataFrame:
