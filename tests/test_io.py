@@ -89,3 +89,10 @@ def test_bucketed_silvers_make_gold_joins_shuffle_free(spark, sf_small):
     assert "SortMergeJoin" in plan
     assert "Exchange hashpartitioning" not in plan
     assert n == built["silver.incidents_master"].count()
+
+
+def test_stamp_literals_and_clock(spark):
+    from strata.functions import clean
+
+    out = clean.stamp(spark.range(1), as_of="2026-01-01 00:00:00", layer="bronze", profiled_at=None).first()
+    assert out.layer == "bronze" and out.profiled_at == dt.datetime(2026, 1, 1)
