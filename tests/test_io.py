@@ -96,3 +96,21 @@ def test_stamp_literals_and_clock(spark):
 
     out = clean.stamp(spark.range(1), as_of="2026-01-01 00:00:00", layer="bronze", profiled_at=None).first()
     assert out.layer == "bronze" and out.profiled_at == dt.datetime(2026, 1, 1)
+
+
+def test_left_lookup_broadcasts_only_within_bound(spark):
+    from strata.operators import joins
+
+    facts = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("z", 4)], "k string, v int")
+    dim = spark.createDataFrame([("a", "A"), ("b", "B"), ("c", "C")], "code string, name string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = joins.left_lookup(facts, dim, "k", "code", ["name"], max_rows=10)
+        big = joins.left_lookup(facts, dim, "k", "code", ["name"], max_rows=2)
+        p_small = small._jdf.queryExecution().executedPlan().toString()
+        p_big = big._jdf.queryExecution().executedPlan().toString()
+        got_small, got_big = sorted(map(tuple, small.collect()), key=repr), sorted(map(tuple, big.collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastExchange" in p_small and "BroadcastExchange" not in p_big
+    assert got_small == got_big == sorted([("a", 1, "A"), ("b", 2, "B"), (None, 3, None), ("z", 4, None)], key=repr)
