@@ -151,3 +151,19 @@ def test_every_silver_has_one_row_per_key(spark, sf_small):
         per_key = df.groupBy("incident_id").count()
         assert per_key.where("count > 1").count() == 0
         assert df.count() == per_key.count()
+
+
+def test_hot_key_third_of_rows(spark):
+    """One key holds a third of the rows: the winner is still exact, and the
+    plan limits rows per key before the shuffle (partial WindowGroupLimit)."""
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 1000).cast("string")).alias("k"),
+        F.col("id").alias("v")).repartition(16)
+    w = dedup.winner(df, "k", [F.col("v").desc()], tiebreak=["v"])
+    got = {r.k: r.v for r in w.collect()}
+    assert got["HOT"] == max(i for i in range(n) if i % 3 == 0)
+    assert len(got) == 1 + len({str(i % 1000) for i in range(n) if i % 3})
+    plan = w._jdf.queryExecution().executedPlan().toString()
+    exch = plan.index("Exchange hashpartitioning")
+    assert "WindowGroupLimit" in plan[exch:]  # a limit below (map side of) the exchange
