@@ -10,10 +10,11 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from strata import oracle, registry  # noqa: E402
 from check_oracle import TABLES, compare  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(entry.queries())
+KEYS = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -26,14 +27,14 @@ def duck():
 
 def test_every_key_has_an_oracle():
     assert len(KEYS) == 68
-    assert set(KEYS) == set(entry.oracle_sql())
+    assert set(KEYS) == set(oracle.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
-    df = entry.queries()[key](spark, SF)
+    df = registry.queries()[key](spark, SF)
     srows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(entry.oracle_sql()[key])
+    cur = duck.execute(oracle.oracle_sql()[key])
     drows = cur.fetchall()
     strict, loose, msg = compare(srows, df.columns, drows, [d[0] for d in cur.description])
     assert strict, msg
@@ -53,5 +54,5 @@ PY_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInP
 @pytest.mark.parametrize("key", KEYS)
 def test_plans_stay_in_the_jvm(spark, key):
     """No Python UDF, no cartesian or nested-loop join in any registered query."""
-    plan = entry.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = registry.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not [n for n in PY_NODES if n in plan]
