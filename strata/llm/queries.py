@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import binary_tokens, secret_scan
+from strata.llm import binary_tokens, decontaminate, packing, secret_scan
 from strata.llm.common import new_folder, table
 
 #: The public tokenizer of the packing and binary-output queries; the end ids are fixed by their contracts.
@@ -18,6 +18,17 @@ def _partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.digest(decontaminate.scan(docs, table(spark, sf_dir, "benchmark")))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER),
+                                  end_id=1, capacity=4096)
+    return packing.pack(pieces, capacity=4096)
+
+
 def op6_binary_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "tokens")
     shards = binary_tokens.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER),
@@ -31,8 +42,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_binary_tokens, op10_secret_scan)}
+    return {f.__name__: f for f in (op4_decontaminate, op5_packing, op6_binary_tokens, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_decontaminate": decontaminate.ORACLE_SQL}
