@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import binary_tokens, decontaminate, fingerprint, packing, secret_scan
+from strata.llm import binary_tokens, decontaminate, fingerprint, jaccard_join, packing, secret_scan
 from strata.llm.common import new_folder, table
 
 #: The public tokenizer of the packing and binary-output queries; the end ids are fixed by their contracts.
@@ -36,6 +36,10 @@ def op6_binary_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_tokens.read(spark, path, shards)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.digest(fingerprint.edited_pairs(table(spark, sf_dir, "documents"), 4 * _partitions(spark)))
 
@@ -46,7 +50,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_decontaminate, op5_packing, op6_binary_tokens, op9_fingerprints, op10_secret_scan)}
+    return {f.__name__: f for f in (op4_decontaminate, op5_packing, op6_binary_tokens, op8_jaccard_join, op9_fingerprints, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
