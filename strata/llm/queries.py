@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import binary_tokens, decontaminate, fingerprint, jaccard_join, packing, secret_scan
-from strata.llm.common import new_folder, table
+from strata.llm import binary_tokens, decontaminate, fingerprint, jaccard_join, language_id, packing, secret_scan, toxicity
+from strata.llm.common import bucket_of_id, new_folder, table
 
 #: The public tokenizer of the packing and binary-output queries; the end ids are fixed by their contracts.
 TOKENIZER = "word_bpe_49k.json"
@@ -18,6 +19,16 @@ def _partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    taught = labels.where(bucket_of_id("doc_id", 3) != 1)
+    model = toxicity.fit(toxicity.labelled_sample(docs, taught))
+    return toxicity.score(docs, model).select(
+        "doc_id", (bucket_of_id("doc_id", 3) == 1).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.7).cast("int").alias("predicted"), "toxic_spans")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.digest(decontaminate.scan(docs, table(spark, sf_dir, "benchmark")))
@@ -36,6 +47,13 @@ def op6_binary_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_tokens.read(spark, path, shards)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.where(bucket_of_id("doc_id", 5) != 0))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", (bucket_of_id("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(table(spark, sf_dir, "documents"), n=4, percent=85)
 
@@ -50,7 +68,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_decontaminate, op5_packing, op6_binary_tokens, op8_jaccard_join, op9_fingerprints, op10_secret_scan)}
+    return {f.__name__: f for f in (
+        op3_toxicity, op4_decontaminate, op5_packing, op6_binary_tokens, op7_language_id, op8_jaccard_join, op9_fingerprints, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
