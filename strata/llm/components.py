@@ -1,12 +1,23 @@
-"""Distributed union-find: connected components of links by alternating star contraction."""
+"""Links between rows that share a bucket, and their components, without all pairs of a bucket.
+
+``components`` is a distributed union-find by alternating star contraction.
+``connect`` finds links: every bucket is first compared with one of its rows (a
+star), what links is merged, and rows that lie in one component are not compared
+again, so a bucket of alike rows costs a comparison a row, whatever its size.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import stored
 
+#: Stars are repeated, so often at most, while the rest would meet more pairs than this times the index rows.
+REST_FACTOR, MOST_STARS = 2, 6
+
 
 def _toward_least(edges: DataFrame) -> DataFrame:
     """Large star: every larger neighbour of a node is linked to the node's least neighbour."""
@@ -39,3 +50,51 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = tuple(state)
         edges = stored(_through_least(_toward_least(edges).distinct()), "links")
+
+
+def _star(rows: DataFrame, heads: DataFrame, near: Callable[[Column, Column], Column]) -> DataFrame:
+    """Candidate pairs: each row of a bucket against the bucket's head."""
+    one = heads.select("bucket", F.col("head.node").alias("a"), F.col("head.info").alias("i"))
+    two = rows.select("bucket", F.col("node").alias("b"), F.col("info").alias("j"))
+    return one.join(two, "bucket").where((F.col("a") != F.col("b")) & near(F.col("i"), F.col("j"))).select("a", "b").distinct()
+
+
+def _rest(apart: DataFrame, near: Callable[[Column, Column], Column]) -> DataFrame:
+    """All pairs of a bucket in different components: rows outside the main one against all."""
+    side = lambda n, r, i: ["bucket", F.col("node").alias(n), F.col("root").alias(r), F.col("info").alias(i)]
+    one = apart.where("root <> main").select(*side("a", "r", "i"))
+    two = apart.select(*side("b", "s", "j"), (F.col("root") != F.col("main")).alias("also"))
+    new = (F.col("r") != F.col("s")) & (~F.col("also") | (F.col("a") < F.col("b")))
+    return one.join(two, "bucket").where(new & near(F.col("i"), F.col("j"))).select("a", "b").distinct()
+
+
+def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, Column], Column],
+            check: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links (a, b) that give the components of all pairs sharing a bucket for which ``check`` holds.
+
+    ``index``: bucket, node, info, for buckets of two nodes or more, stored.
+    ``near`` is a cheap necessary test of two infos, ``check`` keeps the true
+    links of stored candidate pairs.  ``links``: pairs known to link.  No pair in
+    different components is left unchecked; only pairs already connected are.
+    """
+    rows, tried, size = index, None, index.count()
+    heads = index.groupBy("bucket").agg(F.min(F.struct("node", "info")).alias("head"))
+    nodes = index.select("node").distinct()
+
+    def add(pairs: DataFrame) -> DataFrame:
+        found = check(stored(pairs, "pairs"))
+        return stored(found if links is None else links.unionByName(found), "links")
+
+    for _ in range(MOST_STARS):
+        links = add(_star(rows, heads, near))
+        done = heads.select("bucket", F.col("head.node").alias("node"))
+        tried = stored(done if tried is None else tried.unionByName(done), "tried")
+        place = nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+        rows = index.join(tried, ["bucket", "node"], "left_anti").join(place, "node")
+        spread = rows.groupBy("bucket").agg(F.min("root").alias("main"), F.max("root").alias("other"), F.count("*").alias("c"))
+        rows = stored(rows.join(spread.where("main <> other"), "bucket"), "apart")
+        heads = rows.where("root <> main").groupBy("bucket").agg(F.min(F.struct("node", "info")).alias("head"))
+        cost = rows.where("root <> main").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+        if cost <= REST_FACTOR * size:
+            break
+    return add(_rest(rows, near)) if cost else links

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import binary_tokens, decontaminate, fingerprint, jaccard_join, language_id, packing, ppm, secret_scan, toxicity
+from strata.llm import binary_tokens, decontaminate, fingerprint, jaccard_join, language_id, line_dedup, packing, ppm, secret_scan, toxicity
 from strata.llm.common import bucket_of_id, new_folder, table
 
 #: The public tokenizer of the packing and binary-output queries; the end ids are fixed by their contracts.
@@ -26,6 +26,10 @@ def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -76,7 +80,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_ppm, op3_toxicity, op4_decontaminate, op5_packing, op6_binary_tokens, op7_language_id, op8_jaccard_join, op9_fingerprints, op10_secret_scan)}
+        op1_ppm, op2_line_dedup, op3_toxicity, op4_decontaminate, op5_packing, op6_binary_tokens, op7_language_id, op8_jaccard_join, op9_fingerprints, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
