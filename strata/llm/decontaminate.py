@@ -112,14 +112,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text",
     kept = [c for c in docs.columns if c not in ("n_words", "hits", "items")]
     found = windows(benchmark, n)
     n_windows = found.count()
-    work = docs.select(*kept, words(F.col(text)).alias("_words"))
+    work = docs.select(F.struct(*kept).alias("_doc"), words(F.col(text)).alias("_words"))  # so no column's name can clash
     if not n_windows:
         out = work.withColumns({"hits": F.array().cast("array<int>"), "items": F.array().cast("array<string>")})
     elif n_windows <= broadcast_windows:
         out = _scan_broadcast(work, found, n_windows)
     else:
         out = _scan_shuffled(work, found)
-    return out.select(*kept, F.size("_words").cast("long").alias("n_words"), "hits", "items")
+    return out.select(*[f"_doc.{c}" for c in kept], F.size("_words").cast("long").alias("n_words"), "hits", "items")
 
 
 def remove_documents(scanned: DataFrame) -> DataFrame:

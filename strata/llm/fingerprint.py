@@ -39,7 +39,7 @@ def add(docs: DataFrame, text: str = "text", out: str = "fingerprints") -> DataF
     kept = [c for c in docs.columns if c != out]
     blanks = F.translate(F.lower(F.coalesce(F.col(text), F.lit(""))), "\n\t\r", "   ")
     # every array below is read more than once, so that none is computed again inside a lambda
-    df = docs.select(*kept, F.transform(F.split(blanks, " "), lambda w: F.xxhash64(w)).alias("_g1"))
+    df = docs.select(F.struct(*kept).alias("_doc"), F.transform(F.split(blanks, " "), lambda w: F.xxhash64(w)).alias("_g1"))
     size = 1
     while size < K:
         df = df.withColumn(f"_g{2 * size}", _paired(f"_g{size}", size, lambda a, b: F.xxhash64(a, b)))
@@ -55,7 +55,7 @@ def add(docs: DataFrame, text: str = "text", out: str = "fingerprints") -> DataF
         size *= 2
     chosen = F.array_distinct(F.slice(f"_m{W}", F.lit(1), F.greatest(F.size("_g") - (W - 1), F.lit(1))))
     at = lambda m: (F.lit(last).cast("long") - m.bitwiseAND(F.lit(last).cast("long"))).cast("int")
-    return df.select(*kept, F.transform(chosen, lambda m: F.struct(
+    return df.select(*[f"_doc.{c}" for c in kept], F.transform(chosen, lambda m: F.struct(
         F.get("_g", at(m)).alias("hash"), at(m).alias("position"))).alias(out))
 
 
