@@ -6,18 +6,16 @@
     WHEN MATCHED [AND when] THEN UPDATE SET *
     WHEN NOT MATCHED THEN INSERT *
 
-Plan: ONE full outer equi-join, on ``(key, salt)``.  ``salt`` is 0 for every
-row with a key and a deterministic ``xxhash64`` of the row for a NULL key.  A
-NULL key never matches (``NULL = NULL`` is not true), exactly as in MERGE, and
-the salt spreads NULL-key rows over all shuffle partitions instead of piling
-them into the one partition that ``hash(NULL)`` selects.  The salt is a pure
-function of the row, so a recomputed task sends every row to the same
-partition again.  Target and source are each read and shuffled once.
-
-With ``salt_nulls=False`` the join is on the key alone: use it when the
-target is stored bucketed on the key (``io.write_table(bucket_by=...)``), so
-the target side is read co-partitioned and only the source is shuffled; the
-price is that all NULL-key target rows sit in one bucket.
+Plan: ONE full outer equi-join on the key, so a side that is already partitioned
+by the key (a winner, a table bucketed on it) is not shuffled again.  A NULL key
+never matches (``NULL = NULL`` is not true), exactly as in MERGE: rows without a
+key are split off before the join and added unchanged (target) or as inserts
+(source), so they are not shuffled at all.
+
+A key that occurs twice in the source would make the result ambiguous; MERGE
+refuses it, and so does the plan, by a count per key in the same partitioning.
+Pass ``unique=False`` for a source that has one row per key by construction
+(``dedup.winner``).
 
 Columns of the target missing from the source are left as they are on update
 and NULL on insert.  ``stamp_col`` receives ``as_of`` only on rows that were
@@ -28,13 +26,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.clean import now
 
 _T, _S = "__strata_in_target", "__strata_in_source"
-_SALT = "__strata_salt"
 
 #: Condition of the market silver: update only when the target has no bronze
 #: time or the source is strictly newer.
@@ -44,62 +41,56 @@ def newer_only(ts_col: str) -> Callable[[Callable[[str], Column], Callable[[str]
     return cond
 
 
-def _salt(df: DataFrame, key: str) -> Column:
-    return F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(F.lit(0).cast("long"))
-
-
-def _joined(target: DataFrame, source: DataFrame, key: str, salt_nulls: bool = True) -> DataFrame:
-    if not salt_nulls:
-        t, s = target.withColumn(_T, F.lit(True)).alias("t"), source.withColumn(_S, F.lit(True)).alias("s")
-        return t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
-    t = target.withColumns({_T: F.lit(True), _SALT: _salt(target, key)}).alias("t")
-    s = source.withColumns({_S: F.lit(True), _SALT: _salt(source, key)}).alias("s")
-    cond = (F.col(f"t.{key}") == F.col(f"s.{key}")) & (F.col(f"t.{_SALT}") == F.col(f"s.{_SALT}"))
-    return t.join(s, cond, "full_outer")
-
-
-def _decide(j: DataFrame, when) -> tuple[Column, Column, Column]:
-    in_t = F.coalesce(F.col(f"t.{_T}"), F.lit(False))
-    in_s = F.coalesce(F.col(f"s.{_S}"), F.lit(False))
-    if when is None:
-        cond = F.lit(True)
-    else:
-        cond = F.coalesce(when(lambda c: F.col(f"t.{c}"), lambda c: F.col(f"s.{c}")), F.lit(False))
-    take = in_s & (~in_t | cond)
-    return in_t, in_s, take
-
-
-def upsert(target: DataFrame, source: DataFrame, key: str,
-           when: Callable | None = None, stamp_col: str | None = None, as_of=None,
-           salt_nulls: bool = True) -> DataFrame:
+def _one_per_key(source: DataFrame, key: str) -> DataFrame:
+    """``source`` (keys not NULL); a key that occurs twice fails the job."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    error = F.raise_error(F.concat(F.lit("source has duplicate key "), F.col(key).cast("string")))
+    checked = source.withColumn(_S, F.when(n > 1, error.cast("boolean")).otherwise(F.lit(True)))
+    return checked
+
+
+def _rows(target: DataFrame, source: DataFrame, key: str, when, unique: bool) -> DataFrame:
+    """Structs t and s of each merged row (NULL where absent), in_t, and take: the source's row counts."""
+    keyed = source.where(F.col(key).isNotNull())
+    keyed = _one_per_key(keyed, key) if unique else keyed.withColumn(_S, F.lit(True))
+    one = target.where(F.col(key).isNotNull()).select(F.col(key).alias("__k"), F.struct(*target.columns).alias("t"))
+    two = keyed.select(F.col(key).alias("__k"), F.struct(*source.columns).alias("s"), _S)
+    met = one.join(two, "__k", "full_outer").select("t", "s", F.col("t").isNotNull().alias(_T), F.coalesce(_S, F.lit(False)).alias(_S))
+    none = lambda df, name: F.lit(None).cast(df.select(F.struct(*df.columns).alias("x")).schema["x"].dataType).alias(name)
+    left = target.where(F.col(key).isNull()).select(
+        F.struct(*target.columns).alias("t"), none(source, "s"), F.lit(True).alias(_T), F.lit(False).alias(_S))
+    new = source.where(F.col(key).isNull()).select(
+        none(target, "t"), F.struct(*source.columns).alias("s"), F.lit(False).alias(_T), F.lit(True).alias(_S))
+    rows = met.unionByName(left).unionByName(new)
+    newer = F.lit(True) if when is None else F.coalesce(
+        when(lambda c: F.col(f"t.{c}"), lambda c: F.col(f"s.{c}")), F.lit(False))
+    return rows.select("t", "s", F.col(_T).alias("in_t"), (F.col(_S) & (~F.col(_T) | newer)).alias("take"))
+
+
+def upsert(target: DataFrame, source: DataFrame, key: str, when: Callable | None = None,
+           stamp_col: str | None = None, as_of=None, unique: bool = True) -> DataFrame:
     """The merged target (columns and order of ``target``)."""
-    j = _joined(target, source, key, salt_nulls)
-    in_t, in_s, take = _decide(j, when)
-    src_cols = set(source.columns)
+    rows = _rows(target, source, key, when, unique)
     out = []
     for name in target.columns:
-        tc = F.col(f"t.{name}")
+        old, kind = F.col(f"t.{name}"), target.schema[name].dataType
         if name == stamp_col:
-            e = F.when(take, now(as_of).cast(target.schema[name].dataType)).otherwise(tc)
-        elif name in src_cols:
-            e = F.when(take, F.col(f"s.{name}").cast(target.schema[name].dataType)).otherwise(tc)
-        else:
-            e = F.when(in_t, tc).otherwise(F.lit(None).cast(target.schema[name].dataType))
-        out.append(e.alias(name))
-    return j.select(*out)
+            old = F.when(F.col("take"), now(as_of).cast(kind)).otherwise(old)
+        elif name in source.columns:
+            old = F.when(F.col("take"), F.col(f"s.{name}").cast(kind)).otherwise(old)
+        out.append(old.alias(name))
+    return rows.select(*out)
 
 
 def metrics(target: DataFrame, source: DataFrame, key: str, when: Callable | None = None,
-            salt_nulls: bool = True) -> DataFrame:
+            unique: bool = True) -> DataFrame:
     """One row: rows updated, inserted, left unchanged, and the merged total."""
-    j = _joined(target, source, key, salt_nulls)
-    in_t, _, take = _decide(j, when)
-    it, tk = in_t, take
-    return j.agg(
-        F.count_if(it & tk).cast("bigint").alias("num_updated_rows"),
-        F.count_if(~it & tk).cast("bigint").alias("num_inserted_rows"),
-        F.count_if(it & ~tk).cast("bigint").alias("num_unchanged_rows"),
-        F.count_if(tk).cast("bigint").alias("num_affected_rows"),
+    in_t, take = F.col("in_t"), F.col("take")
+    return _rows(target, source, key, when, unique).agg(
+        F.count_if(in_t & take).cast("bigint").alias("num_updated_rows"),
+        F.count_if(~in_t & take).cast("bigint").alias("num_inserted_rows"),
+        F.count_if(~take).cast("bigint").alias("num_unchanged_rows"),
+        F.count_if(take).cast("bigint").alias("num_affected_rows"),
         F.count(F.lit(1)).cast("bigint").alias("num_output_rows"),
     )
 
@@ -110,6 +101,9 @@ def assert_unique(source: DataFrame, key: Sequence[str] | str) -> None:
     One aggregation, stops at the first duplicate found.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    dup = source.where(F.col(keys[0]).isNotNull()).groupBy(*keys).count().where("count > 1").limit(1).collect()
+    full = source
+    for k in keys:
+        full = full.where(F.col(k).isNotNull())
+    dup = full.groupBy(*keys).count().where("count > 1").limit(1).collect()
     if dup:
         raise ValueError(f"source has duplicate keys, e.g. {dup[0].asDict()}")

@@ -59,9 +59,8 @@ AS_OF_3 = "2001-03-01 00:00:00"
 
 
 def _knum(col: str = "incident_id"):
-    """Integer behind a valid ``yyyy-kkkk-kkk`` id (NULL otherwise)."""
-    c = F.col(col)
-    return F.substring(c, 6, 4).try_cast("int") * 1000 + F.substring(c, 11, 3).try_cast("int")
+    """Integer behind an incident id (NULL where it has none)."""
+    return F.translate(F.col(col), "-", "").try_cast("bigint")
 
 
 def _valid_even(df: DataFrame, mod: int) -> DataFrame:
@@ -69,8 +68,8 @@ def _valid_even(df: DataFrame, mod: int) -> DataFrame:
 
 
 def _legacy(df: DataFrame) -> DataFrame:
-    """Target-only rows: ids moved to year 1999, so no source row matches them."""
-    return _valid_even(df, 8).withColumn("incident_id", F.concat(F.lit("1999-"), F.substring("incident_id", 6, 100)))
+    """Target-only rows: ids with a prefix that no source row has."""
+    return _valid_even(df, 8).withColumn("incident_id", F.concat(F.lit("legacy "), F.col("incident_id")))
 
 
 # The earlier silver state (merge target) and the new batch (merge source) come
@@ -81,7 +80,7 @@ def merge_incidents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = silver_incidents.finish(w, AS_OF)
     target = (_valid_even(first, 2).withColumn("notes", F.concat(F.lit("stale "), F.col("notes")))
               .unionByName(_legacy(first)).unionByName(first.where(F.col("incident_id").isNull())))
-    return merge.upsert(target, silver_incidents.finish(w, AS_OF_2), "incident_id")
+    return merge.upsert(target, silver_incidents.finish(w, AS_OF_2), "incident_id", unique=False)
 
 
 def _financial_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +98,7 @@ def merge_financial_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         "notes": F.concat(F.lit("stale "), F.col("notes")),
         "loss_range_valid_flag": F.lit(1), "data_quality_flag": F.lit(0)})
         .unionByName(_legacy(first)))
-    return merge.upsert(target, silver_financial.derive(w, AS_OF_2), "incident_id")
+    return merge.upsert(target, silver_financial.derive(w, AS_OF_2), "incident_id", unique=False)
 
 
 def _market_target(source: DataFrame) -> DataFrame:
@@ -122,21 +121,21 @@ NEWER = merge.newer_only("bronze_ingestion_timestamp")
 
 def merge_market_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _market_merge(spark, sf_dir)
-    return merge.upsert(target, source, "incident_id", when=NEWER, stamp_col="silver_ingestion_timestamp",
+    return merge.upsert(target, source, "incident_id", unique=False, when=NEWER, stamp_col="silver_ingestion_timestamp",
                         as_of=AS_OF_2)
 
 
 def merge_rerun_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _market_merge(spark, sf_dir)
-    once = merge.upsert(target, source, "incident_id", when=NEWER, stamp_col="silver_ingestion_timestamp",
+    once = merge.upsert(target, source, "incident_id", unique=False, when=NEWER, stamp_col="silver_ingestion_timestamp",
                         as_of=AS_OF_2)
-    return merge.upsert(once, source, "incident_id", when=NEWER, stamp_col="silver_ingestion_timestamp",
+    return merge.upsert(once, source, "incident_id", unique=False, when=NEWER, stamp_col="silver_ingestion_timestamp",
                         as_of=AS_OF_3)
 
 
 def merge_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _market_merge(spark, sf_dir)
-    return merge.metrics(target, source, "incident_id", when=NEWER).select(
+    return merge.metrics(target, source, "incident_id", when=NEWER, unique=False).select(
         "num_updated_rows", "num_inserted_rows", "num_unchanged_rows")
 
 

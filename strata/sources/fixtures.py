@@ -72,11 +72,13 @@ DUCK = Dialect("duckdb")
 
 
 def _incident_id(D: Dialect, k: str) -> str:
-    """``yyyy-kkkk-kkk`` text of an integer key; injective below 10 million."""
-    return (
-        f"{D.s(f'2021 + {k} % 5')} || '-' || lpad({D.s(D.idiv(k, 1000))}, 4, '0')"
-        f" || '-' || lpad({D.s(f'{k} % 1000')}, 3, '0')"
-    )
+    """``dddd-dddd-ddd`` text of a non-negative integer key: its 11 digits.
+
+    A longer key gives a longer last part (which then fails the format rule), so
+    the text is injective for every key.
+    """
+    digits = f"CASE WHEN {k} < 100000000000 THEN lpad({D.s(k)}, 11, '0') ELSE {D.s(k)} END"
+    return f"(substr({digits}, 1, 4) || '-' || substr({digits}, 5, 4) || '-' || substr({digits}, 9))"
 
 
 def _money(D: Dialect, cents: str, comma: str = "FALSE") -> str:
@@ -380,8 +382,3 @@ RAW_SQL = {
     "dim_country": _sql(dim_country_columns(DUCK), "nation"),
 }
 
-
-def with_raw(sql: str, *names: str) -> str:
-    """Prefix ``sql`` with CTEs for the named raw views (DuckDB dialect)."""
-    ctes = ",\n".join(f"{n} AS (\n  {RAW_SQL[n]}\n)" for n in names)
-    return f"WITH {ctes}\n{sql}" if names else sql

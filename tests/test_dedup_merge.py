@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import dedup, merge
@@ -96,35 +97,47 @@ def test_rerun_changes_nothing(spark):
     assert sorted(map(tuple, once.collect()), key=repr) == sorted(map(tuple, twice.collect()), key=repr)
 
 
-def test_null_keys_spread_over_partitions(spark):
-    target = spark.range(2000).select(F.lit(None).cast("string").alias("incident_id"), F.col("id").alias("v"))
-    source = spark.range(10).select(F.col("id").cast("string").alias("incident_id"), F.col("id").alias("v"))
-    spark.conf.set("spark.sql.adaptive.enabled", "false")  # look at the raw shuffle partitions
+def _exchanges(df) -> int:
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = merge._joined(target, source, "incident_id")
-        sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert max(r["count"] for r in sizes) < 2000  # not all NULL keys in one task
 
 
-def test_assert_unique(spark):
-    import pytest
+@pytest.mark.parametrize("unique", [True, False])
+def test_winners_are_shuffled_once_each(spark, unique):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target, source = (dedup.winner(df.where("incident_id is not null"), "incident_id", [F.col("ts").desc()], tiebreak=["v"])
+                          for df in _merge_frames(spark))
+        assert _exchanges(merge.upsert(target, source, "incident_id", unique=unique)) <= 4  # two joined, two for NULL keys
+        keyed = merge._rows(target, source, "incident_id", None, unique)
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+        assert "Cartesian" not in plan and "NestedLoop" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_duplicate_source_keys_are_refused(spark):
+    target = spark.createDataFrame([("a", "t")], "incident_id string, v string")
+    source = spark.createDataFrame([("a", "s1"), ("a", "s2"), (None, "n1"), (None, "n2")], "incident_id string, v string")
+    with pytest.raises(Exception, match="duplicate key a"):
+        merge.upsert(target, source, "incident_id").collect()
+    with pytest.raises(Exception, match="duplicate key a"):
+        merge.metrics(target, source, "incident_id").collect()
+    one = source.where("v <> 's2'")
+    assert sorted(r.v for r in merge.upsert(target, one, "incident_id").collect()) == ["n1", "n2", "s1"]
 
+
+def test_assert_unique(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), (None,)], "incident_id string")
     with pytest.raises(ValueError):
         merge.assert_unique(df, "incident_id")
     merge.assert_unique(df.where("incident_id IS NULL"), "incident_id")
 
 
-def test_unsalted_merge_gives_the_same_result(spark):
-    target, source = _merge_frames(spark)
-    kw = dict(when=merge.newer_only("ts"), stamp_col="stamp", as_of="2026-02-01 00:00:00")
-    a = merge.upsert(target, source, "incident_id", **kw).collect()
-    b = merge.upsert(target, source, "incident_id", salt_nulls=False, **kw).collect()
-    assert sorted(map(tuple, a), key=repr) == sorted(map(tuple, b), key=repr)
-
-
 def test_silver_build_independent_of_partitioning(spark, sf_small):
     """Same rows whatever the input partitioning and shuffle width (default hash tie-break)."""
     from strata.plans import silver_financial

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.functions import rules
@@ -88,3 +89,22 @@ def test_market_lenient_int(spark):
     lenient = silver_market.typed(raw, lenient_int=True).first()
     assert (strict.volume_avg_30d_baseline, strict.days_to_price_recovery) == (None, None)
     assert (lenient.volume_avg_30d_baseline, lenient.days_to_price_recovery) == (12, 7)
+
+
+@pytest.mark.parametrize("engine", ["spark", "duckdb"])
+def test_incident_ids_are_injective(spark, engine):
+    """Distinct ids for distinct keys around the lengths at which a cut would show."""
+    import duckdb
+
+    from strata.sources import fixtures as fx
+
+    starts = (0, 10 ** 7 - 50, 10 ** 10 - 50, 10 ** 11 - 50, 10 ** 12)
+    keys = [a + i for a in starts for i in range(100)]
+    if engine == "spark":
+        df = spark.createDataFrame([(k,) for k in keys], "k long").selectExpr(f"{fx._incident_id(fx.SPARK, 'k')} AS id")
+        ids = [r.id for r in df.collect()]
+    else:
+        duckdb_keys = ", ".join(f"({k})" for k in keys)
+        ids = [r[0] for r in duckdb.sql(f"SELECT {fx._incident_id(fx.DUCK, 'k')} FROM (VALUES {duckdb_keys}) t(k)").fetchall()]
+    assert len(set(ids)) == len(keys) and sorted(int(i.replace("-", "")) for i in ids) == sorted(keys)
+    assert all(len(i) == 13 for i, k in zip(ids, keys) if k < 10 ** 11)
