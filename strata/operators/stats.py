@@ -2,18 +2,21 @@
 
 * ``corr_matrix``: every pair of a k-column matrix in ONE aggregation (the
   reference issued one job per cell, k^2 jobs), then unpivoted to (x, y, r).
-* ``quantile_bucket``: equal-frequency buckets from linear-interpolated
-  quantile edges (exact ``percentile`` while the row count is bounded,
-  ``percentile_approx`` beyond), right-closed, lowest value included.
+* ``quantiles``: exact linear-interpolated quantiles per group, by one method at
+  every size: brackets around the wanted ranks are narrowed with sketches and exact
+  counts until a bracket holds few values, and only those are read.
+* ``quantile_bucket``: equal-frequency buckets from such edges, right-closed,
+  lowest value included.
 * ``box_summary`` / ``median_by_bucket``: quartiles and whiskers per bucket.
 * ``log_density``: 2-D histogram (log10 x-bin, y-bin) -> count, in place of a
   scatter plot of collected points.
 
-The only values that reach the driver are the q+1 bucket edges.
+What reaches the driver is bounded by the number of wanted ranks (buckets x quantiles).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,8 +30,10 @@ SIZE_LABELS = ["Q1 (smallest)", "Q2", "Q3", "Q4", "Q5 (largest)"]
 #: ``bigint``, ``smallint``), so decimals are skipped unless asked for.
 REFERENCE_NUMERIC_DTYPES = ("int", "bigint", "double", "float", "decimal", "long", "short")
 
-#: Above this many rows, quantiles switch from exact to approximate.
-EXACT_QUANTILE_MAX_ROWS = 5_000_000
+#: Distinct values of a bracket that are read to the driver, and the cuts that narrow a larger one.
+BRACKET_VALUES, CUTS = 2_000, 200
+#: Groups (buckets) that quantiles are asked for at once: their brackets are held by the driver.
+MOST_GROUPS = 10_000
 
 
 def numeric_columns(df: DataFrame, include_decimal: bool = False) -> list[str]:
@@ -58,7 +63,7 @@ def _pearson(x: Column, y: Column, nulls: str) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def corr(df: DataFrame, a: str, b: str, nulls: str = "zero", digits: int | None = 6) -> DataFrame:
+def corr(df: DataFrame, a: str, b: str, nulls: str = "zero", digits: int | None = None) -> DataFrame:
     """One row ``r``: Pearson correlation of two columns.
 
     ``nulls="zero"`` treats NULL as 0 (the reference's ``DataFrame.stat.corr``);
@@ -68,7 +73,7 @@ def corr(df: DataFrame, a: str, b: str, nulls: str = "zero", digits: int | None
     return df.agg((F.round(r, digits) if digits is not None else r).alias("r"))
 
 
-def corr_matrix(df: DataFrame, cols: Sequence[str], nulls: str = "zero", digits: int | None = 6) -> DataFrame:
+def corr_matrix(df: DataFrame, cols: Sequence[str], nulls: str = "zero", digits: int | None = None) -> DataFrame:
     """Rows (x, y, r) for all ordered pairs of ``cols``, from a single aggregation.
 
     k columns cost k(k+1)/2 aggregate buffers in one pass; for very wide
@@ -92,31 +97,86 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], nulls: str = "zero", digits:
     return wide.selectExpr(f"stack({len(pairs)}, {stack}) AS (x, y, r)")
 
 
-def quantile_edges(df: DataFrame, col: str, q: int = 5, exact: bool | None = None,
-                   accuracy: int = 100_000) -> list[float]:
-    """The q+1 equal-frequency edges (min, interior quantiles, max) of ``col``.
+def _inside(rows: DataFrame, brackets: list[tuple]) -> DataFrame:
+    """``rows`` (g, v) once for each bracket (i, g, low, high) that holds them: i, v, and low and high.
 
-    ``exact=None``: one aggregation computes the row count, min, max and
-    ``percentile_approx`` (bounded memory) together; only when that count
-    shows at most ``EXACT_QUANTILE_MAX_ROWS`` rows does a second, small pass
-    compute exact linear-interpolated ``percentile``.  At scale: one pass.
+    Brackets are bounded by the number of ranks, so they may be broadcast.
     """
-    probs = [i / q for i in range(1, q)]
-    c = F.col(col).cast("double")
-    present = df.where(F.col(col).isNotNull())
-    if exact is None:
-        first = present.agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("lo"),
-                            F.percentile_approx(c, probs, accuracy).alias("mid"), F.max(c).alias("hi")).first()
-        if first is None or not first["n"]:
-            return []
-        if first["n"] > EXACT_QUANTILE_MAX_ROWS:
-            return [first["lo"], *first["mid"], first["hi"]]
-        exact = True
-    qs = F.percentile(c, probs) if exact else F.percentile_approx(c, probs, accuracy)
-    row = present.agg(F.min(c).alias("lo"), qs.alias("mid"), F.max(c).alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return []
-    return [row["lo"], *row["mid"], row["hi"]]
+    b = rows.sparkSession.createDataFrame(brackets, "i int, bg string, low double, high double")
+    return rows.join(F.broadcast(b), F.col("g").eqNullSafe(F.col("bg")) & (F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
+
+
+def _order_statistics(rows: DataFrame, ranks: list[tuple[str | None, int]]) -> dict[tuple[str | None, int], float]:
+    """The value of each (group, rank from 0) in ``rows`` (g string, v double, no NULLs)."""
+    out: dict[tuple[str | None, int], float] = {}
+    # of each rank: bracket, and how many values of its group lie below it
+    state = {r: (float("-inf"), float("inf"), 0) for r in ranks}
+    while state:
+        todo = list(state)
+        held = _inside(rows, [(i, r[0], state[r][0], state[r][1]) for i, r in enumerate(todo)])
+        seen = held.groupBy("i").agg(F.count("*").alias("n"), F.approx_count_distinct("v").alias("d"),
+                                     F.percentile_approx("v", [k / CUTS for k in range(CUTS + 1)], 50 * CUTS).alias("cuts"))
+        few, many = [], {}
+        for x in seen.collect():
+            few.append(x["i"]) if x["d"] <= BRACKET_VALUES or len(set(x["cuts"])) <= 2 else many.update({x["i"]: x["cuts"]})
+        if few:
+            small = _inside(rows, [(i, todo[i][0], *state[todo[i]][:2]) for i in few]).groupBy("i", "v").count()
+            values: dict[int, list] = {}
+            for x in small.collect():
+                values.setdefault(x["i"], []).append((x["v"], x["count"]))
+            for i, found in values.items():
+                below = state[todo[i]][2]
+                for v, n in sorted(found):
+                    below += n
+                    if below > todo[i][1]:
+                        out[todo[i]] = v
+                        break
+                del state[todo[i]]
+        if many:
+            # exact counts up to each cut say between which two the rank lies
+            cut = [(i, todo[i][0], float("-inf"), float("inf")) for i in many]
+            spots = F.create_map(*[x for i, c in many.items() for x in (F.lit(i), F.array(*map(F.lit, sorted(set(c)))))])
+            counts = _inside(rows, cut).withColumn("cuts", spots[F.col("i")]).withColumn(
+                "k", F.size(F.filter("cuts", lambda c: c < F.col("v")))).groupBy("i", "k").count().collect()
+            for i, c in many.items():
+                edges, at, rank = sorted(set(c)), 0, todo[i][1]
+                for k, n in sorted((x["k"], x["count"]) for x in counts if x["i"] == i):
+                    if at + n > rank:  # values over edges[k - 1] up to edges[k]
+                        low = math.nextafter(edges[k - 1], math.inf) if k else float("-inf")
+                        state[todo[i]] = (low, edges[k] if k < len(edges) else float("inf"), at)
+                        break
+                    at += n
+    return out
+
+
+def quantiles(df: DataFrame, val: str, probs: Sequence[float], group: str | None = None) -> dict:
+    """Exact linear-interpolated quantiles of the non-NULL values: {group: (n, [q, ..])}; the group is None without one.
+
+    Every step is an aggregation over all rows; a bracket that still holds more
+    than BRACKET_VALUES distinct values is cut in CUTS parts and counted again,
+    so n rows take about log(n) / log(CUTS) steps of bounded memory.
+    """
+    g = F.col(group).cast("string") if group else F.lit(None).cast("string")
+    rows = df.where(F.col(val).isNotNull()).select(g.alias("g"), F.col(val).cast("double").alias("v"))
+    sizes = {r["g"]: r["count"] for r in rows.groupBy("g").count().limit(MOST_GROUPS + 1).collect()}
+    if len(sizes) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups")
+    places = {(name, p): p * (n - 1) for name, n in sizes.items() for p in probs}
+    ranks = {(name, r) for (name, _), h in places.items() for r in (math.floor(h), math.ceil(h))}
+    at = _order_statistics(rows, sorted(ranks, key=lambda r: (r[0] is not None, r[0] or "", r[1])))
+
+    def value(name, p) -> float:
+        h = places[name, p]
+        low, high = at[name, math.floor(h)], at[name, math.ceil(h)]
+        return low if low == high else low + (high - low) * (h - math.floor(h))
+
+    return {name: (n, [value(name, p) for p in probs]) for name, n in sizes.items()}
+
+
+def quantile_edges(df: DataFrame, col: str, q: int = 5) -> list[float]:
+    """The q+1 equal-frequency edges (min, interior quantiles, max) of ``col``; none without values."""
+    found = quantiles(df, col, [i / q for i in range(q + 1)])
+    return found[None][1] if found else []
 
 
 def bucket_expr(col: str, edges: Sequence[float], labels: Sequence[str] | None = None) -> Column:
@@ -131,13 +191,13 @@ def bucket_expr(col: str, edges: Sequence[float], labels: Sequence[str] | None =
 
 
 def quantile_bucket(df: DataFrame, col: str, q: int = 5, labels: Sequence[str] | None = None,
-                    out: str = "size_bucket", collapse: bool = False, exact: bool | None = None) -> DataFrame:
+                    out: str = "size_bucket", collapse: bool = False) -> DataFrame:
     """Add ``out``: the equal-frequency bucket of ``col`` (pandas ``qcut`` semantics).
 
     Ties stay in one bucket.  Duplicate edges raise unless ``collapse``, which
     drops the empty buckets (and their labels).
     """
-    edges = quantile_edges(df, col, q, exact)
+    edges = quantile_edges(df, col, q)
     labels = list(labels) if labels is not None else [str(i + 1) for i in range(q)]
     if not edges:
         return df.withColumn(out, F.lit(None).cast("string"))
@@ -153,41 +213,27 @@ def quantile_bucket(df: DataFrame, col: str, q: int = 5, labels: Sequence[str] |
     return df.withColumn(out, bucket_expr(col, edges, labels))
 
 
-def _quartiles(val: Column, exact: bool) -> Column:
-    if exact:
-        return F.percentile(val, [0.25, 0.5, 0.75])
-    return F.percentile_approx(val, [0.25, 0.5, 0.75], 100_000)
+def _quartile_table(base: DataFrame, bucket: str) -> DataFrame:
+    """bucket, n, q1, median, q3: one row per bucket, at most MOST_GROUPS."""
+    found = quantiles(base, "__v", [0.25, 0.5, 0.75], bucket)
+    kind = base.schema[bucket].dataType
+    return base.sparkSession.createDataFrame([(g, n, *q) for g, (n, q) in found.items()],
+                                             "b string, n long, q1 double, median double, q3 double") \
+        .select(F.col("b").cast(kind).alias(bucket), "n", "q1", "median", "q3")
 
 
-def _grouped_quartiles(base: DataFrame, bucket: str, exact: bool | None) -> DataFrame:
-    """Per bucket: n and the quartile array ``__q``.
-
-    ``exact=None``: approximate quartiles and counts in one aggregation; if the
-    counts (one row per bucket, a bounded collect) total at most
-    ``EXACT_QUANTILE_MAX_ROWS``, the small input is aggregated again exactly.
-    """
-    def agg(ex: bool) -> DataFrame:
-        return base.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), _quartiles(F.col("__v"), ex).alias("__q"))
-
-    if exact is not None:
-        return agg(exact)
-    approx = agg(False)
-    total = sum(r["n"] for r in approx.select("n").collect())
-    return agg(True) if total <= EXACT_QUANTILE_MAX_ROWS else approx
+def _rounded(name: str, digits: int | None) -> Column:
+    return F.col(name) if digits is None else F.round(name, digits).alias(name)
 
 
-def box_summary(df: DataFrame, bucket: str, val: str, digits: int = 6, exact: bool | None = None) -> DataFrame:
+def box_summary(df: DataFrame, bucket: str, val: str, digits: int | None = None) -> DataFrame:
     """Per bucket: n, q1, median, q3, iqr, whiskers (furthest points within 1.5 IQR), outliers.
 
-    Two aggregations over the rows and a join of the per-bucket quartiles back
-    to them; that side has one row per bucket (bounded by q) and is broadcast.
+    The quartiles, a row per bucket, are broadcast to one pass for the whiskers.
     """
     v = F.col(val).cast("double")
     base = df.where(F.col(bucket).isNotNull() & F.col(val).isNotNull()).select(F.col(bucket), v.alias("__v"))
-    quart = _grouped_quartiles(base, bucket, exact)
-    quart = quart.select(bucket, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                         F.col("__q")[2].alias("q3"))
-    quart = quart.withColumn("iqr", F.col("q3") - F.col("q1")).withColumns({
+    quart = _quartile_table(base, bucket).withColumn("iqr", F.col("q3") - F.col("q1")).withColumns({
         "__lo": F.col("q1") - 1.5 * F.col("iqr"), "__hi": F.col("q3") + 1.5 * F.col("iqr")})
     x = F.col("__v")
     inside = (x >= F.col("__lo")) & (x <= F.col("__hi"))
@@ -196,17 +242,14 @@ def box_summary(df: DataFrame, bucket: str, val: str, digits: int = 6, exact: bo
         F.max(F.when(inside, x)).alias("upper_whisker"),
         F.count_if(~inside).cast("bigint").alias("n_outliers"),
     )
-    r = lambda c: F.round(F.col(c), digits).alias(c)
-    return summary.select(bucket, F.col("n").cast("bigint").alias("n"), r("q1"), r("median"), r("q3"), r("iqr"),
-                          r("lower_whisker"), r("upper_whisker"), "n_outliers")
+    return summary.select(bucket, "n", *[_rounded(c, digits) for c in (
+        "q1", "median", "q3", "iqr", "lower_whisker", "upper_whisker")], "n_outliers")
 
 
-def median_by_bucket(df: DataFrame, bucket: str, val: str, out: str = "median_ratio", digits: int = 6,
-                     exact: bool | None = None) -> DataFrame:
+def median_by_bucket(df: DataFrame, bucket: str, val: str, out: str = "median_ratio", digits: int | None = None) -> DataFrame:
     base = df.where(F.col(bucket).isNotNull() & F.col(val).isNotNull()).select(
         F.col(bucket), F.col(val).cast("double").alias("__v"))
-    quart = _grouped_quartiles(base, bucket, exact)
-    return quart.select(bucket, F.col("n").cast("bigint").alias("n"), F.round(F.col("__q")[1], digits).alias(out))
+    return _quartile_table(base, bucket).withColumn(out, F.col("median")).select(bucket, "n", _rounded(out, digits))
 
 
 def log_density(df: DataFrame, x: str, y: str, y_bins_per_unit: int = 100) -> DataFrame:
@@ -219,7 +262,7 @@ def log_density(df: DataFrame, x: str, y: str, y_bins_per_unit: int = 100) -> Da
     ).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def points(df: DataFrame, x: str, y: str, cap: int | None = 20_000, order: Sequence[str] = ()) -> DataFrame:
+def points(df: DataFrame, x: str, y: str, cap: int | None = None, order: Sequence[str] = ()) -> DataFrame:
     """Rows with both measures present; with ``cap``, the first ``cap`` by ``order`` (reproducible)."""
     pts = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     if cap is None:

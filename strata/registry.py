@@ -175,19 +175,21 @@ def numeric_projection_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 X, Y = "company_revenue_usd", "total_loss_revenue_ratio"
+#: Digits that the registered queries round statistics to, as their oracles do.
+DIGITS = 6
 
 
 def pearson_zero_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.corr(gold_fact_q(spark, sf_dir), X, Y, nulls="zero")
+    return stats.corr(gold_fact_q(spark, sf_dir), X, Y, nulls="zero", digits=DIGITS)
 
 
 def pearson_pairwise_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.corr(gold_fact_q(spark, sf_dir), X, Y, nulls="pairwise")
+    return stats.corr(gold_fact_q(spark, sf_dir), X, Y, nulls="pairwise", digits=DIGITS)
 
 
 def correlation_matrix_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = gold_fact_q(spark, sf_dir)
-    return stats.corr_matrix(g, stats.numeric_columns(g), nulls="zero")
+    return stats.corr_matrix(g, stats.numeric_columns(g), nulls="zero", digits=DIGITS)
 
 
 def size_vs_loss_points_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,11 +210,11 @@ def size_quantile_bucket_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def box_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.box_summary(_bucketed(spark, sf_dir), "size_bucket", Y)
+    return stats.box_summary(_bucketed(spark, sf_dir), "size_bucket", Y, digits=DIGITS)
 
 
 def median_ratio_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.median_by_bucket(_bucketed(spark, sf_dir), "size_bucket", Y)
+    return stats.median_by_bucket(_bucketed(spark, sf_dir), "size_bucket", Y, digits=DIGITS)
 
 
 def size_loss_density_q(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,8 +17,8 @@ def test_corr_policies_and_zero_variance(spark):
     want_pair = np.corrcoef(pair.a, pair.b)[0, 1]
     z = pdf.fillna(0.0)
     want_zero = np.corrcoef(z.a, z.b)[0, 1]
-    assert stats.corr(df, "a", "b", "pairwise").first().r == pytest.approx(round(want_pair, 6))
-    assert stats.corr(df, "a", "b", "zero").first().r == pytest.approx(round(want_zero, 6))
+    assert stats.corr(df, "a", "b", "pairwise").first().r == pytest.approx(want_pair)
+    assert stats.corr(df, "a", "b", "zero").first().r == pytest.approx(want_zero)
     const = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0)], "a double, b double")
     assert stats.corr(const, "a", "b").first().r is None
     empty = spark.createDataFrame([], "a double, b double")
@@ -51,6 +51,24 @@ def test_quantile_bucket_duplicate_edges(spark):
     assert out.where(F.col("b").isNull()).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 7, 60])
+def test_quantiles_are_exact_however_narrow_the_memory(spark, partitions, monkeypatch):
+    """Brackets of a few values force several narrowing steps; ties and groups included."""
+    monkeypatch.setattr(stats, "BRACKET_VALUES", 5)
+    monkeypatch.setattr(stats, "CUTS", 8)
+    rng = np.random.default_rng(1)
+    rows = [("a", float(v)) for v in rng.normal(size=700)] + [("b", float(v % 9)) for v in range(300)] + [("c", 4.0)]
+    df = spark.createDataFrame(rows + [("a", None), (None, 2.0)], "g string, v double").repartition(partitions)
+    probs = [0.0, 0.2, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = stats.quantiles(df, "v", probs, "g")
+    for g in ("a", "b", "c", None):
+        own = [v for x, v in rows + [(None, 2.0)] if x == g]
+        assert got[g][0] == len(own) and got[g][1] == pytest.approx(list(np.quantile(own, probs)), abs=1e-12)
+    every = [v for _, v in rows] + [2.0]
+    assert stats.quantile_edges(df, "v", 5) == pytest.approx(list(np.quantile(every, [0, 0.2, 0.4, 0.6, 0.8, 1])), abs=1e-12)
+    assert stats.quantile_edges(df.limit(0), "v") == []
+
+
 def test_box_summary_matches_numpy(spark):
     rng = np.random.default_rng(3)
     v = np.concatenate([rng.normal(0, 1, 200), [15.0, -12.0]])
