@@ -9,7 +9,6 @@ plans      The compositions a user runs: the three silver builds, the gold
            fact, the audit profile.
 sources    Ingest and table I/O (CSV scan, lineage, table writes, schema
            bootstrap) and the raw views derived from the driver tables.
-streaming  Incremental (micro-batch) runner of the same silver operators.
 """
 
 __version__ = "0.1.0"

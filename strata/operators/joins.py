@@ -1,9 +1,8 @@
 """Lookups against dimension tables.
 
-A dimension is broadcast only behind a size check: ``limit(max_rows + 1)``
-reads at most that many rows, so the check costs a bounded scan even when the
-"dimension" turns out to be large.  Beyond the bound the join is left to
-Catalyst/AQE (sort-merge, or a runtime broadcast when statistics allow).
+A dimension is broadcast only behind a check of the bytes that would be sent: one
+aggregation over its key and the columns asked for.  Beyond the bound the join is
+left to Catalyst/AQE (sort-merge, or a runtime broadcast when statistics allow).
 """
 
 from __future__ import annotations
@@ -13,17 +12,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Largest dimension (rows) we broadcast on our own authority.
-MAX_BROADCAST_ROWS = 1_000_000
+#: Most bytes (of values, as text, and 16 for each of them) that we broadcast on our own authority.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (bounded check)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when all values of ``dim`` take at most ``max_bytes``."""
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in dim.columns), F.lit(0))
+    return (dim.agg(F.sum(size.cast("long"))).first()[0] or 0) <= max_bytes
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, left_on: str | Sequence[str], right_on: str | Sequence[str],
-                columns: Sequence[str], max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                columns: Sequence[str], max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``df LEFT JOIN dim`` on equal keys, adding ``columns`` of ``dim``.
 
     NULL or unmatched keys give NULL columns (SQL semantics).  ``dim`` must be
@@ -33,7 +33,7 @@ def left_lookup(df: DataFrame, dim: DataFrame, left_on: str | Sequence[str], rig
     rk = [right_on] if isinstance(right_on, str) else list(right_on)
     names = [f"__dim_key_{i}" for i in range(len(rk))]
     d = dim.select(*[F.col(k).alias(n) for k, n in zip(rk, names)], *[F.col(c) for c in columns])
-    if fits_broadcast(dim, max_rows):
+    if fits_broadcast(d, max_bytes):
         d = F.broadcast(d)
     cond = None
     for a, b in zip(lk, names):

@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.oracle import AS_OF, AS_OF_2  # noqa: F401  (shared constants)
+import os
 import uuid
 
 from strata import schemas
 from strata.functions import clean, rules
 from strata.operators import merge, profile, stats
-from strata.session import materialize
+from strata.session import materialize, shared_dir
 from strata.sources import io
-from strata.plans import gold, silver_financial, silver_incidents, silver_market
+from strata.plans import audit, gold, silver_financial, silver_incidents, silver_market
 from strata.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,11 +143,46 @@ def merge_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Gold and analysis
 # ---------------------------------------------------------------------------
+_STORED: dict[tuple, str] = {}
+BUCKETS = "spark.sql.shuffle.partitions"
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Path or table that ``write`` made, once per session and input."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name, fx.digest())
+    if key not in _STORED:
+        made = name + "_" + _run_id()
+        write(made)
+        _STORED[key] = made
+    return _STORED[key]
+
+
+def silver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A silver build as the layer stores it: bucketed on the key, so that joins on it shuffle nothing."""
+    build = {
+        "incidents_master": lambda: silver_incidents.build(fx.raw_incidents(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK),
+        "financial_impact": lambda: silver_financial.build(fx.raw_financial(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK),
+        "market_impact": lambda: silver_market.build_table(fx.raw_market(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK),
+    }[name]
+
+    def write(made: str) -> None:
+        io.ensure_schemas(spark, ["silver"])
+        io.write_table(build(), f"silver.{made}", "overwrite", io.table_location(spark, f"silver.{made}"),
+                       bucket_by=(int(spark.conf.get(BUCKETS)), ["incident_id"]), sort_by=["incident_id"])
+
+    return spark.table("silver." + _once(spark, sf_dir, name, write))
+
+
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored gold fact, which the analysis reads."""
+    def write(made: str) -> None:
+        gold_fact_q(spark, sf_dir).write.parquet(shared_dir(spark, "gold", made))
+
+    return spark.read.parquet(shared_dir(spark, "gold", _once(spark, sf_dir, "incident_fact", write)))
+
+
 def _silvers(spark: SparkSession, sf_dir: str):
-    inc = silver_incidents.build(fx.raw_incidents(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
-    fin = silver_financial.build(fx.raw_financial(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
-    mkt = silver_market.build_table(fx.raw_market(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
-    return inc, fin, mkt
+    return tuple(silver_table(spark, sf_dir, n) for n in ("incidents_master", "financial_impact", "market_impact"))
 
 
 def gold_fact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +191,7 @@ def gold_fact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def country_lookup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inc = silver_incidents.build(fx.raw_incidents(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
+    inc = silver_table(spark, sf_dir, "incidents_master")
     return gold.with_country(inc.select("incident_id", "country_hq"), fx.dim_country(spark, sf_dir))
 
 
@@ -165,13 +201,13 @@ def gold_left_joins_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def safe_ratios_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_fact_q(spark, sf_dir).select(
+    return gold_table(spark, sf_dir).select(
         "incident_id", "total_loss_usd", "total_loss_revenue_ratio", "total_loss_employee_ratio",
         "total_loss_downtime_ratio", "total_loss_data_compromised_records_ratio")
 
 
 def numeric_projection_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.numeric_projection(gold_fact_q(spark, sf_dir))
+    return stats.numeric_projection(gold_table(spark, sf_dir))
 
 
 X, Y = "company_revenue_usd", "total_loss_revenue_ratio"
@@ -180,15 +216,15 @@ DIGITS = 6
 
 
 def pearson_zero_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.corr(gold_fact_q(spark, sf_dir), X, Y, nulls="zero", digits=DIGITS)
+    return stats.corr(gold_table(spark, sf_dir), X, Y, nulls="zero", digits=DIGITS)
 
 
 def pearson_pairwise_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.corr(gold_fact_q(spark, sf_dir), X, Y, nulls="pairwise", digits=DIGITS)
+    return stats.corr(gold_table(spark, sf_dir), X, Y, nulls="pairwise", digits=DIGITS)
 
 
 def correlation_matrix_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = gold_fact_q(spark, sf_dir)
+    g = gold_table(spark, sf_dir)
     return stats.corr_matrix(g, stats.numeric_columns(g), nulls="zero", digits=DIGITS)
 
 
@@ -196,12 +232,12 @@ def size_vs_loss_points_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All points with both measures present.  The reference capped them at
     20,000 only to protect driver memory before plotting; nothing is collected
     here, so no row is dropped (``stats.points(cap=...)`` keeps the option)."""
-    g = gold_fact_q(spark, sf_dir).select("incident_id", X, Y)
+    g = gold_table(spark, sf_dir).select("incident_id", X, Y)
     return stats.points(g, X, Y, cap=None)
 
 
 def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pts = materialize(stats.points(gold_fact_q(spark, sf_dir).select("incident_id", X, Y), X, Y, cap=None))
+    pts = materialize(stats.points(gold_table(spark, sf_dir).select("incident_id", X, Y), X, Y, cap=None))
     return stats.quantile_bucket(pts, X, 5, stats.SIZE_LABELS)
 
 
@@ -218,7 +254,39 @@ def median_ratio_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def size_loss_density_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.log_density(gold_fact_q(spark, sf_dir), X, Y, 100)
+    return stats.log_density(gold_table(spark, sf_dir), X, Y, 100)
+
+
+def _long(df: DataFrame, section: str, name: str, metrics: list[str]) -> DataFrame:
+    """Rows (section, name, metric, value) of a result; ``name`` and each metric are column names."""
+    pairs = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in metrics)
+    return df.selectExpr(f"'{section}' AS section", f"CAST(`{name}` AS STRING) AS name", f"stack({len(metrics)}, {pairs}) AS (metric, value)")
+
+
+BOX_METRICS = ["n", "q1", "median", "q3", "iqr", "lower_whisker", "upper_whisker", "n_outliers"]
+
+
+def gold_analysis_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole analysis of the gold fact as rows (section, name, metric, value)."""
+    found = gold.analyze(gold_table(spark, sf_dir))
+    matrix = found["correlation_matrix"].selectExpr("'correlation' AS section", "x AS name", "y AS metric", "r AS value")
+    sizes = found["size_buckets"].groupBy("size_bucket").agg(F.count("*").alias("rows"))
+    density = found["density"].selectExpr("'density' AS section", "CAST(log10_x_bin AS STRING) AS name",
+                                          "CAST(y_bin AS STRING) AS metric", "CAST(n AS DOUBLE) AS value")
+    rows = matrix.unionByName(_long(found["box_summary"], "box", "size_bucket", BOX_METRICS)) \
+        .unionByName(_long(found["median_by_size"], "median", "size_bucket", ["median_ratio"])) \
+        .unionByName(_long(sizes, "size", "size_bucket", ["rows"])).unionByName(density)
+    return rows.withColumn("value", F.round("value", DIGITS))
+
+
+def audit_run_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole audit of the bronze incidents as rows (section, name, metric, value)."""
+    found = audit.run(fx.raw_incidents(spark, sf_dir), "bronze", "incidents_master_raw", FOCUS_COL, AS_OF)
+    after = found.nulls_after_clean.withColumn("name", F.lit(FOCUS_COL))
+    return _long(found.nulls, "nulls", "column_name", ["null_count", "null_pct"]) \
+        .unionByName(_long(found.placeholders, "placeholders", "column_name", ["placeholder_count"])) \
+        .unionByName(_long(found.placeholder_values, "values", "raw_value", ["count"])) \
+        .unionByName(_long(after, "cleaned", "name", ["rows", "nulls_after_clean"]))
 
 
 # ---------------------------------------------------------------------------
@@ -405,7 +473,7 @@ def bronze_overwrite_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def describe_bronze_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return io.describe(bronze_overwrite_q(spark, sf_dir))
+    return io.describe(bronze_lineage_q(spark, sf_dir))
 
 
 def layer_schemas_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -450,12 +518,10 @@ def table_replace_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run_id()
     io.ensure_schemas(spark)
     name = "silver.financial_impact"
-    loc = io.table_location(spark, name, run)
     rows = silver_financial.build(fx.raw_financial(spark, sf_dir), as_of=AS_OF, tiebreak=TIEBREAK)
-    for _ in range(2):  # full refresh twice: the table holds one copy
-        io.create_table(spark, name, schemas.FINANCIAL, replace=True, path=loc)
-        io.write_table(rows, name, "append", loc)
-    return spark.table(name)
+    # one overwrite: no reader finds the table empty in between
+    return io.write_table(schemas.conform(rows, schemas.FINANCIAL), f"{name}_{run}", "overwrite",
+                          io.table_location(spark, name, run))
 
 
 def queries() -> dict[str, Query]:
@@ -484,6 +550,8 @@ def queries() -> dict[str, Query]:
         "box_summary_by_size": box_summary_q,
         "median_ratio_by_size": median_ratio_q,
         "size_loss_density": size_loss_density_q,
+        "gold_analysis": gold_analysis_q,
+        "audit_run": audit_run_q,
         **{k: _column_query(k) for k in COLUMN_KEYS},
         "key_not_null": key_not_null_q,
         "placeholder_nullify_all": placeholder_nullify_all_q,

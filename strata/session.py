@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +16,13 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Wide cleaning projections generate methods above the JIT's 8000-byte
-    # limit; without this flag they run interpreted (about 4x slower).
-    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
-    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
+#: Wide cleaning projections generate methods above the JIT's 8000-byte limit;
+#: without this flag they run interpreted (about 4x slower).  Set on local
+#: sessions; a cluster's own Java options are left alone, add it there.
+JIT_FLAG = "-XX:-DontCompileHugeMethods"
+
 
 def get_session(
     master: str | None = None,
@@ -32,14 +32,15 @@ def get_session(
 ) -> SparkSession:
     """Build (or reuse) a session with the settings above.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]``; on a cluster pass
-    ``master=None`` through ``spark-submit`` and the cluster manager decides.
+    Without ``master`` the one given to ``spark-submit`` (or Spark's default) holds.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None:
-        master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
-    builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master is not None:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            given = (extra or {}).get("spark.driver.extraJavaOptions", "")
+            extra = {**(extra or {}), "spark.driver.extraJavaOptions": f"{given} {JIT_FLAG}".strip()}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -73,6 +74,15 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts])
 
 
+def drop_shared(spark: SparkSession, path: str) -> bool:
+    """Delete a folder below the shared one, once nothing reads it any more."""
+    base = shared_dir(spark)
+    if not path.startswith(base.rstrip("/") + "/"):
+        raise ValueError(f"{path} is not below {base}")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage: a reliable checkpoint in the shared folder.
 
@@ -92,19 +102,22 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     wider than that are returned untouched, so at scale this adds no shuffle.
     """
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    files = len(df.inputFiles())
+    return df.repartition(n) if files < n else df
 
 
 def scale_conf(input_bytes: int, executors_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings for a run over ``input_bytes`` of Parquet on ``executors_cores`` task slots.
 
-    * shuffle partitions: enough that each holds ~``target_partition_bytes``
-      before AQE coalesces small ones (never fewer than 2 waves of tasks);
+    * shuffle partitions: each holds ~``target_partition_bytes``, at least two
+      waves of tasks, but no more than leave a map task's blocks at 32 KB (a scan
+      task of 512 MB then writes 16,384 blocks); larger partitions spill;
     * scan splits of 512 MB: wide string rows decode slower than they read;
     * skew join: split partitions 5x the median and above 256 MB.
-    E.g. 100 TB on 8,000 cores -> 409,600 shuffle partitions, coalesced at runtime.
+    E.g. 100 TB on 8,000 cores -> 16,384 shuffle partitions.
     """
-    parts = max(2 * executors_cores, -(-input_bytes // target_partition_bytes))
+    most = max(1, (512 << 20) // (32 << 10))
+    parts = max(2 * executors_cores, min(most, -(-input_bytes // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),

@@ -324,13 +324,13 @@ _DERIVE = {"raw_incidents": derive_incidents, "raw_financial": derive_financial,
 _STORED: dict[tuple, str] = {}
 
 
-def _digest() -> str:
+def digest() -> str:
     text = repr([incidents_columns(SPARK), financial_columns(SPARK), market_columns(SPARK)])
     return hashlib.sha1(text.encode()).hexdigest()[:12]
 
 
 def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name, _digest())
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name, digest())
     path = _STORED.get(key)
     if path is None:
         path = shared_dir(spark, "bronze", uuid.uuid4().hex[:12], name)

@@ -61,7 +61,7 @@ def test_scale_conf():
     from strata.session import scale_conf
 
     c = scale_conf(100 * 2 ** 40, 8000)
-    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(c["spark.sql.shuffle.partitions"]) == 16384
     assert int(scale_conf(1, 8)["spark.sql.shuffle.partitions"]) == 16
 
 
@@ -105,8 +105,8 @@ def test_left_lookup_broadcasts_only_within_bound(spark):
     dim = spark.createDataFrame([("a", "A"), ("b", "B"), ("c", "C")], "code string, name string")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = joins.left_lookup(facts, dim, "k", "code", ["name"], max_rows=10)
-        big = joins.left_lookup(facts, dim, "k", "code", ["name"], max_rows=2)
+        small = joins.left_lookup(facts, dim, "k", "code", ["name"], max_bytes=1000)
+        big = joins.left_lookup(facts, dim, "k", "code", ["name"], max_bytes=3)
         p_small = small._jdf.queryExecution().executedPlan().toString()
         p_big = big._jdf.queryExecution().executedPlan().toString()
         got_small, got_big = sorted(map(tuple, small.collect()), key=repr), sorted(map(tuple, big.collect()), key=repr)
@@ -114,3 +114,51 @@ def test_left_lookup_broadcasts_only_within_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastExchange" in p_small and "BroadcastExchange" not in p_big
     assert got_small == got_big == sorted([("a", 1, "A"), ("b", 2, "B"), (None, 3, None), ("z", 4, None)], key=repr)
+
+
+def test_session_leaves_the_master_to_spark_submit(monkeypatch):
+    """Without a master none is set; local sessions get the JIT flag beside the caller's options."""
+    from strata import session
+
+    seen = {}
+
+    class Builder:
+        def appName(self, name):
+            return self
+
+        def master(self, m):
+            seen["master"] = m
+            return self
+
+        def config(self, k, v):
+            seen[k] = v
+            return self
+
+        def getOrCreate(self):
+            class S:
+                class sparkContext:  # noqa: N801
+                    @staticmethod
+                    def setLogLevel(level):
+                        pass
+            return S()
+
+    class Fake:
+        builder = Builder()
+
+    monkeypatch.setattr(session, "SparkSession", Fake)
+    session.get_session()
+    assert "master" not in seen and "spark.driver.extraJavaOptions" not in seen
+    session.get_session(master="local[2]", extra={"spark.driver.extraJavaOptions": "-Xss8m"})
+    assert seen["master"] == "local[2]" and seen["spark.driver.extraJavaOptions"] == f"-Xss8m {session.JIT_FLAG}"
+
+
+def test_drop_shared_keeps_to_the_shared_folder(spark):
+    import pytest
+
+    from strata.session import drop_shared, shared_dir
+
+    path = shared_dir(spark, "drop", "me")
+    spark.range(3).write.parquet(path)
+    assert drop_shared(spark, path) and not drop_shared(spark, path)
+    with pytest.raises(ValueError):
+        drop_shared(spark, "/elsewhere")

@@ -36,7 +36,7 @@ def main(argv):
     import __spark_entry__ as entry
     from strata.session import get_session
 
-    spark = get_session(shuffle_partitions=8)
+    spark = get_session(master="local[*]", shuffle_partitions=8)
     print(f"# Physical plans of the registered queries ({os.path.basename(sf_dir)}, initial AQE plan)\n")
     print("Generated by `tools/plan_report.py`. Counts are plan nodes. Small inputs make Catalyst broadcast the")
     print("silvers (BHJ); at scale the same joins are sort-merge joins on `incident_id` that reuse the silvers'")
