@@ -25,32 +25,35 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import hashlib
+from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.llm.common import stored
-from strata.llm.components import components
+from strata.llm.components import connect
 
 #: Counters of the shingle order (4 MB), in blocks that are summed apart, by that many first sums.
 COUNTERS, BLOCK, FIRST_SUMS = 1 << 20, 1 << 12, 64
 #: Bits of the table of ids whose sets are fetched (a hint: false positives are fetched in vain).
 FETCH_BITS = 1 << 24
-#: Stars are repeated, so often at most, while the rest would meet more pairs than this times the index rows.
-REST_FACTOR, MOST_STARS = 4, 5
+#: Rows that a task works on at once.
+ROWS = 400
 #: Multipliers of the words' hashes in a shingle, by position (odd numbers from one sequence).
 STEP = 0x9E3779B97F4A7C15
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))
+
+
 def shingles(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct 48-bit hashes of the n-word shingles."""
     words = (text or "").encode().lower().split()
@@ -87,10 +90,9 @@ def order_counters(docs: DataFrame, n: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
-        for batch in batches:
-            found = [shingles(v.as_py(), n) for v in batch.column(1)]
-            if found:
-                total += np.bincount((np.concatenate(found) % COUNTERS).astype(np.int64), minlength=COUNTERS)
+        for batch in slices(batches):
+            found = np.concatenate([shingles(v.as_py(), n) for v in batch.column(1)])
+            np.add.at(total, (found % COUNTERS).astype(np.int64), 1)
         blocks = total.astype("<i4").reshape(-1, BLOCK)
         salt = TaskContext.get().partitionId() % FIRST_SUMS
         yield pa.RecordBatch.from_pydict({"block": pa.array(range(len(blocks)), pa.int32()),
@@ -123,7 +125,7 @@ def prefixes(docs: DataFrame, n: int, percent: int, counters) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counters.value
-        for batch in batches:
+        for batch in slices(batches):
             sizes, nodes, keys, firsts = [], [], [], []
             for value in batch.column(1):
                 own = shingles(value.as_py(), n)
@@ -162,7 +164,7 @@ def sets_of(docs: DataFrame, n: int, bits) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.frombuffer(bits.value, np.uint8)
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.column(2).to_numpy()
             rows = np.flatnonzero((wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
             nodes, sets = [], []
@@ -177,24 +179,46 @@ def sets_of(docs: DataFrame, n: int, bits) -> DataFrame:
     return _texts(docs, at).mapInArrow(find, "node long, set binary")
 
 
-def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([len(np.intersect1d(unpack48(x), unpack48(y), assume_unique=True)) for x, y in zip(a, b)], dtype="int64")
-
-
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that do link, by their whole sets."""
-    shared = F.pandas_udf(_shared, T.LongType())
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = unpack48(x.as_py()), unpack48(y.as_py())
+                same = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(same * 100 >= percent * (len(x) + len(y) - same))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
     left = pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("_b")), "b")
     both = left.join(sets.select(F.col("node").alias("a"), F.col("set").alias("_a")), "a")
-    count = both.select("a", "b", ((F.length("_a") + F.length("_b")) / 6).cast("long").alias("n"),
-                        shared("_a", "_b").alias("same"))
-    return count.where(F.col("same") * 100 >= percent * (F.col("n") - F.col("same"))).select("a", "b")
+    return both.select("a", "b", "_a", "_b").mapInArrow(linked, "a long, b long")
+
+
+class Sets:
+    """Sets of the nodes that candidate pairs named so far; each is taken from the texts once and kept."""
+
+    def __init__(self, docs: DataFrame, members: DataFrame, n: int):
+        self.docs, self.members, self.n, self.have = docs, members.select("node", F.col("least").alias("doc_id")), n, None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if self.have is not None:
+            nodes = nodes.join(self.have.select("node"), "node", "left_anti")
+        new = stored(self.members.join(nodes, "node", "left_semi"), "wanted")
+        if self.have is None or new.limit(1).count():
+            bits = self.docs.sparkSession.sparkContext.broadcast(_bitmap(new))
+            got = sets_of(self.docs, self.n, bits).join(new.select("node"), "node", "left_semi").dropDuplicates(["node"])
+            got = stored(got, "sets")
+            self.have = got if self.have is None else self.have.unionByName(got)
+        return self.have
 
 
 def _expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs of groups (g1, g2) as pairs of members' nodes."""
-    one, two = (members.select(F.col("grp").alias(g), F.col("node").alias(x)) for g, x in (("g1", "a"), ("g2", "b")))
-    return pairs.join(one, "g1").join(two, "g2").select("a", "b")
+    """Pairs (a, b) of groups as pairs of their members' nodes."""
+    one, two = (members.select(F.col("grp").alias(g), F.col("node").alias(f"_{g}")) for g in ("a", "b"))
+    return pairs.join(one, "a").join(two, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
 
 
 def link(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -214,61 +238,36 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     return _resolve(docs, found, members, tokens, own, n, percent)
 
 
-def _near(percent: int) -> Column:
-    """Size and position filters of two rows (n1, p1), (n2, p2) of a shingle."""
-    n1, n2, p1, p2 = (F.col(c) for c in ("n1", "n2", "p1", "p2"))
-    most = F.least(p1, p2) + 1 + F.least(n1 - 1 - p1, n2 - 1 - p2)
-    alike = F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
-    return alike & (most * (100 + percent) >= (n1 + n2) * percent)
-
-
-def _row(side: int, *more: str) -> list[Column]:
-    return ["token", *[F.col(c).alias(f"{c[0]}{side}") for c in ("grp", "n", "pos", *more)]]
-
+def _near(percent: int, one: Column, two: Column) -> Column:
+    """Size and position filters of two rows (n shingles, position p, q) of a prefix shingle.
 
-def _star(rows: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of groups: each row of a shingle against the shingle's head."""
-    one = heads.select("token", F.col("head.grp").alias("g1"), F.col("head.n").alias("n1"), F.col("head.pos").alias("p1"))
-    return one.join(rows.select(*_row(2)), "token").where(_near(percent) & (F.col("g1") != F.col("g2"))).select("g1", "g2").distinct()
-
-
-def _rest(apart: DataFrame, percent: int) -> DataFrame:
-    """All pairs of groups of a shingle in different components: those outside the main one against all."""
-    one = apart.where("root <> main").select(*_row(1, "root"))
-    two = apart.select(*_row(2, "root"), (F.col("root") != F.col("main")).alias("also"))
-    new = (F.col("r1") != F.col("r2")) & (~F.col("also") | (F.col("g1") < F.col("g2")))
-    return one.join(two, "token").where(new & _near(percent)).select("g1", "g2").distinct()
+    Before it the sets share at most the smaller number of indexed shingles
+    (q: a shingle that no other prefix has cannot be among them), after it at
+    most the smaller number of shingles left.
+    """
+    most = F.least(one["q"], two["q"]) + 1 + F.least(one["n"] - 1 - one["p"], two["n"] - 1 - two["p"])
+    alike = F.least(one["n"], two["n"]) * 100 >= F.greatest(one["n"], two["n"]) * percent
+    return alike & (most * (100 + percent) >= (one["n"] + two["n"]) * percent)
 
 
 def _resolve(docs: DataFrame, found: DataFrame, members: DataFrame, tokens: DataFrame, own: DataFrame, n: int,
              percent: int) -> DataFrame:
     shared = tokens.groupBy("token").agg(F.min("grp").alias("least"), F.max("grp").alias("most")).where("least <> most")
-    index = stored(tokens.join(shared, "token").select("token", "grp", "n", "pos", "least"), "index")
-    heads = index.where("grp = least").select("token", F.struct("grp", "n", "pos").alias("head"))
-
-    wanted = index.select("grp").unionByName(own.select(F.col("b").alias("grp"))).distinct()
-    nodes = members.join(wanted, "grp", "left_semi").select("node", F.col("least").alias("doc_id"))
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(nodes))
-    sets = stored(sets_of(docs, n, bits).join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
-
-    links, rows, tried = verify(own, sets, percent), index, None
-    for _ in range(MOST_STARS):
-        pairs = _expand(_star(rows, heads, percent), members)
-        links = stored(links.unionByName(verify(pairs, sets, percent)), "verified")
-        done = heads.select("token", F.col("head.grp").alias("grp"))
-        tried = stored(done if tried is None else tried.unionByName(done), "tried")
-        place = members.where("node = grp").select("grp").join(
-            components(links).withColumnRenamed("node", "grp"), "grp", "left").select("grp", F.coalesce("root", "grp").alias("root"))
-        rows = index.join(tried, ["token", "grp"], "left_anti").join(place, "grp").select("token", "grp", "n", "pos", "root")
-        spread = rows.groupBy("token").agg(F.min("root").alias("main"), F.max("root").alias("other"), F.count("*").alias("c"))
-        rows = stored(rows.join(spread.where("main <> other"), "token"), "apart")
-        heads = rows.where("root <> main").groupBy("token").agg(F.min(F.struct("grp", "n", "pos")).alias("head"))
-        cost = rows.where("root <> main").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-        if cost <= REST_FACTOR * index.count():
-            break
-    links = stored(links.unionByName(verify(_expand(_rest(rows, percent), members), sets, percent)), "verified")
-
-    named = members.select("node", "least").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    order = Window.partitionBy("grp").orderBy("pos")  # at most a prefix long
+    indexed = tokens.join(shared, "token").withColumn("q", F.row_number().over(order) - 1)
+    index = stored(indexed.select(F.col("token").alias("bucket"), F.col("grp").alias("node"),
+                                  F.struct("n", F.col("pos").alias("p"), "q").alias("info")), "index")
+    sets = Sets(docs, members, n)
+
+    def check(pairs: DataFrame) -> DataFrame:
+        members_pairs = stored(_expand(pairs, members), "members")
+        return verify(members_pairs, sets.of(members_pairs), percent)
+
+    own = stored(own, "pairs")
+    known = stored(verify(own, sets.of(own), percent), "links")
+    roots = connect(index, known, partial(_near, percent), check)
+
+    named = members.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of_node = named.select("node", "root").join(smallest, "root").select("node", "component_id")
     return found.select("doc_id", "n_shingles", "node").join(of_node, "node", "left").select(
