@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import stored
 
 #: Stars are repeated, so often at most, while the rest would meet more pairs than this times the index rows.
-REST_FACTOR, MOST_STARS = 2, 6
+REST_FACTOR, MOST_STARS = 4, 4
 
 
 def _toward_least(edges: DataFrame) -> DataFrame:
@@ -49,7 +49,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if state[0] == 0 or tuple(state) == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = tuple(state)
-        edges = stored(_through_least(_toward_least(edges).distinct()), "links")
+        edges = stored(_through_least(_toward_least(edges)), "links")
+
+
+def labels(links: DataFrame) -> DataFrame:
+    """(node, root): one contraction of links (a, b).
+
+    Equal roots are connected; connected nodes may still differ, so this only
+    saves comparisons, at the price of one round of ``components``.
+    """
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
+    return _through_least(_toward_least(edges)).groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
 
 
 def _star(rows: DataFrame, heads: DataFrame, near: Callable[[Column, Column], Column]) -> DataFrame:
@@ -70,12 +80,13 @@ def _rest(apart: DataFrame, near: Callable[[Column, Column], Column]) -> DataFra
 
 def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, Column], Column],
             check: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Links (a, b) that give the components of all pairs sharing a bucket for which ``check`` holds.
+    """Components, as of ``components``, of the links between all pairs sharing a bucket for which ``check`` holds.
 
     ``index``: bucket, node, info, for buckets of two nodes or more, stored.
     ``near`` is a cheap necessary test of two infos, ``check`` keeps the true
     links of stored candidate pairs.  ``links``: pairs known to link.  No pair in
     different components is left unchecked; only pairs already connected are.
+    Between stars one contraction of the links (``labels``) tells most of those.
     """
     rows, tried, size = index, None, index.count()
     heads = index.groupBy("bucket").agg(F.min(F.struct("node", "info")).alias("head"))
@@ -89,7 +100,7 @@ def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, C
         links = add(_star(rows, heads, near))
         done = heads.select("bucket", F.col("head.node").alias("node"))
         tried = stored(done if tried is None else tried.unionByName(done), "tried")
-        place = nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+        place = nodes.join(labels(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
         rows = index.join(tried, ["bucket", "node"], "left_anti").join(place, "node")
         spread = rows.groupBy("bucket").agg(F.min("root").alias("main"), F.max("root").alias("other"), F.count("*").alias("c"))
         rows = stored(rows.join(spread.where("main <> other"), "bucket"), "apart")
@@ -97,4 +108,4 @@ def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, C
         cost = rows.where("root <> main").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
         if cost <= REST_FACTOR * size:
             break
-    return add(_rest(rows, near)) if cost else links
+    return components(add(_rest(rows, near)) if cost else links)
