@@ -15,8 +15,8 @@ sees more than its own pieces.
 Defined cases: a null text is an empty document; an empty document is one piece
 with the end id; repeated rows are packed each; an empty table gives no rows;
 pieces outside 1..capacity are refused; other columns of ``docs`` are left out,
-those of ``pieces`` pass through (``part``, ``rank``, ``sequence_id`` and
-``offset`` are replaced).
+those of ``pieces`` pass through (``sequence_id`` and ``offset`` are
+replaced).
 """
 
 from __future__ import annotations
@@ -26,10 +26,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.llm.common import stored
 from strata.llm.tokens import encoder
@@ -124,39 +122,24 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     """``pieces`` (a ``length`` column) with ``sequence_id`` and ``offset`` in its sequence."""
     spark: SparkSession = pieces.sparkSession
-    pieces = pieces.drop("part", "rank", "sequence_id", "offset")
-    schema = T.StructType([*pieces.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("rank", T.LongType())])
-    at = pieces.columns.index("length")
-
-    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, part = np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            lengths = batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64)
-            if batch.column(at).null_count or lengths.min() < 1 or lengths.max() > capacity:
-                raise ValueError(f"lengths must be 1..{capacity}")
-            order = np.argsort(lengths, kind="stable")
-            new, first, count = np.unique(lengths[order], return_index=True, return_counts=True)
-            ranks = np.empty(len(lengths), np.int64)
-            ranks[order] = np.arange(len(lengths)) - np.repeat(first, count) + np.repeat(seen[new], count)
-            seen[new] += count
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.full(len(lengths), part, np.int32)), pa.array(ranks)], names=schema.names)
-
-    ranked = stored(pieces.mapInArrow(rank, schema), "pieces")
-    counts = ranked.groupBy("part", "length").count()
+    # numbered where they are made and written: a lost task cannot deal them differently later
+    whole = pieces.select(F.struct(*[c for c in pieces.columns if c not in ("sequence_id", "offset")]).alias("piece"))
+    numbered = stored(whole.select("piece", F.col("piece.length").alias("length"), F.spark_partition_id().alias("part"),
+                                   F.monotonically_increasing_id().alias("at")), "pieces")
+    counts = numbered.groupBy("part", "length").count()
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("part", "length", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
+    bases = counts.select("part", "length", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
+    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).limit(capacity + 1).collect()}
+    if any(n is None or not 1 <= n <= capacity for n in histogram):
+        raise ValueError(f"lengths must be 1..{capacity}")
     runs = spark.createDataFrame(plan(histogram, capacity),
-                                 "length long, _first long, _stop long, _each long, _bin long, _offset long")
-    placed = ranked.join(bases, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("_base"))
+                                 "of long, first long, stop long, each long, bin long, start long")
+    within = F.row_number().over(Window.partitionBy("part", "length").orderBy("at")) - 1
+    ranked = numbered.withColumn("rank", within).join(bases, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("base"))
     # the runs' number depends on the capacity alone, so they may be broadcast
-    here = placed.alias("p").join(F.broadcast(runs.withColumnRenamed("length", "_length")), (F.col("length") == F.col("_length"))
-                                  & (F.col("rank") >= F.col("_first")) & (F.col("rank") < F.col("_stop")))
-    nth = F.col("rank") - F.col("_first")
-    return here.select(
-        *[F.col(f"p.{c}") for c in pieces.columns],
-        (F.col("_bin") + F.floor(nth / F.col("_each"))).cast("long").alias("sequence_id"),
-        (F.col("_offset") + (nth % F.col("_each")) * F.col("length")).cast("long").alias("offset"))
+    placed = ranked.join(F.broadcast(runs), (F.col("length") == F.col("of")) & (F.col("rank") >= F.col("first"))
+                         & (F.col("rank") < F.col("stop")))
+    nth = F.col("rank") - F.col("first")
+    return placed.select(
+        "piece.*", (F.col("bin") + F.floor(nth / F.col("each"))).cast("long").alias("sequence_id"),
+        (F.col("start") + (nth % F.col("each")) * F.col("length")).cast("long").alias("offset"))

@@ -17,7 +17,7 @@ from array import array
 import numpy as np
 
 #: Chunks in the younger of the two cache generations (the older holds as many), and the longest chunk kept.
-CACHE_CHUNKS, CACHE_CHARS = 300_000, 40
+CACHE_CHUNKS, CACHE_CHARS = 200_000, 40
 
 #: Chunks made of characters that normalisation only lower-cases, one by one.
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
