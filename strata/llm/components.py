@@ -79,17 +79,23 @@ def _rest(apart: DataFrame, near: Callable[[Column, Column], Column]) -> DataFra
 
 
 def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, Column], Column],
-            check: Callable[[DataFrame], DataFrame]) -> DataFrame:
+            check: Callable[[DataFrame], DataFrame], viable: Column | None = None, *bounds: Column) -> DataFrame:
     """Components, as of ``components``, of the links between all pairs sharing a bucket for which ``check`` holds.
 
-    ``index``: bucket, node, info, for buckets of two nodes or more, stored.
+    ``index``: bucket, node, info, rank, for buckets of two nodes or more, stored;
+    the row of least rank, the likeliest to link with many, heads its bucket.
+    ``viable``: whether a row may link with any row of its bucket, given
+    ``bounds``, aggregates of the bucket's infos.
     ``near`` is a cheap necessary test of two infos, ``check`` keeps the true
     links of stored candidate pairs.  ``links``: pairs known to link.  No pair in
     different components is left unchecked; only pairs already connected are.
     Between stars one contraction of the links (``labels``) tells most of those.
     """
+    if viable is not None:
+        limits = index.groupBy("bucket").agg(*bounds)
+        index = stored(index.join(limits, "bucket").where(viable).select("bucket", "node", "info", "rank"), "viable")
     rows, tried, size = index, None, index.count()
-    heads = index.groupBy("bucket").agg(F.min(F.struct("node", "info")).alias("head"))
+    heads = index.groupBy("bucket").agg(F.min(F.struct("rank", "node", "info")).alias("head"))
     nodes = index.select("node").distinct()
 
     def add(pairs: DataFrame) -> DataFrame:
@@ -104,7 +110,7 @@ def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, C
         rows = index.join(tried, ["bucket", "node"], "left_anti").join(place, "node")
         spread = rows.groupBy("bucket").agg(F.min("root").alias("main"), F.max("root").alias("other"), F.count("*").alias("c"))
         rows = stored(rows.join(spread.where("main <> other"), "bucket"), "apart")
-        heads = rows.where("root <> main").groupBy("bucket").agg(F.min(F.struct("node", "info")).alias("head"))
+        heads = rows.where("root <> main").groupBy("bucket").agg(F.min(F.struct("rank", "node", "info")).alias("head"))
         cost = rows.where("root <> main").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
         if cost <= REST_FACTOR * size:
             break

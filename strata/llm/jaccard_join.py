@@ -256,7 +256,7 @@ def _resolve(docs: DataFrame, found: DataFrame, members: DataFrame, tokens: Data
     order = Window.partitionBy("grp").orderBy("pos")  # at most a prefix long
     indexed = tokens.join(shared, "token").withColumn("q", F.row_number().over(order) - 1)
     index = stored(indexed.select(F.col("token").alias("bucket"), F.col("grp").alias("node"),
-                                  F.struct("n", F.col("pos").alias("p"), "q").alias("info")), "index")
+                                  F.struct("n", F.col("pos").alias("p"), "q").alias("info"), F.col("pos").alias("rank")), "index")
     sets = Sets(docs, members, n)
 
     def check(pairs: DataFrame) -> DataFrame:
@@ -265,7 +265,11 @@ def _resolve(docs: DataFrame, found: DataFrame, members: DataFrame, tokens: Data
 
     own = stored(own, "pairs")
     known = stored(verify(own, sets.of(own), percent), "links")
-    roots = connect(index, known, partial(_near, percent), check)
+    info, n1 = F.col("info"), F.col("info.n")
+    most = F.least(info["q"], F.col("most_q")) + 1 + F.least(n1 - 1 - info["p"], F.col("most_n") - 1 - F.col("least_p"))
+    viable = most * (100 + percent) >= (n1 + F.col("least_n")) * percent
+    roots = connect(index, known, partial(_near, percent), check, viable, F.max("info.q").alias("most_q"),
+                    F.min("info.p").alias("least_p"), F.min("info.n").alias("least_n"), F.max("info.n").alias("most_n"))
 
     named = members.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
