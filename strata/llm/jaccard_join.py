@@ -6,8 +6,9 @@ with Jaccard similarity of at least ``percent`` share a shingle among the first
 follow.  The order puts shingles of rarely filled counters first: a fixed array
 of counters over all shingles of the corpus, so common lines and passages come last.
 
-1. Equal sets are one class; classes with equal size and prefix are one group,
-   which stands for its members in the index of prefix shingles.
+1. Equal sets are one class; of the classes with equal size and prefix one is the
+   head, and those that link with it are its group, which stands for its members in
+   the index of prefix shingles.  The others are groups of their own.
 2. Groups that share a prefix shingle and pass the size and position filters are
    candidates.  A shingle's groups are first compared with one of them (a star)
    and what links is merged; only groups still apart are then compared in pairs.
@@ -228,14 +229,18 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     found = stored(prefixes(docs, n, percent, counters), "prefixes")
     classes = found.where("node is not null").groupBy("node").agg(F.first("key").alias("key"), F.min("doc_id").alias("least"))
     grouped = classes.groupBy("key").agg(F.min("node").alias("grp"), F.count("*").alias("n_members"))
-    members = stored(classes.join(grouped, "key").select("node", "least", "grp", "n_members"), "members")
+    alike = stored(classes.join(grouped, "key").select("node", "least", "grp", "n_members"), "alike")
+    own = stored(alike.where("n_members > 1 and node <> grp").select(F.col("node").alias("a"), F.col("grp").alias("b")), "pairs")
+    sets = Sets(docs, alike, n)
+    known = stored(verify(own, sets.of(own), percent), "links")
+    # an equal prefix is not yet a link: a set that does not link with its head is a group of its own
+    stays = known.select(F.col("a").alias("node"), F.col("b").alias("head"))
+    members = stored(alike.join(stays, "node", "left").select("node", "least", F.coalesce("head", "node").alias("grp")), "members")
     heads = found.where("node is not null").select(F.col("node").alias("grp"), F.col("n_shingles").cast("int").alias("n"), "prefix")
     heads = heads.join(members.where("node = grp").select("grp"), "grp").groupBy("grp").agg(
         F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     tokens = heads.select("grp", "n", F.posexplode("prefix").alias("pos", "token"))
-    # members of one group share everything a candidate test looks at
-    own = members.where("n_members > 1 and node <> grp").select(F.col("node").alias("a"), F.col("grp").alias("b"))
-    return _resolve(docs, found, members, tokens, own, n, percent)
+    return _resolve(found, members, tokens, sets, known, percent)
 
 
 def _near(percent: int, one: Column, two: Column) -> Column:
@@ -250,21 +255,17 @@ def _near(percent: int, one: Column, two: Column) -> Column:
     return alike & (most * (100 + percent) >= (one["n"] + two["n"]) * percent)
 
 
-def _resolve(docs: DataFrame, found: DataFrame, members: DataFrame, tokens: DataFrame, own: DataFrame, n: int,
-             percent: int) -> DataFrame:
+def _resolve(found: DataFrame, members: DataFrame, tokens: DataFrame, sets: Sets, known: DataFrame, percent: int) -> DataFrame:
     shared = tokens.groupBy("token").agg(F.min("grp").alias("least"), F.max("grp").alias("most")).where("least <> most")
     order = Window.partitionBy("grp").orderBy("pos")  # at most a prefix long
     indexed = tokens.join(shared, "token").withColumn("q", F.row_number().over(order) - 1)
     index = stored(indexed.select(F.col("token").alias("bucket"), F.col("grp").alias("node"),
                                   F.struct("n", F.col("pos").alias("p"), "q").alias("info"), F.col("pos").alias("rank")), "index")
-    sets = Sets(docs, members, n)
 
     def check(pairs: DataFrame) -> DataFrame:
         members_pairs = stored(_expand(pairs, members), "members")
         return verify(members_pairs, sets.of(members_pairs), percent)
 
-    own = stored(own, "pairs")
-    known = stored(verify(own, sets.of(own), percent), "links")
     info, n1 = F.col("info"), F.col("info.n")
     most = F.least(info["q"], F.col("most_q")) + 1 + F.least(n1 - 1 - info["p"], F.col("most_n") - 1 - F.col("least_p"))
     viable = most * (100 + percent) >= (n1 + F.col("least_n")) * percent

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 from collections import defaultdict
@@ -58,6 +59,26 @@ def test_prefix_join_matches_all_pairs(frame, rows):
     assert jaccard_join.link(frame([])).count() == 0
 
 
+def test_links_within_a_prefix_group(frame):
+    """Three sets of equal size and prefix: the head is unlike the two others, which link."""
+    words = lambda name, k: [f"{name}{i}" for i in range(k)]
+    node = lambda w: jaccard_join.shingles(" ".join(w), 4)
+    first = words("p", 7)  # four shingles: the prefix of 20
+    name = lambda w: int.from_bytes(hashlib.blake2b(node(w).tobytes(), digest_size=8).digest(), "little", signed=True)
+    for k in range(100):
+        head, one = first + words(f"h{k}x", 16), first + words("m", 16)
+        two = [*one[:-1], "other"]
+        if name(head) < min(name(one), name(two)):
+            break
+    docs = [head, one, two]
+    for i in range(5):  # the shingles outside the prefix are frequent
+        docs.append([w for d, part in enumerate((head, one, two)) for w in (*words(f"f{i}d{d}x", 40), *part[4:])])
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.link(frame([(i, " ".join(d)) for i, d in enumerate(docs)])).collect()}
+    sets = {i: set(node(d).tolist()) for i, d in enumerate(docs)}
+    assert len(sets[1]) == 20 and len(sets[1] & sets[2]) == 19 and len(sets[0] & sets[1]) == 4
+    assert got == united(sets, sets, 85) and got[2] == 1 and got[0] == 0
+
+
 @pytest.fixture(scope="module")
 def kept_lines(rows):
     pattern = re.compile(r"(?=(.{1,12}))(?:[^ ]{1,12} ?| +)")
