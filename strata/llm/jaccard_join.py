@@ -82,6 +82,11 @@ def unpack48(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def row_hash(text: str = "text") -> Column:
+    """Tells rows of one doc_id, or of none, apart by their texts."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def _texts(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), *more)
 
@@ -122,7 +127,7 @@ def prefix_size(size: int, percent: int) -> int:
 
 
 def prefixes(docs: DataFrame, n: int, percent: int, counters) -> DataFrame:
-    """doc_id, n_shingles, node (hash of the set; null if empty), key (hash of size and prefix), prefix (longs)."""
+    """doc_id, row, n_shingles, node (hash of the set; null if empty), key (hash of size and prefix), prefix (longs)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counters.value
@@ -141,10 +146,10 @@ def prefixes(docs: DataFrame, n: int, percent: int, counters) -> DataFrame:
                     len(own).to_bytes(8, "little") + first.tobytes(), digest_size=8).digest(), "little", signed=True))
                 firsts.append(first)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0), "n_shingles": pa.array(sizes, pa.int64()), "node": pa.array(nodes, pa.int64()),
+                "doc_id": batch.column(0), "row": batch.column(2), "n_shingles": pa.array(sizes, pa.int64()), "node": pa.array(nodes, pa.int64()),
                 "key": pa.array(keys, pa.int64()), "prefix": pa.array(firsts, pa.list_(pa.int64()))})
 
-    return _texts(docs).mapInArrow(find, "doc_id long, n_shingles long, node long, key long, prefix array<long>")
+    return _texts(docs, row_hash().alias("row")).mapInArrow(find, "doc_id long, row long, n_shingles long, node long, key long, prefix array<long>")
 
 
 def _bitmap(ids: DataFrame) -> bytes:
@@ -224,6 +229,11 @@ def _expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
 
 def link(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id of every row: the smallest doc_id that links reach."""
+    return link_rows(docs, n, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def link_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """``link`` with ``row`` (``row_hash`` of the text) and ``root``, equal in a component and null for an empty set."""
     sc = docs.sparkSession.sparkContext
     counters = sc.broadcast(order_counters(docs, n))
     found = stored(prefixes(docs, n, percent, counters), "prefixes")
@@ -274,6 +284,6 @@ def _resolve(found: DataFrame, members: DataFrame, tokens: DataFrame, sets: Sets
 
     named = members.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_node = named.select("node", "root").join(smallest, "root").select("node", "component_id")
-    return found.select("doc_id", "n_shingles", "node").join(of_node, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    of_node = named.select("node", "root").join(smallest, "root").select("node", "root", "component_id")
+    return found.select("doc_id", "row", "n_shingles", "node").join(of_node, "node", "left").select(
+        "doc_id", "row", "n_shingles", "root", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -112,3 +112,11 @@ def test_lines_are_removed(frame, rows, kept_lines):
         else:
             assert got[i] == "\n".join(left)
     assert line_dedup.remove(frame([])).count() == 0
+
+
+def test_rows_of_one_id_or_none_keep_their_own_lines(frame):
+    line = lambda w: " ".join(f"{w}{i}" for i in range(12))
+    rows = [(1, f"{line('a')}\n{line('b')}"), (None, f"{line('c')}\n{line('a')}"), (None, f"{line('d')}\n{line('e')}"),
+            (None, line("b")), (2, f"{line('f')}\n{line('g')}"), (2, f"{line('a')}\n{line('h')}"), (None, f"{line('i')}\n{line('i')}")]
+    got = sorted(r["text"] for r in line_dedup.remove(frame(rows)).collect())
+    assert got == sorted([rows[0][1], line("c"), rows[2][1], rows[4][1], line("h"), line("i")])

@@ -24,6 +24,14 @@ def test_stages(spark, frame):
         assert stage(spark, empty, SF).count() == 0, name
 
 
+def test_near_duplicates_of_rows_without_an_id_and_of_one_id(spark, frame):
+    text = lambda w: " ".join(f"{w}{i}" for i in range(60))
+    rows = [(3, text("a")), (3, text("b")), (3, text("b")), (None, text("a") + " tail"), (None, text("c")), (None, text("c")),
+            (None, text("d")), (None, text("d") + " tail"), (5, None), (None, ""), (None, "")]
+    got = sorted((r["doc_id"] or 0, (r["text"] or "")[:2]) for r in p.drop_near_duplicates(spark, frame(rows), SF).collect())
+    assert got == [(0, ""), (0, "c0"), (0, "d0"), (3, "a0"), (3, "b0"), (5, "")]
+
+
 def test_names():
     assert [n for n, _ in p.STAGES] == ["language_id", "line_dedup", "jaccard_join", "decontaminate", "packing"]
     assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 11))
