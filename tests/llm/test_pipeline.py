@@ -32,6 +32,13 @@ def test_near_duplicates_of_rows_without_an_id_and_of_one_id(spark, frame):
     assert got == [(0, ""), (0, "c0"), (0, "d0"), (3, "a0"), (3, "b0"), (5, "")]
 
 
+def test_near_duplicates_by_five_words_at_80_percent(spark, frame):
+    words = [f"w{i}" for i in range(60)]  # 56 shingles
+    tail = lambda k: " ".join(words + [f"t{k}x{i}" for i in range(k)])
+    docs = frame([(1, " ".join(words)), (2, tail(12)), (3, tail(15))])  # 56 / 68 and 56 / 71
+    assert sorted(r["doc_id"] for r in p.drop_near_duplicates(spark, docs, SF).collect()) == [1, 3]
+
+
 def test_names():
     assert [n for n, _ in p.STAGES] == ["language_id", "line_dedup", "jaccard_join", "decontaminate", "packing"]
     assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 11))
