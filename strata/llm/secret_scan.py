@@ -3,7 +3,9 @@
 A pattern match alone says little, so beside the three base patterns a candidate
 is reported only after its structure has been parsed: base64 or hex is decoded
 and must be a private key whose nested lengths fit exactly, and a dotted token
-must have a signed-token header and a JSON payload.
+must have a signed-token header and a JSON payload.  Framed keys may have escaped
+line ends and header lines; a body that its headers call encrypted must be base64 of
+whole cipher blocks.  Base64 without a frame may go on over single line ends.
 
 Kinds: ``assign``, ``access``, ``hex`` (base patterns) and ``pem``, ``der``,
 ``openssh``, ``jwt`` (confirmed by parsing).  Spans are code-point offsets, end
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import json
 import re
 
@@ -38,13 +41,27 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ ){0,3})PRIVATE KEY-----([^-]*)-----END \1PRIVATE KEY-----")
+PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ ){0,3})PRIVATE KEY-----((?:[^-]++|-(?!----))*+)-----END \1PRIVATE KEY-----")
+#: Within a frame: line ends and slashes as source strings escape them, ends of such strings, header lines (RFC 1421).
+ESCAPED_END = re.compile(r"\\+(?:[nrt]|u000[aAdD]|x0[aAdD]|(?=\s|$))")
+ESCAPED_SLASH = re.compile(r"\\+/")
+STRING_ENDS = re.compile(r"[\"'`][\s,;.)(\]\[]*\+?[\s,;.)(\]\[]*(?:[\"'`]|$)")
+HEADER = re.compile(r"^[ \t\"'`]*([A-Za-z][A-Za-z0-9-]*):[ \t]*(.*?(?:\\\s*\n.*?)*)[ \t\r]*$", re.M)
+DEK_INFO = re.compile(r"[A-Z0-9-]+,(?:[0-9A-Fa-f]{16}|[0-9A-Fa-f]{32})")
+#: Base64 wrapped over lines: pieces with one line end, plain or escaped, between them.
+LINE_END = r"(?:\r?\n|(?:\\+r)?\\+n)[ \t]*"
+WRAPPED = re.compile(rf"(?:(?<![A-Za-z0-9+/_\\-])|(?<=\\[nrt]))[A-Za-z0-9+/_-]{{16,}}+(?:{LINE_END}[A-Za-z0-9+/_-]++)++")
+PIECES = re.compile(rf"([A-Za-z0-9+/_-]++)(?:{LINE_END})?")
 RUN = re.compile(r"[A-Za-z0-9+/_.=-]{40,}")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_KEY = re.compile(r"[0-9A-Fa-f]{64,}")
 SEGMENT = re.compile(r"[A-Za-z0-9_-]+")
 WORDS_OF_ASSIGN = ("password", "passwd", "secret", "token", "apikey", "api_key")
 OPENSSH_MAGIC = b"openssh-key-v1\x00"
+#: First characters of base64 of a DER sequence and of an OpenSSH key; elements of a private key at most.
+DER_START, OPENSSH_START, MOST_PARTS = "M", "b3BlbnNzaC1rZXktdjE", 16
+#: Object identifiers (PKCS#5 and PKCS#12) under which a PKCS#8 key is encrypted.
+PBE = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 
 
 def decode64(text: str) -> bytes | None:
@@ -76,14 +93,19 @@ def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
 
 
 def is_private_key(data: bytes) -> bool:
-    """One DER sequence that is a PKCS#1, PKCS#8 or EC private key."""
+    """One DER sequence that is a PKCS#1, PKCS#8 (also encrypted), DSA or EC private key."""
     outer = der_items(data)
     if not outer or len(outer) != 1 or outer[0][0] != 0x30:
         return False
     parts = der_items(outer[0][1])
+    if parts and [tag for tag, _ in parts] == [0x30, 0x04]:
+        scheme = der_items(parts[0][1])
+        return bool(scheme) and scheme[0][0] == 0x06 and scheme[0][1].startswith(PBE) and len(parts[1][1]) >= 16
     if not parts or parts[0][0] != 0x02 or len(parts[0][1]) != 1:
         return False
     tags = [tag for tag, _ in parts]
+    if tags == [0x02] * 6:  # DSA: version, p, q, g, public, private
+        return parts[0][1] == b"\0" and all(len(content) >= 16 for _, content in parts[1:3] + parts[4:])
     if len(parts) >= 9 and tags[:9] == [0x02] * 9:
         return all(content for _, content in parts[:9])
     if tags[1:3] == [0x30, 0x04]:
@@ -144,13 +166,93 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return spans
 
 
+def is_framed_key(body: str) -> bool:
+    """Whether what a PEM frame holds is a key, or base64 whole blocks of a key that its headers call encrypted."""
+    body = ESCAPED_SLASH.sub("/", ESCAPED_END.sub("\n", body))
+    headers = {}
+
+    def header(m: re.Match) -> str:
+        headers[m[1].lower()] = m[2].strip(" \t\"'`+,;")
+        return ""
+
+    data = decode64("".join(STRING_ENDS.sub(" ", HEADER.sub(header, body)).split()))
+    if not data:
+        return False
+    if headers.get("proc-type", "").replace(" ", "") == "4,ENCRYPTED":
+        return DEK_INFO.fullmatch(headers.get("dek-info", "").replace(" ", "")) is not None and len(data) >= 32 and len(data) % 8 == 0
+    return key_kind(data) is not None
+
+
+def key_size(chars: str, at: int) -> int:
+    """Bytes of the key whose base64 begins at ``at``, read from its lengths alone; 0 if they do not fit one."""
+
+    def read(start: int, size: int) -> bytes:
+        first = at + start // 3 * 4
+        return (decode64(chars[first:first + (start % 3 + size + 2) // 3 * 4]) or b"")[start % 3:start % 3 + size]
+
+    room = (len(chars) - at) * 3 // 4
+    if chars[at] != DER_START:
+        place, keys = len(OPENSSH_MAGIC), 0
+        for i in range(4 + 17):
+            word = int.from_bytes(read(place, 4), "big")
+            place += 4 if i == 3 else 4 + word
+            keys = word if i == 3 else keys
+            if place > room or (i == 3 and not 1 <= keys <= 16):
+                return 0
+            if i > 3 and i == 4 + keys:
+                return place
+        return 0
+
+    def element(place: int) -> tuple[int, int]:
+        """Where its content begins and ends."""
+        head = read(place, 6).ljust(2, b"\0")
+        wide = head[1] & 0x7F if head[1] >= 0x80 else 0
+        size = int.from_bytes(head[2:2 + wide], "big") if wide else head[1]
+        return (place + 2 + wide, place + 2 + wide + size) if wide <= 4 and (wide or head[1] < 0x80) else (0, room + 1)
+
+    place, end = element(0)
+    if end > room:
+        return 0
+    for _ in range(MOST_PARTS):
+        place = element(place)[1]
+        if place >= end:
+            break
+    return end if place == end else 0
+
+
+def wrapped_spans(text: str) -> list[tuple[str, int, int]]:
+    """Keys in base64 that goes on over line ends; the key's own lengths say where it ends."""
+    spans = []
+    for run in WRAPPED.finditer(text):
+        chars, starts, places = [], [], []
+        total = 0
+        for m in PIECES.finditer(text, run.start(), run.end()):
+            chars.append(m[1]), starts.append(total), places.append(m.start())
+            total += len(m[1])
+        joined, done = "".join(chars), 0
+        for i, at in enumerate(starts):
+            if at < done or not joined.startswith((DER_START, OPENSSH_START), at):
+                continue
+            size = key_size(joined, at)
+            stop = at + -(-size * 4 // 3)
+            if not size or stop <= at + len(chars[i]) or not (kind := key_kind(decode64(joined[at:stop]))):
+                continue
+            last = bisect.bisect_left(starts, stop) - 1
+            end = places[last] + stop - starts[last]
+            pad = -size % 3
+            spans.append((kind, places[i], end + pad if text[end:end + pad] == "=" * pad else end))
+            done = stop
+    return spans
+
+
 def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     spans = []
     if "-----BEGIN " in text:
         for m in PEM.finditer(text):
-            if key_kind(decode64("".join(m[2].split()))):
+            if is_framed_key(m[2]):
                 spans.append(("pem", m.start(), m.end()))
     inside = list(spans)
+    spans += [s for s in wrapped_spans(text) if not any(start <= s[1] < end for _, start, end in inside)]
     for run in RUN.finditer(text):
         if any(start <= run.start() < end for _, start, end in inside):
             continue

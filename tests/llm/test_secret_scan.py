@@ -2,6 +2,7 @@ import base64
 import hashlib
 import json
 import re
+import time
 
 from strata.llm import secret_scan as s
 
@@ -38,6 +39,45 @@ def test_keys_are_parsed():
     assert not s.is_openssh_key(SSH[:-1])
 
 
+DSA = der(0x30, der(2, b"\0") + b"".join(der(2, bytes([7] * n)) for n in (128, 20, 128, 128, 20)))
+SEALED = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")) + der(0x30, der(6, b"\x2a\x86"))) + der(4, b"c" * 64))
+
+
+def wrap(key, end="\n"):
+    text = base64.b64encode(key).decode()
+    return end.join(text[i:i + 64] for i in range(0, len(text), 64))
+
+
+def test_framed_keys_with_escapes_and_headers():
+    for key, label in ((RSA, "RSA "), (PKCS8, ""), (SEALED, "ENCRYPTED "), (DSA, "DSA "), (SSH, "OPENSSH ")):
+        frame = f"-----BEGIN {label}PRIVATE KEY-----\n{wrap(key)}\n-----END {label}PRIVATE KEY-----"
+        source = '" +\n  "'.join(frame.replace("\n", "\\n\n").split("\n"))
+        for text in (frame, json.dumps(frame)[1:-1], json.dumps(frame.replace("\n", "\r\n"))[1:-1], json.dumps(json.dumps(frame))[3:-3],
+                     frame.replace("\n", "\n    "), json.dumps(frame)[1:-1].replace("/", "\\/"), source):
+            assert ("pem", text) in kinds(f'"key": "{text}\\n"'), (label, text)
+    sealed = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,{'0A' * 16}\n\n{wrap(b'x' * 608)}\n-----END RSA PRIVATE KEY-----"
+    for text in (sealed, json.dumps(sealed)[1:-1], sealed.replace("\n", "\r\n")):
+        assert ("pem", text) in kinds(f"a {text} b")
+    for bad in (sealed.replace("0A" * 16, "zz"), sealed.replace("4,ENCRYPTED", "4,CLEAR"), sealed.replace(wrap(b"x" * 608), wrap(b"x" * 605))):
+        assert not [k for k, _ in kinds(bad) if k == "pem"]
+    digest = der(0x30, der(0x30, der(6, bytes.fromhex("608648016503040201")) + der(5, b"")) + der(4, b"h" * 32))
+    assert s.is_private_key(SEALED) and s.is_private_key(DSA) and not s.is_private_key(digest)
+
+
+def test_wrapped_keys_without_a_frame():
+    for key in (RSA, SEALED, DSA, SSH):
+        for end in ("\n", "\r\n", "\n    ", "\\n"):
+            text, kind = wrap(key, end), "openssh" if key is SSH else "der"
+            assert [x for x in kinds(f"the key is{end}{text}\nand more") if x[0] == kind] == [(kind, text)]
+            assert [x for x in kinds(f"key={text}") if x[0] == kind] == [(kind, text)]
+    both = f"{wrap(RSA)}\n{wrap(DSA)}"
+    assert [t for k, t in kinds(both) if k == "der"] == both.replace("\n" + wrap(DSA), "|" + wrap(DSA)).split("|")
+    assert not [k for k, _ in kinds(wrap(RSA)[:-80]) if k == "der"]
+    began = time.process_time()
+    s.find_spans(("M" * 64 + "\n") * 20_000 + ("MIIEpAIBAAKC" * 6 + "\n") * 20_000)
+    assert time.process_time() - began < 20
+
+
 def test_signed_tokens():
     assert ("jwt", JWT) in kinds(f"see {JWT}, ok")
     assert not [k for k, _ in kinds(f"{url({'a': 1})}.{url({'sub': 'x' * 20})}.c2lnbmF0dXJl") if k == "jwt"]
