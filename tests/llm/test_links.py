@@ -120,3 +120,24 @@ def test_rows_of_one_id_or_none_keep_their_own_lines(frame):
             (None, line("b")), (2, f"{line('f')}\n{line('g')}"), (2, f"{line('a')}\n{line('h')}"), (None, f"{line('i')}\n{line('i')}")]
     got = sorted(r["text"] for r in line_dedup.remove(frame(rows)).collect())
     assert got == sorted([rows[0][1], line("c"), rows[2][1], rows[4][1], line("h"), line("i")])
+
+
+def test_lines_match_all_pairs_of_all_character_shingles(frame):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rng.randint(2, 9)))
+    lines = ["abc", "ABC", "abcde", "日本語のテキスト", "x" * 3000]
+    for k in (6, 10, 14, 20):
+        for _ in range(12):
+            own = " ".join(word() for _ in range(k))
+            at = rng.randrange(len(own))
+            lines += [own, own[:at] + "Q" + own[at + 1:], own + " tail", own.replace(" ", "", 1)]
+    sets = {s: {s[i:i + 5] for i in range(max(1, len(s) - 4))} for s in {x.lower() for x in lines}}
+    root = united(sets, sets, 80)
+    docs = ["\n".join(lines[i::7]) for i in range(7)]
+    places = {(i, n): s.lower() for i, t in enumerate(docs) for n, s in enumerate(t.split("\n"))}
+    first = {}
+    for k in sorted(places):
+        first.setdefault(root[places[k]], k)
+    got = line_dedup.classes(frame(list(enumerate(docs)))).collect()
+    assert {(r["doc_id"], r["line_no"]): r["keep"] for r in got} == {k: first[root[s]] == k for k, s in places.items()}
+    assert sum(root[s] != s for s in sets) > 60
