@@ -56,25 +56,25 @@ def features(word: str) -> list[str]:
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (start, stop, sum) of ``scores``, in linear time (amortised).
 
-    Each candidate keeps the sums before and after it; a new positive run joins
-    the nearest earlier candidate that began lower, if none between ended higher.
+    Each candidate keeps the sums before and after it and the nearest earlier
+    candidate that began lower; a new positive run joins that one if it ended
+    no higher.  Candidates between began no lower and are not met again.
     """
     sums = np.concatenate([[0.0], np.cumsum(scores)])
-    found: list[tuple[int, int, float, float]] = []
+    found: list[tuple[int, int, float, float, int]] = []
     for at in np.flatnonzero(scores > 0).tolist():
         start, stop, low, high = at, at + 1, float(sums[at]), float(sums[at + 1])
+        j = len(found) - 1
         while True:
-            j = len(found) - 1
-            hidden = []
             while j >= 0 and found[j][2] >= low:
-                hidden.append(j)
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][3] >= high:
                 break
-            start, low = found[j][0], found[j][2]
+            start, _, low, _, lower = found[j]
             del found[j:]
-        found.append((start, stop, low, high))
-    return [(a, b, high - low) for a, b, low, high in found]
+            j = lower
+        found.append((start, stop, low, high, j))
+    return [(a, b, high - low) for a, b, low, high, _ in found]
 
 
 class Model:
