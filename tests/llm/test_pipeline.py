@@ -24,6 +24,12 @@ def test_stages(spark, frame):
         assert stage(spark, empty, SF).count() == 0, name
 
 
+def test_no_language_to_learn_from(spark, frame):
+    rows = [(1, "plain words"), (2, "слова"), (3, "12 34"), (4, None), (5, ""), (None, "ß 1")]
+    got = p.identify_language(spark, frame(rows), SF)
+    assert sorted((r["doc_id"] or 0, r["lang"]) for r in got.collect()) == [(0, None), (1, None), (2, None)]
+
+
 def test_near_duplicates_of_rows_without_an_id_and_of_one_id(spark, frame):
     text = lambda w: " ".join(f"{w}{i}" for i in range(60))
     rows = [(3, text("a")), (3, text("b")), (3, text("b")), (None, text("a") + " tail"), (None, text("c")), (None, text("c")),
