@@ -24,9 +24,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_small():
     return SF_SMALL
-
-
-def rows(df, *cols):
-    """Collected rows as tuples (all columns, or the given ones), in order."""
-    sel = df.select(*cols) if cols else df
-    return [tuple(r) for r in sel.collect()]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import clean
 
-from conftest import rows
+from row_helpers import rows
 
 
 def one(spark, values, expr, dtype="string"):
