@@ -6,7 +6,8 @@ The windows are a broadcast hash table (a literal in the plan): slot -> windows
 with their words and items.  A document is screened first: an occurrence is a
 run of benchmark words, so texts without such a run are done.  In the others
 each window of words is hashed to a slot and compared word by word.
-All of it happens in the row; nothing is shuffled.
+All of it happens in the row; nothing is shuffled, and each text is split once,
+whatever filter is put on the result.
 
 The table is broadcast only up to ``broadcast_windows``, counted first; beyond
 that the documents' windows are joined with the benchmark's by shuffling.
@@ -119,7 +120,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text",
         out = _scan_broadcast(work, found, n_windows)
     else:
         out = _scan_shuffled(work, found)
-    return out.select(*[f"_doc.{c}" for c in kept], F.size("_words").cast("long").alias("n_words"), "hits", "items")
+    # a filter on the result would be copied below the projections, with the split into words inside
+    # every lambda; it is not moved below a generator
+    found = F.struct(F.size("_words").cast("long").alias("n_words"), "hits", "items")
+    return out.select(F.col("_doc"), F.inline(F.array(found))).select(*[f"_doc.{c}" for c in kept], "n_words", "hits", "items")
 
 
 def remove_documents(scanned: DataFrame) -> DataFrame:

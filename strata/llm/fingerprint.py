@@ -17,6 +17,7 @@ are fingerprinted each; other columns pass through, and ``fingerprints`` (and
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,12 +35,17 @@ def _paired(of: str, gap: int, how) -> Column:
     return F.zip_with(F.col(of), F.slice(F.col(of), F.lit(gap + 1), F.size(of)), how)
 
 
-def add(docs: DataFrame, text: str = "text", out: str = "fingerprints") -> DataFrame:
-    """``docs`` with the text's fingerprints: array of (hash, position of the first word from 0)."""
-    kept = [c for c in docs.columns if c != out]
+def add(docs: DataFrame, text: str = "text", out: str = "fingerprints", plain: Sequence[str] = ()) -> DataFrame:
+    """``docs`` with the text's fingerprints: array of (hash, position of the first word from 0).
+
+    Columns that rows are partitioned or sorted by are named in ``plain``: they are
+    not nested meanwhile, so that the plan still knows of the order.
+    """
+    kept = [c for c in docs.columns if c != out and c not in plain]
+    order = [c for c in docs.columns if c != out]
     blanks = F.translate(F.lower(F.coalesce(F.col(text), F.lit(""))), "\n\t\r", "   ")
     # every array below is read more than once, so that none is computed again inside a lambda
-    df = docs.select(F.struct(*kept).alias("_doc"), F.transform(F.split(blanks, " "), lambda w: F.xxhash64(w)).alias("_g1"))
+    df = docs.select(*plain, F.struct(*kept).alias("_doc"), F.transform(F.split(blanks, " "), lambda w: F.xxhash64(w)).alias("_g1"))
     size = 1
     while size < K:
         df = df.withColumn(f"_g{2 * size}", _paired(f"_g{size}", size, lambda a, b: F.xxhash64(a, b)))
@@ -55,7 +61,7 @@ def add(docs: DataFrame, text: str = "text", out: str = "fingerprints") -> DataF
         size *= 2
     chosen = F.array_distinct(F.slice(f"_m{W}", F.lit(1), F.greatest(F.size("_g") - (W - 1), F.lit(1))))
     at = lambda m: (F.lit(last).cast("long") - m.bitwiseAND(F.lit(last).cast("long"))).cast("int")
-    return df.select(*[f"_doc.{c}" for c in kept], F.transform(chosen, lambda m: F.struct(
+    return df.select(*[c if c in plain else f"_doc.{c}" for c in order], F.transform(chosen, lambda m: F.struct(
         F.get("_g", at(m)).alias("hash"), at(m).alias("position"))).alias(out))
 
 
@@ -118,7 +124,7 @@ def edited_pairs(docs: DataFrame, ranges: int) -> DataFrame:
             Window.partitionBy("_range").orderBy("_copy", F.col("_key").desc(), "text")
     rows, window = ordered
     rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("_next", F.lead("text").over(window))
-    rows = add(rows).withColumn("_next_prints", F.lead("fingerprints").over(window)).where(~F.col("_copy"))
+    rows = add(rows, plain=("_range", "_copy", "_key", "text")).withColumn("_next_prints", F.lead("fingerprints").over(window)).where(~F.col("_copy"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")),
                                               F.substring("_next", F.lit(1), half)))

@@ -51,3 +51,17 @@ def test_removal(spark, frame, items):
     none = d.scan(docs, items[1].limit(0))
     assert d.digest(none).where("contaminated").count() == 0
     assert d.scan(docs.limit(0), items[1]).count() == 0
+
+
+def test_a_filter_on_the_result_splits_no_text_again(frame, items):
+    """One word split in the optimized plan, none inside a lambda: work in proportion to the text."""
+    scanned = d.scan(frame([(1, "a b")]), items[1], n=6)
+    for df in (scanned, d.remove_documents(scanned), d.digest(scanned).where("contaminated"), scanned.where("n_words > 3")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == 1, plan[:2000]
+
+
+def test_removal_from_a_very_long_text(frame, items, texts):
+    long = " ".join(f"word{i % 977}" for i in range(20_000))
+    docs = frame([(1, long), (2, f"{long} {texts[4][20:140]} {long}")], extra=False)
+    assert [r["doc_id"] for r in d.remove_documents(d.scan(docs, items[1], n=6)).collect()] == [1]
