@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import binary_tokens, decontaminate, fingerprint, jaccard_join, language_id, line_dedup, packing, ppm, secret_scan, toxicity
+from strata.llm import binary_tokens, decontaminate, fingerprint, jaccard_join, language_id, line_dedup, packing, periodic_runs, ppm, secret_scan, toxicity, warc, whitening
 from strata.llm.common import bucket_of_id, new_folder, table
 
 #: The public tokenizer of the packing and binary-output queries; the end ids are fixed by their contracts.
@@ -78,10 +78,29 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(docs))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.digest(periodic_runs.find(periodic_runs.repeat_tails(docs), min_words=24, exponent=3))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.transform(vectors, k=32).select(
+        "vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened", "explained", "identity_error")
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    index = warc.write(table(spark, sf_dir, "pages"), path, min_payload=0)
+    return warc.read(spark, path, index, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_ppm, op2_line_dedup, op3_toxicity, op4_decontaminate, op5_packing, op6_binary_tokens, op7_language_id, op8_jaccard_join, op9_fingerprints, op10_secret_scan)}
+        op1_ppm, op2_line_dedup, op3_toxicity, op4_decontaminate, op5_packing, op6_binary_tokens, op7_language_id, op8_jaccard_join, op9_fingerprints, op10_secret_scan,
+        op11_periodic_runs, op12_whitening, op13_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": decontaminate.ORACLE_SQL}
+    return {"op4_decontaminate": decontaminate.ORACLE_SQL, "op13_warc": warc.ORACLE_SQL}

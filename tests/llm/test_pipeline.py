@@ -1,6 +1,10 @@
+from collections import defaultdict
+
 import corpus_pipeline as p
+from pyspark.sql import functions as F
 
 from strata.llm import queries
+from strata.llm.common import stored
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,6 +49,34 @@ def test_near_duplicates_by_five_words_at_80_percent(spark, frame):
     assert sorted(r["doc_id"] for r in p.drop_near_duplicates(spark, docs, SF).collect()) == [1, 3]
 
 
+def test_columns_that_clash_with_what_the_stages_add(spark, frame):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    for name in ("items", "hits", "n_words", "score", "lang_pred", "_doc", "_words", "word", "line"):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} of "), F.col("doc_id")))
+    want = {r["doc_id"]: r for r in docs.collect()}
+    for name, stage in (("language", p.identify_language), ("decontaminate", p.drop_contaminated)):
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert rows and all(r == want[r["doc_id"]] for r in rows), name
+
+
+def test_run(spark, tmp_path):
+    """The whole pipeline: every piece belongs to a document that all stages kept, and no kept document is missing."""
+    got = p.run(spark, SF).collect()
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in p.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF), f"test-{name}")
+    kept = {r["doc_id"] for r in docs.select("doc_id").collect()}
+    assert {r["doc_id"] for r in got} == kept and len(kept) > 100
+    fill = defaultdict(int)
+    for r in got:
+        fill[r["sequence_id"]] += r["length"]
+    assert max(fill.values()) <= p.CAPACITY
+    pieces = {(r["doc_id"], r["piece"]) for r in got}
+    assert len(pieces) == len(got)
+
+
 def test_names():
     assert [n for n, _ in p.STAGES] == ["language_id", "line_dedup", "jaccard_join", "decontaminate", "packing"]
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 14))
