@@ -25,8 +25,9 @@ updated or inserted.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from strata.functions.clean import now
@@ -67,10 +68,8 @@ def _rows(target: DataFrame, source: DataFrame, key: str, when, unique: bool) ->
     return rows.select("t", "s", F.col(_T).alias("in_t"), (F.col(_S) & (~F.col(_T) | newer)).alias("take"))
 
 
-def upsert(target: DataFrame, source: DataFrame, key: str, when: Callable | None = None,
-           stamp_col: str | None = None, as_of=None, unique: bool = True) -> DataFrame:
-    """The merged target (columns and order of ``target``)."""
-    rows = _rows(target, source, key, when, unique)
+def _merged(rows: DataFrame, target: DataFrame, source: DataFrame, stamp_col: str | None, as_of) -> DataFrame:
+    """The merged target of ``_rows``."""
     out = []
     for name in target.columns:
         old, kind = F.col(f"t.{name}"), target.schema[name].dataType
@@ -82,17 +81,52 @@ def upsert(target: DataFrame, source: DataFrame, key: str, when: Callable | None
     return rows.select(*out)
 
 
+def upsert(target: DataFrame, source: DataFrame, key: str, when: Callable | None = None,
+           stamp_col: str | None = None, as_of=None, unique: bool = True) -> DataFrame:
+    """The merged target (columns and order of ``target``)."""
+    return _merged(_rows(target, source, key, when, unique), target, source, stamp_col, as_of)
+
+
+def _counts() -> dict[str, Column]:
+    """What a merge reports, as aggregates over ``_rows``."""
+    in_t, take = F.col("in_t"), F.col("take")
+    found = {"num_updated_rows": F.count_if(in_t & take), "num_inserted_rows": F.count_if(~in_t & take),
+             "num_unchanged_rows": F.count_if(~take), "num_affected_rows": F.count_if(take), "num_output_rows": F.count(F.lit(1))}
+    return {name: c.cast("bigint").alias(name) for name, c in found.items()}
+
+
+@dataclass
+class Merged:
+    """A merge that was written: what the sink returned, and the counts taken while it wrote."""
+    table: object
+    counts: dict[str, int]
+
+
+def write(target: DataFrame, source: DataFrame, key: str, sink: Callable[[DataFrame], object], when: Callable | None = None,
+          stamp_col: str | None = None, as_of=None, unique: bool = True) -> Merged:
+    """Merge and hand the rows to ``sink``, which writes them in one action; the counts are taken in that same pass.
+
+    The rows are observed after the join and before the projection, so nothing is
+    joined or read a second time for the counts.  No shuffle follows the join, hence
+    each row is counted by the task that writes it and a task that is run again
+    counts once.  The sink must consume all rows (a table write, not ``limit`` or
+    ``first``) and must not read ``target``'s own files while it replaces them: write
+    to a new location, as ``io.write_table`` does.
+    """
+    seen = Observation()
+    observed = _rows(target, source, key, when, unique).observe(seen, *_counts().values())
+    table = sink(_merged(observed, target, source, stamp_col, as_of))
+    found = seen.get  # waits for the action; without one the sink wrote nothing
+    return Merged(table, {name: int(found[name]) for name in _counts()})
+
+
 def metrics(target: DataFrame, source: DataFrame, key: str, when: Callable | None = None,
             unique: bool = True) -> DataFrame:
-    """One row: rows updated, inserted, left unchanged, and the merged total."""
-    in_t, take = F.col("in_t"), F.col("take")
-    return _rows(target, source, key, when, unique).agg(
-        F.count_if(in_t & take).cast("bigint").alias("num_updated_rows"),
-        F.count_if(~in_t & take).cast("bigint").alias("num_inserted_rows"),
-        F.count_if(~take).cast("bigint").alias("num_unchanged_rows"),
-        F.count_if(take).cast("bigint").alias("num_affected_rows"),
-        F.count(F.lit(1)).cast("bigint").alias("num_output_rows"),
-    )
+    """One row: rows updated, inserted, left unchanged, and the merged total, by a join of its own.
+
+    It tells what a merge would do; ``write`` counts while it does it.
+    """
+    return _rows(target, source, key, when, unique).agg(*_counts().values())
 
 
 def assert_unique(source: DataFrame, key: Sequence[str] | str) -> None:

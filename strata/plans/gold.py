@@ -43,8 +43,9 @@ def ratios() -> list[Column]:
     ]
 
 
-def with_country(incidents: DataFrame, dim_country: DataFrame) -> DataFrame:
-    return joins.left_lookup(incidents, dim_country, "country_hq", "country_iso2", ["country_name"])
+def with_country(incidents: DataFrame, dim_country: DataFrame, **how) -> DataFrame:
+    """The country's name by its code; ``how`` bounds the broadcast and the salting (``joins.left_lookup``)."""
+    return joins.left_lookup(incidents, dim_country, "country_hq", "country_iso2", ["country_name"], **how)
 
 
 def joined(incidents: DataFrame, dim_country: DataFrame, financial: DataFrame, market: DataFrame) -> DataFrame:

@@ -76,12 +76,16 @@ def _legacy(df: DataFrame) -> DataFrame:
 # The earlier silver state (merge target) and the new batch (merge source) come
 # from the same winners: computed once, stored (checkpoint), used twice.
 
-def merge_incidents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _incident_merge(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     w = materialize(silver_incidents.winners(silver_incidents.typed(fx.raw_incidents(spark, sf_dir)), TIEBREAK))
     first = silver_incidents.finish(w, AS_OF)
     target = (_valid_even(first, 2).withColumn("notes", F.concat(F.lit("stale "), F.col("notes")))
               .unionByName(_legacy(first)).unionByName(first.where(F.col("incident_id").isNull())))
-    return merge.upsert(target, silver_incidents.finish(w, AS_OF_2), "incident_id", unique=False)
+    return target, silver_incidents.finish(w, AS_OF_2)
+
+
+def merge_incidents_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.upsert(*_incident_merge(spark, sf_dir), "incident_id", unique=False)
 
 
 def _financial_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,14 +96,18 @@ def _financial_source(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame
     return silver_financial.derive(_financial_winners(spark, sf_dir), as_of)
 
 
-def merge_financial_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _financial_merge(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     w = materialize(_financial_winners(spark, sf_dir))
     first = schemas.conform(silver_financial.derive(w, AS_OF), schemas.FINANCIAL)
     target = (_valid_even(first, 2).withColumns({
         "notes": F.concat(F.lit("stale "), F.col("notes")),
         "loss_range_valid_flag": F.lit(1), "data_quality_flag": F.lit(0)})
         .unionByName(_legacy(first)))
-    return merge.upsert(target, silver_financial.derive(w, AS_OF_2), "incident_id", unique=False)
+    return target, silver_financial.derive(w, AS_OF_2)
+
+
+def merge_financial_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.upsert(*_financial_merge(spark, sf_dir), "incident_id", unique=False)
 
 
 def _market_target(source: DataFrame) -> DataFrame:
@@ -134,6 +142,24 @@ def merge_rerun_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                         as_of=AS_OF_3)
 
 
+def merge_observed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three merges written, and a row for each with the counts observed while it was written."""
+    run = _run_id()
+    inc_t, inc_s = _incident_merge(spark, sf_dir)
+    fin_t, fin_s = _financial_merge(spark, sf_dir)
+    mkt_t, mkt_s = _market_merge(spark, sf_dir)
+    jobs = {"incidents_master": (inc_t, inc_s, {}), "financial_impact": (fin_t, fin_s, {}),
+            "market_impact": (mkt_t, mkt_s, {"when": NEWER, "stamp_col": "silver_ingestion_timestamp", "as_of": AS_OF_2})}
+    io.ensure_schemas(spark, ["silver"])
+    rows = []
+    for name, (target, source, how) in jobs.items():
+        table = f"silver.{name}_merged_{run}"
+        done = merge.write(target, source, "incident_id", lambda df, t=table: io.write_table(df, t, "overwrite", io.table_location(spark, t)),
+                           unique=False, **how)
+        rows.append((name, *done.counts.values()))
+    return spark.createDataFrame(rows, "table_name string, " + ", ".join(f"{c} bigint" for c in done.counts))
+
+
 def merge_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _market_merge(spark, sf_dir)
     return merge.metrics(target, source, "incident_id", when=NEWER, unique=False).select(
@@ -195,6 +221,12 @@ def country_lookup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.with_country(inc.select("incident_id", "country_hq"), fx.dim_country(spark, sf_dir))
 
 
+def country_lookup_salted_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup as it runs when the dimension is too large to broadcast: no bytes allowed, hot codes salted."""
+    inc = silver_table(spark, sf_dir, "incidents_master")
+    return gold.with_country(inc.select("incident_id", "country_hq"), fx.dim_country(spark, sf_dir), max_bytes=0, least_hot_rows=1)
+
+
 def gold_left_joins_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     inc, fin, mkt = _silvers(spark, sf_dir)
     return gold.joined(inc, fx.dim_country(spark, sf_dir), fin, mkt).select(*gold.FACT_COLS)
@@ -537,8 +569,10 @@ def queries() -> dict[str, Query]:
         "merge_market_newer_only": merge_market_q,
         "merge_rerun_idempotent": merge_rerun_q,
         "merge_metrics": merge_metrics_q,
+        "merge_observed": merge_observed_q,
         "gold_incident_fact": gold_fact_q,
         "country_lookup": country_lookup_q,
+        "country_lookup_salted": country_lookup_salted_q,
         "gold_left_joins": gold_left_joins_q,
         "safe_ratios": safe_ratios_q,
         "numeric_projection": numeric_projection_q,

@@ -86,6 +86,46 @@ def test_metrics_partition_the_output(spark):
     assert m.num_updated_rows + m.num_inserted_rows + m.num_unchanged_rows == m.num_output_rows == 8
 
 
+def test_counts_are_taken_while_the_merge_is_written(spark, tmp_path):
+    """One action: every source row is read once, and the counts are those of a join of its own."""
+    target, source = _merge_frames(spark)
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(v):
+        read.add(1)
+        return v
+
+    def sink(df):
+        df.write.parquet(str(tmp_path / "merged"))
+        return spark.read.parquet(str(tmp_path / "merged"))
+
+    how = {"when": merge.newer_only("ts")}
+    # both branches of the merge (with and without a key) read the source: each of its rows goes through one of them
+    noted = source.select("incident_id", counted("v").alias("v"), "ts")
+    done = merge.write(target, noted, "incident_id", sink, stamp_col="stamp", as_of="2026-02-01 00:00:00", unique=False, **how)
+    assert read.value == source.count()
+    assert done.counts == merge.metrics(target, source, "incident_id", **how).first().asDict()
+    want = merge.upsert(target, source, "incident_id", stamp_col="stamp", as_of="2026-02-01 00:00:00", **how)
+    assert sorted(map(tuple, done.table.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert done.counts["num_output_rows"] == done.table.count() == 8
+
+
+def test_counts_of_bucketed_and_empty_merges(spark):
+    from strata.sources import io
+
+    target, source = _merge_frames(spark)
+    io.ensure_schemas(spark, ["silver"])
+    loc = io.table_location(spark, "silver.observed", "merge-test")
+    sink = lambda df: io.write_table(df, "silver.observed", "overwrite", loc, bucket_by=(4, ["incident_id"]), sort_by=["incident_id"])
+    done = merge.write(target, source, "incident_id", sink)
+    assert done.counts == merge.metrics(target, source, "incident_id").first().asDict()
+    none = merge.write(target, source.limit(0), "incident_id", sink)
+    assert none.counts == {"num_updated_rows": 0, "num_inserted_rows": 0, "num_unchanged_rows": 6, "num_affected_rows": 0, "num_output_rows": 6}
+    with pytest.raises(Exception, match="duplicate key"):
+        merge.write(target, source.unionByName(source), "incident_id", sink)
+
+
 def test_rerun_changes_nothing(spark):
     target, source = _merge_frames(spark)
     source = source.where(F.col("ts").isNotNull())
