@@ -5,6 +5,8 @@
 * ``quantiles``: exact linear-interpolated quantiles per group, by one method at
   every size: brackets around the wanted ranks are narrowed with sketches and exact
   counts until a bracket holds few values, and only those are read.
+* ``sketch`` / ``merge_sketches``: the mergeable alternative for batches, asked for by an
+  explicit argument, with a known rank error.
 * ``quantile_bucket``: equal-frequency buckets from such edges, right-closed,
   lowest value included.
 * ``box_summary`` / ``median_by_bucket``: quartiles and whiskers per bucket.
@@ -32,6 +34,8 @@ REFERENCE_NUMERIC_DTYPES = ("int", "bigint", "double", "float", "decimal", "long
 
 #: Distinct values of a bracket that are read to the driver, and the cuts that narrow a larger one.
 BRACKET_VALUES, CUTS = 2_000, 200
+#: Parameter of stored quantile sketches: a rank error of 0.13 % in about 100 KB a group.
+SKETCH_K = 4000
 #: Groups (buckets) that quantiles are asked for at once: their brackets are held by the driver.
 MOST_GROUPS = 10_000
 
@@ -76,9 +80,8 @@ def corr(df: DataFrame, a: str, b: str, nulls: str = "zero", digits: int | None
 def corr_matrix(df: DataFrame, cols: Sequence[str], nulls: str = "zero", digits: int | None = None) -> DataFrame:
     """Rows (x, y, r) for all ordered pairs of ``cols``, from a single aggregation.
 
-    k columns cost k(k+1)/2 aggregate buffers in one pass; for very wide
-    matrices (hundreds of columns) ``pyspark.ml.stat.Correlation`` on an
-    assembled vector is the better tool.
+    k columns cost k(k+1)/2 aggregate buffers in one pass; beyond some tens of
+    columns ``gram.corr_matrix`` is the tool.
     """
     cols = list(cols)
     if not cols:
@@ -149,15 +152,25 @@ def _order_statistics(rows: DataFrame, ranks: list[tuple[str | None, int]]) -> d
     return out
 
 
+def _values(df: DataFrame, val: str, group: str | None) -> DataFrame:
+    """g (the group as text) and v of the rows that have a value; NaN is none, as in ``qcut``."""
+    g = F.col(group).cast("string") if group else F.lit(None).cast("string")
+    return df.select(g.alias("g"), F.col(val).cast("double").alias("v")).where(_present("v"))
+
+
+def _present(v: str) -> Column:
+    return F.col(v).isNotNull() & ~F.isnan(v)
+
+
 def quantiles(df: DataFrame, val: str, probs: Sequence[float], group: str | None = None) -> dict:
-    """Exact linear-interpolated quantiles of the non-NULL values: {group: (n, [q, ..])}; the group is None without one.
+    """Exact linear-interpolated quantiles of the values that are not NULL or NaN: {group: (n, [q, ..])}; the group is None without one.
 
+    Infinities are values; between a finite and an infinite one lies the infinite one.
     Every step is an aggregation over all rows; a bracket that still holds more
     than BRACKET_VALUES distinct values is cut in CUTS parts and counted again,
     so n rows take about log(n) / log(CUTS) steps of bounded memory.
     """
-    g = F.col(group).cast("string") if group else F.lit(None).cast("string")
-    rows = df.where(F.col(val).isNotNull()).select(g.alias("g"), F.col(val).cast("double").alias("v"))
+    rows = _values(df, val, group)
     sizes = {r["g"]: r["count"] for r in rows.groupBy("g").count().limit(MOST_GROUPS + 1).collect()}
     if len(sizes) > MOST_GROUPS:
         raise ValueError(f"more than {MOST_GROUPS} groups")
@@ -168,14 +181,49 @@ def quantiles(df: DataFrame, val: str, probs: Sequence[float], group: str | None
     def value(name, p) -> float:
         h = places[name, p]
         low, high = at[name, math.floor(h)], at[name, math.ceil(h)]
-        return low if low == high else low + (high - low) * (h - math.floor(h))
+        return low if low == high or low == -math.inf else low + (high - low) * (h - math.floor(h))
 
     return {name: (n, [value(name, p) for p in probs]) for name, n in sizes.items()}
 
 
-def quantile_edges(df: DataFrame, col: str, q: int = 5) -> list[float]:
-    """The q+1 equal-frequency edges (min, interior quantiles, max) of ``col``; none without values."""
-    found = quantiles(df, col, [i / q for i in range(q + 1)])
+# --- sketches that can be stored and merged ------------------------------------------------
+
+def sketch(df: DataFrame, val: str, group: str | None = None, k: int = SKETCH_K) -> DataFrame:
+    """g (the group as text), n, sketch: a quantile sketch (KLL) of the values of each group.
+
+    A row of some kilobytes a group, whatever the number of values.  Batches are
+    sketched as they arrive, their rows are stored side by side, and ``merge_sketches``
+    gives those of all batches together.  NULL and NaN are no values; a group without one has no row.
+    """
+    return _values(df, val, group).groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("v", k).alias("sketch"))
+
+
+def merge_sketches(stored: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """One row a group from the rows of many batches; merged sketches may be stored and merged again."""
+    return stored.groupBy("g").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", k).alias("sketch"))
+
+
+def rank_error(k: int = SKETCH_K) -> float:
+    """The share of a group's values by which a quantile's rank may be wrong, in 99 of 100 cases."""
+    return 2.296 / k ** 0.9021  # of the KLL sketch with parameter k
+
+
+def sketch_quantiles(sketches: DataFrame, probs: Sequence[float]) -> dict:
+    """What ``quantiles`` gives, from merged sketches: values of the data whose ranks are right up to ``rank_error``."""
+    ranks = F.array(*[F.lit(float(p)) for p in probs])
+    found = sketches.select("g", "n", F.kll_sketch_get_quantile_double("sketch", ranks).alias("q")).limit(MOST_GROUPS + 1).collect()
+    if len(found) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups")
+    return {r["g"]: (r["n"], list(r["q"])) for r in found}
+
+
+def quantile_edges(df: DataFrame, col: str, q: int = 5, sketches: DataFrame | None = None) -> list[float]:
+    """The q+1 equal-frequency edges (min, interior quantiles, max) of ``col``; none without values.
+
+    With ``sketches`` (of ``col``, without a group) they are read from those, and ``df`` is not.
+    """
+    probs = [i / q for i in range(q + 1)]
+    found = sketch_quantiles(sketches, probs) if sketches is not None else quantiles(df, col, probs)
     return found[None][1] if found else []
 
 
@@ -184,20 +232,23 @@ def bucket_expr(col: str, edges: Sequence[float], labels: Sequence[str] | None =
     x = F.col(col).cast("double")
     n = len(edges) - 1
     labels = list(labels) if labels is not None else [str(i + 1) for i in range(n)]
-    expr = F.when(x.isNull() | (x < F.lit(edges[0])) | (x > F.lit(edges[-1])), F.lit(None).cast("string"))
+    expr = F.when(x.isNull() | F.isnan(x) | (x < F.lit(edges[0])) | (x > F.lit(edges[-1])), F.lit(None).cast("string"))
+    if not n:  # one value
+        return expr.otherwise(F.lit(labels[0]))
     for i in range(n):
         expr = expr.when(x <= F.lit(edges[i + 1]), F.lit(labels[i]))
     return expr
 
 
 def quantile_bucket(df: DataFrame, col: str, q: int = 5, labels: Sequence[str] | None = None,
-                    out: str = "size_bucket", collapse: bool = False) -> DataFrame:
+                    out: str = "size_bucket", collapse: bool = False, sketches: DataFrame | None = None) -> DataFrame:
     """Add ``out``: the equal-frequency bucket of ``col`` (pandas ``qcut`` semantics).
 
-    Ties stay in one bucket.  Duplicate edges raise unless ``collapse``, which
-    drops the empty buckets (and their labels).
+    Ties stay in one bucket; NULL and NaN have none.  Duplicate edges raise unless ``collapse``, which
+    drops the empty buckets (and their labels); a column of one value then has one bucket.
+    ``sketches`` gives approximate edges without a pass over ``df`` (``quantile_edges``).
     """
-    edges = quantile_edges(df, col, q)
+    edges = quantile_edges(df, col, q, sketches)
     labels = list(labels) if labels is not None else [str(i + 1) for i in range(q)]
     if not edges:
         return df.withColumn(out, F.lit(None).cast("string"))
@@ -209,13 +260,14 @@ def quantile_bucket(df: DataFrame, col: str, q: int = 5, labels: Sequence[str] |
             if e != keep_e[-1]:
                 keep_e.append(e)
                 keep_l.append(lab)
-        edges, labels = keep_e, keep_l
+        edges, labels = keep_e, keep_l or labels[:1]
     return df.withColumn(out, bucket_expr(col, edges, labels))
 
 
-def _quartile_table(base: DataFrame, bucket: str) -> DataFrame:
+def _quartile_table(base: DataFrame, bucket: str, sketches: DataFrame | None = None) -> DataFrame:
     """bucket, n, q1, median, q3: one row per bucket, at most MOST_GROUPS."""
-    found = quantiles(base, "__v", [0.25, 0.5, 0.75], bucket)
+    probs = [0.25, 0.5, 0.75]
+    found = sketch_quantiles(sketches, probs) if sketches is not None else quantiles(base, "__v", probs, bucket)
     kind = base.schema[bucket].dataType
     return base.sparkSession.createDataFrame([(g, n, *q) for g, (n, q) in found.items()],
                                              "b string, n long, q1 double, median double, q3 double") \
@@ -226,14 +278,20 @@ def _rounded(name: str, digits: int | None) -> Column:
     return F.col(name) if digits is None else F.round(name, digits).alias(name)
 
 
-def box_summary(df: DataFrame, bucket: str, val: str, digits: int | None = None) -> DataFrame:
+def _bucketed(df: DataFrame, bucket: str, val: str) -> DataFrame:
+    """The bucket and ``__v`` of rows that have both."""
+    return df.select(F.col(bucket), F.col(val).cast("double").alias("__v")).where(F.col(bucket).isNotNull() & _present("__v"))
+
+
+def box_summary(df: DataFrame, bucket: str, val: str, digits: int | None = None, sketches: DataFrame | None = None) -> DataFrame:
     """Per bucket: n, q1, median, q3, iqr, whiskers (furthest points within 1.5 IQR), outliers.
 
-    The quartiles, a row per bucket, are broadcast to one pass for the whiskers.
+    The quartiles, a row per bucket, are broadcast to one pass for the whiskers.  With
+    ``sketches`` (of ``val`` by ``bucket``) the quartiles are theirs; whiskers and outliers
+    are exact for those quartiles.  NULL and NaN are left out.
     """
-    v = F.col(val).cast("double")
-    base = df.where(F.col(bucket).isNotNull() & F.col(val).isNotNull()).select(F.col(bucket), v.alias("__v"))
-    quart = _quartile_table(base, bucket).withColumn("iqr", F.col("q3") - F.col("q1")).withColumns({
+    base = _bucketed(df, bucket, val)
+    quart = _quartile_table(base, bucket, sketches).withColumn("iqr", F.col("q3") - F.col("q1")).withColumns({
         "__lo": F.col("q1") - 1.5 * F.col("iqr"), "__hi": F.col("q3") + 1.5 * F.col("iqr")})
     x = F.col("__v")
     inside = (x >= F.col("__lo")) & (x <= F.col("__hi"))
@@ -246,10 +304,10 @@ def box_summary(df: DataFrame, bucket: str, val: str, digits: int | None = None)
         "q1", "median", "q3", "iqr", "lower_whisker", "upper_whisker")], "n_outliers")
 
 
-def median_by_bucket(df: DataFrame, bucket: str, val: str, out: str = "median_ratio", digits: int | None = None) -> DataFrame:
-    base = df.where(F.col(bucket).isNotNull() & F.col(val).isNotNull()).select(
-        F.col(bucket), F.col(val).cast("double").alias("__v"))
-    return _quartile_table(base, bucket).withColumn(out, F.col("median")).select(bucket, "n", _rounded(out, digits))
+def median_by_bucket(df: DataFrame, bucket: str, val: str, out: str = "median_ratio", digits: int | None = None,
+                     sketches: DataFrame | None = None) -> DataFrame:
+    """Median per bucket, exact or from ``sketches`` (of ``val`` by ``bucket``)."""
+    return _quartile_table(_bucketed(df, bucket, val), bucket, sketches).withColumn(out, F.col("median")).select(bucket, "n", _rounded(out, digits))
 
 
 def log_density(df: DataFrame, x: str, y: str, y_bins_per_unit: int = 100) -> DataFrame:

@@ -10,16 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.oracle import AS_OF, AS_OF_2  # noqa: F401  (shared constants)
 import os
 import uuid
 
-from strata import schemas
+from strata import oracle, schemas
 from strata.functions import clean, rules
-from strata.operators import merge, profile, stats
+from strata.operators import gram, merge, profile, stats
 from strata.session import materialize, shared_dir
 from strata.sources import io
 from strata.plans import audit, gold, silver_financial, silver_incidents, silver_market
@@ -260,6 +260,13 @@ def correlation_matrix_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.corr_matrix(g, stats.numeric_columns(g), nulls="zero", digits=DIGITS)
 
 
+def correlation_matrix_wide_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """200 columns, by partial Gram matrices."""
+    exprs = oracle.wide_columns("CAST(get(embedding, {i}) AS DOUBLE)")
+    wide = fx.table(spark, sf_dir, "embeddings").selectExpr(*[f"CAST({e} AS DOUBLE) AS c{i}" for i, e in enumerate(exprs)])
+    return gram.corr_matrix(wide, wide.columns, nulls="pairwise", digits=DIGITS)
+
+
 def size_vs_loss_points_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All points with both measures present.  The reference capped them at
     20,000 only to protect driver memory before plotting; nothing is collected
@@ -281,6 +288,40 @@ def box_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.box_summary(_bucketed(spark, sf_dir), "size_bucket", Y, digits=DIGITS)
 
 
+#: Parameter of the registered sketches: small, so that they are far smaller than their data, and the batches they are taken of.
+QUERY_SKETCH_K, BATCHES = 400, 4
+
+
+def box_summary_sketched_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles by size bucket from sketches stored batch by batch and merged; checked against the exact ranks of all rows.
+
+    A row for each bucket and quartile: n, and whether the sketched value's rank is as
+    near as three times the sketch's rank error.
+    """
+    run, pts = _run_id(), materialize(stats.points(gold_table(spark, sf_dir).select("incident_id", X, Y), X, Y, cap=None))
+    batch = F.pmod(F.xxhash64("incident_id"), F.lit(BATCHES))
+
+    def in_batches(df: DataFrame, val: str, group: str | None, name: str) -> DataFrame:
+        path = shared_dir(spark, "sketches", run, name)
+        for b in range(BATCHES):
+            stats.sketch(df.where(batch == b), val, group, QUERY_SKETCH_K).write.mode("append").parquet(path)
+        return stats.merge_sketches(spark.read.parquet(path), QUERY_SKETCH_K)
+
+    bucketed = stats.quantile_bucket(pts, X, 5, stats.SIZE_LABELS, sketches=in_batches(pts, X, None, "size"))
+    box = stats.box_summary(bucketed, "size_bucket", Y, sketches=in_batches(bucketed, Y, "size_bucket", "ratio"))
+    each = box.selectExpr("size_bucket", "stack(3, 0.25D, q1, 0.5D, median, 0.75D, q3) AS (prob, value)")
+    v, slack = F.col(Y).cast("double"), 3 * stats.rank_error(QUERY_SKETCH_K)
+    ranks = bucketed.join(F.broadcast(each), "size_bucket").groupBy("size_bucket", "prob").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(v < F.col("value")).alias("below"), F.count_if(v <= F.col("value")).alias("upto"))
+    even = ranks.withColumn("total", F.sum("n").over(Window.partitionBy("prob")))
+    return even.select(
+        "size_bucket", "prob",
+        (F.col("below") <= (F.col("prob") + slack) * F.col("n")).alias("not_too_high"),
+        (F.col("upto") >= (F.col("prob") - slack) * F.col("n")).alias("not_too_low"),
+        # the buckets themselves hold a fifth of all rows, as near as their edges' ranks and ties allow
+        (F.col("n") <= (0.2 + 2 * slack + 0.05) * F.col("total")).alias("bucket_is_even"))
+
+
 def median_ratio_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.median_by_bucket(_bucketed(spark, sf_dir), "size_bucket", Y, digits=DIGITS)
 
@@ -579,9 +620,11 @@ def queries() -> dict[str, Query]:
         "pearson_zero_fill": pearson_zero_q,
         "pearson_pairwise": pearson_pairwise_q,
         "correlation_matrix": correlation_matrix_q,
+        "correlation_matrix_wide": correlation_matrix_wide_q,
         "size_vs_loss_points": size_vs_loss_points_q,
         "size_quantile_bucket": size_quantile_bucket_q,
         "box_summary_by_size": box_summary_q,
+        "box_summary_sketched": box_summary_sketched_q,
         "median_ratio_by_size": median_ratio_q,
         "size_loss_density": size_loss_density_q,
         "gold_analysis": gold_analysis_q,

@@ -26,7 +26,7 @@ def duck():
 
 
 def test_every_key_has_an_oracle():
-    assert len(KEYS) == 72
+    assert len(KEYS) == 74
     assert set(KEYS) == set(oracle.oracle_sql())
 
 
@@ -51,8 +51,13 @@ PY_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInP
             "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
+#: Keys whose work is matrix products in tasks.
+IN_NUMPY = {"correlation_matrix_wide"}
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_plans_stay_in_the_jvm(spark, key):
     """No Python UDF, no cartesian or nested-loop join in any registered query."""
     plan = registry.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not [n for n in PY_NODES if n in plan]
+    assert ("MapInArrow" in plan) == (key in IN_NUMPY)

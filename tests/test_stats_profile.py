@@ -143,3 +143,123 @@ def test_audit_run_and_gold_analyze(spark, sf_small):
     parts = gold.analyze(entry.queries()["gold_incident_fact"](spark, sf_small))
     assert parts["correlation_matrix"].count() == 49
     assert parts["box_summary"].count() == 5
+
+
+@pytest.mark.parametrize("nulls", ["zero", "pairwise"])
+@pytest.mark.parametrize("parts", [1, 5])
+def test_wide_matrix_equals_the_narrow_one(spark, nulls, parts, monkeypatch):
+    from strata.operators import gram
+
+    monkeypatch.setattr(gram, "BLOCK", 64)
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(80, 7)) * [1, 1e-6, 1e6, 1, 1, 1, 1] + [0, 1e6, 0, 5, 0, 0, 0]
+    data[:, 4] = 0.1                      # constant, no binary fraction
+    data[:, 5] = -3 * data[:, 0]          # perfectly correlated
+    rows = [[None if (i * 7 + j) % 5 == 0 and j in (0, 2, 6) else float(v) for j, v in enumerate(r)] for i, r in enumerate(data)]
+    names = [f"v {j}" for j in range(7)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` double" for n in names)).repartition(parts)
+    quoted = [f"`{n}`" for n in names]
+    got = {(r.x, r.y): r.r for r in gram.corr_matrix(df, quoted, nulls).collect()}
+    want = {(r.x, r.y): r.r for r in stats.corr_matrix(df, quoted, nulls).collect()}
+    assert set(got) == set(want) and len(got) == 49
+    place = {q: j for j, q in enumerate(quoted)}
+    for pair, r in want.items():
+        assert (got[pair] is None) == (r is None) and (r is None or abs(got[pair] - r) < 1e-4), pair
+        if r is not None:  # the narrow one loses digits where the spread is small against the size
+            x, y = (np.array([np.nan if row[place[q]] is None else row[place[q]] for row in rows]) for q in pair)
+            x, y = (np.nan_to_num(x), np.nan_to_num(y)) if nulls == "zero" else (x[~np.isnan(x + y)], y[~np.isnan(x + y)])
+            x, y = (v - np.mean(v.astype(np.longdouble)) for v in (x, y))
+            assert abs(got[pair] - float(x @ y / np.sqrt((x @ x) * (y @ y)))) < 1e-8, pair
+    assert all(got[quoted[4], q] is None for q in quoted)
+
+
+def test_wide_matrix_of_odd_tables(spark):
+    from strata.operators import gram
+
+    df = spark.createDataFrame([(1.0, None, float("nan")), (2.0, None, 1.0)], "a double, b double, c double")
+    got = {(r.x, r.y): r.r for r in gram.corr_matrix(df, ["a", "b", "c"], "pairwise").collect()}
+    assert abs(got["a", "a"] - 1) < 1e-12 and got["a", "b"] is None and got["b", "b"] is None and math.isnan(got["a", "c"])
+    empty = gram.corr_matrix(df.limit(0), ["a", "b"]).collect()
+    assert len(empty) == 4 and all(r.r is None for r in empty)
+    assert gram.corr_matrix(df, []).count() == 0
+    with pytest.raises(ValueError):
+        gram.corr_matrix(df, ["a"], "other")
+
+
+def test_200_columns_without_k2_buffers(spark):
+    import duckdb
+    from strata.operators import gram
+
+    rng = np.random.default_rng(9)
+    data = (rng.normal(size=(60, 12)) @ rng.normal(size=(12, 200))).round(6)
+    pdf = pd.DataFrame(data, columns=[f"c{i}" for i in range(200)])
+    found = gram.corr_matrix(spark.createDataFrame(pdf).repartition(3), list(pdf.columns), digits=6)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("sum(") <= 4 * 6 and "corr(" not in plan
+    got = {(r.x, r.y): r.r for r in found.collect()}
+    want = duckdb.sql("""WITH long AS (UNPIVOT (SELECT row_number() OVER () AS id, * FROM pdf) ON COLUMNS(* EXCLUDE id))
+        SELECT a.name, b.name, round(corr(a.value, b.value), 6) + 0.0 FROM long a JOIN long b USING (id) GROUP BY ALL""").fetchall()
+    assert len(want) == 40_000 and all(abs(got[x, y] - r) < 2e-6 for x, y, r in want)
+
+
+def test_sketches_of_batches_merge(spark):
+    """Ranks stay within the stated error, however the rows are split over batches; few values are kept exactly."""
+    rng = np.random.default_rng(8)
+    values = {"a": rng.normal(size=20_000), "b": np.round(rng.exponential(size=5_000), 2), "c": np.array([3.0])}
+    rows = [(g, float(v), i % 6) for g, vs in values.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows + [("a", None, 0), ("d", None, 1), ("d", float("nan"), 2)], "g string, v double, batch int")
+    k, probs = 200, [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    stored = [stats.sketch(df.where(F.col("batch") == b), "v", "g", k) for b in range(6)]
+    first = stats.merge_sketches(stored[0].unionByName(stored[1]), k)
+    later = stats.merge_sketches(stored[2].unionByName(stored[3]).unionByName(stored[4]).unionByName(stored[5]), k)
+    got = stats.sketch_quantiles(stats.merge_sketches(first.unionByName(later), k), probs)
+    assert set(got) == {"a", "b", "c"}
+    for g, vs in values.items():
+        n, qs = got[g]
+        assert n == len(vs) and (qs[0], qs[-1]) == (vs.min(), vs.max())
+        for p, q in zip(probs, qs):
+            assert np.mean(vs < q) - 3 * stats.rank_error(k) <= p <= np.mean(vs <= q) + 3 * stats.rank_error(k)
+    size = stored[0].selectExpr("max(octet_length(sketch)) AS s").first().s
+    assert size < 20_000 * 8 / 6 / 2
+
+
+def test_sketched_buckets_and_boxes(spark):
+    rows = [("g" if i % 2 else "h", float(i)) for i in range(101)]
+    df = spark.createDataFrame(rows, "b string, v double")
+    exact = {r.b: r for r in stats.box_summary(df, "b", "v").collect()}
+    near = {r.b: r for r in stats.box_summary(df, "b", "v", sketches=stats.sketch(df, "v", "b")).collect()}
+    for b, r in exact.items():
+        assert near[b].n == r.n and abs(near[b].median - r.median) <= 2 and near[b].n_outliers == r.n_outliers == 0
+    bucketed = stats.quantile_bucket(df, "v", 5, sketches=stats.sketch(df, "v"))
+    counts = [r["count"] for r in bucketed.groupBy("size_bucket").count().collect()]
+    assert sorted(counts)[0] >= 19 and sum(counts) == 101
+    medians = {r.b: r.median_ratio for r in stats.median_by_bucket(df, "b", "v", sketches=stats.sketch(df, "v", "b")).collect()}
+    assert abs(medians["g"] - 50) <= 2
+    assert stats.sketch_quantiles(stats.sketch(df.limit(0), "v", "b"), [0.5]) == {}
+
+
+@pytest.mark.parametrize("values", [[1.0, math.nan, 2.0, 3.0, None], [math.nan, None], [-math.inf, 1.0, 2.0, math.inf], [4.0], [4.0, math.nan],
+                                    [math.inf, 5.0], [-math.inf, 5.0, 6.0, 7.0]])
+def test_quantiles_leave_out_nan_and_keep_infinities(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    own = sorted(v for v in values if v is not None and v == v)
+    got = stats.quantiles(df, "v", [0.0, 0.5, 1.0])
+    if not own:
+        assert got == {} and stats.quantile_bucket(df, "v").where("size_bucket is not null").count() == 0
+        return
+    n, (low, _, high) = got[None]
+    assert (n, low, high) == (len(own), own[0], own[-1])
+    assert not any(math.isnan(q) for q in got[None][1])
+    bucketed = stats.quantile_bucket(df, "v", 2, collapse=True)
+    assert bucketed.where("size_bucket is not null").count() == len(own)
+    assert bucketed.where("size_bucket is null").count() == len(values) - len(own)
+    box = stats.box_summary(bucketed, "size_bucket", "v").agg(F.sum("n")).first()[0]
+    assert box == len(own)
+    assert stats.quantile_bucket(df.where("not isnan(v)"), "v", 2, collapse=True).count() >= len(own)
+
+
+def test_one_value_has_one_bucket(spark):
+    df = spark.createDataFrame([(4.0,)] * 3, "v double")
+    assert {r.size_bucket for r in stats.quantile_bucket(df, "v", 5, stats.SIZE_LABELS, collapse=True).collect()} == {"Q1 (smallest)"}
+    with pytest.raises(ValueError):
+        stats.quantile_bucket(df, "v")
