@@ -29,10 +29,10 @@ class AuditResult:
 def run(df: DataFrame, layer: str, table: str, focus_col: str, as_of=None,
         tokens=clean.PLACEHOLDER_TOKENS, append_to: str | None = None,
         append_path: str | None = None) -> AuditResult:
-    """Profile ``df``; with ``append_to`` the metric rows are appended to that table."""
+    """Profile ``df``; with ``append_to`` the snapshot is added to that table (a repeated run replaces its own)."""
     metrics = profile.metrics(df, layer, table, as_of)
     if append_to is not None:
-        io.write_table(metrics, append_to, "append", append_path)
+        io.replace_partitions(metrics, append_to, profile.SNAPSHOT_KEYS, append_path or io.table_location(df.sparkSession, append_to))
     cleaned = clean.placeholders_to_null(df, tokens)
     return AuditResult(
         nulls=profile.nulls(df),

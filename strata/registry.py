@@ -22,7 +22,7 @@ from strata.functions import clean, rules
 from strata.operators import gram, merge, profile, stats
 from strata.session import materialize, shared_dir
 from strata.sources import io
-from strata.plans import audit, gold, silver_financial, silver_incidents, silver_market
+from strata.plans import audit, bronze, gold, silver_financial, silver_incidents, silver_market
 from strata.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,7 +175,7 @@ BUCKETS = "spark.sql.shuffle.partitions"
 
 def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
     """Path or table that ``write`` made, once per session and input."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name, fx.digest())
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name, fx.digest(), fx.input_state(spark, sf_dir))
     if key not in _STORED:
         made = name + "_" + _run_id()
         write(made)
@@ -521,32 +521,76 @@ def _run_id() -> str:
     return uuid.uuid4().hex[:12]
 
 
-def _landed_csv(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
-    """The incidents file as the source system would deliver it, read back by the CSV scan."""
-    path = io.table_location(spark, "landing.incidents_master_csv", run)
-    io.write_csv(fx.raw_incidents(spark, sf_dir).drop(*LINEAGE), path)
-    return io.read_csv(spark, path)
+#: The feeds' tables and file names by their short names.
+FEEDS = {"incidents_master": ("incidents_master_raw", "incidents_master.csv"),
+         "financial_impact": ("financial_impact_raw", "financial_impact.csv"),
+         "market_impact": ("market_impact_raw", "market_impact.csv")}
+
+
+def _landed(spark: SparkSession, sf_dir: str, feed: str) -> str:
+    """Path of a feed's file as the source system would deliver it, landed once per session and input."""
+    def write(made: str) -> None:
+        view, _ = RAW_VIEWS[FEEDS[feed][0]]
+        io.write_csv(view(spark, sf_dir).drop(*LINEAGE), io.table_location(spark, f"landing.{made}"))
+
+    return io.table_location(spark, "landing." + _once(spark, sf_dir, f"{feed}_file", write))
+
+
+def _side_by_side(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of several tables as text, by column name, with the ``table_name`` they come from."""
+    out = None
+    for name, df in tables.items():
+        rows = df.select(F.lit(name).alias("table_name"), *[F.col(c).cast("string").alias(c) for c in df.columns])
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
 
 
 def bronze_csv_scan_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landed_csv(spark, sf_dir, _run_id())
+    return _side_by_side({FEEDS[f][0]: io.read_csv(spark, _landed(spark, sf_dir, f)) for f in FEEDS})
 
 
 def bronze_lineage_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return io.add_lineage(_landed_csv(spark, sf_dir, _run_id()), "incidents_master.csv", as_of=AS_OF)
+    return _side_by_side({table: io.add_lineage(io.read_csv(spark, _landed(spark, sf_dir, f)), name, as_of=AS_OF)
+                          for f, (table, name) in FEEDS.items()})
 
 
 def bronze_overwrite_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _run_id()
+    """The three tables, ingested over whatever an earlier run left at their place."""
     io.ensure_schemas(spark)
-    bronze = io.add_lineage(_landed_csv(spark, sf_dir, run), "incidents_master.csv", as_of=AS_OF)
-    loc = io.table_location(spark, "bronze.incidents_master_raw", run)
-    io.write_table(bronze, "bronze.incidents_master_raw", "overwrite", loc)
-    return io.write_table(bronze, "bronze.incidents_master_raw", "overwrite", loc)
+    state = _once(spark, sf_dir, "text", lambda made: None)
+    return _side_by_side({table: bronze.ingest(
+        spark, _landed(spark, sf_dir, f), f"bronze.{table}_{state}", name, AS_OF, infer=False,
+        location=io.table_location(spark, f"bronze.{table}_{state}")) for f, (table, name) in FEEDS.items()})
 
 
 def describe_bronze_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return io.describe(bronze_lineage_q(spark, sf_dir))
+    """DESCRIBE of the three tables as they are stored after an ingest with inferred types."""
+    io.ensure_schemas(spark)
+    run, out = _run_id(), None
+    for f, (table, name) in FEEDS.items():
+        stored = f"bronze.{table}_{run}"
+        bronze.ingest(spark, _landed(spark, sf_dir, f), stored, name, AS_OF, location=io.table_location(spark, stored))
+        rows = io.describe_table(spark, stored).select(F.lit(table).alias("table_name"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _typed(spark: SparkSession, sf_dir: str, feed: str) -> io.Typed:
+    return io.read_csv_typed(spark, _landed(spark, sf_dir, feed), schemas.FEEDS[feed], shared_dir(spark, "typed", _run_id(), feed))
+
+
+def _typed_scan(feed: str) -> Query:
+    return lambda spark, sf_dir: _typed(spark, sf_dir, feed).good
+
+
+def refused_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of all feeds that do not fit their schema, with what identifies them."""
+    out = None
+    for feed in FEEDS:
+        rows = _typed(spark, sf_dir, feed).refused.select(
+            F.lit(feed).alias("feed"), "incident_id", "notes", F.col(io.RECORD).contains(F.col("notes")).alias("record_holds_notes"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def layer_schemas_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -567,19 +611,25 @@ def layer_schemas_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def folder_listing_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return io.list_files(spark, sf_dir, "*.parquet")
+
+
 def file_inventory_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.file_inventory(*[fx.table(spark, sf_dir, t) for t in fx.DRIVER_TABLES])
 
 
 def dq_metrics_append_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = _run_id()
+    """Snapshots of three tables at two times, the second run twice: each stays once."""
     io.ensure_schemas(spark)
-    name = "audit.data_quality_metrics"
-    loc = io.table_location(spark, name, run)
-    io.create_table(spark, name, schemas.METRICS, replace=True, path=loc)
-    bronze = fx.raw_incidents(spark, sf_dir)
-    for as_of in (AS_OF, AS_OF_2):
-        io.write_table(profile.metrics(bronze, "bronze", "incidents_master_raw", as_of), name, "append", loc)
+    name = f"audit.data_quality_metrics_{_run_id()}"
+    loc = io.table_location(spark, name)
+    for as_of in (AS_OF, AS_OF_2, AS_OF_2):
+        snapshot = None
+        for table, (view, _) in RAW_VIEWS.items():
+            rows = profile.metrics(view(spark, sf_dir), "bronze", table, as_of)
+            snapshot = rows if snapshot is None else snapshot.unionByName(rows)
+        io.replace_partitions(snapshot, name, profile.SNAPSHOT_KEYS, loc)
     return spark.table(name)
 
 
@@ -639,10 +689,13 @@ def queries() -> dict[str, Query]:
         "nulls_after_clean": nulls_after_clean_q,
         "layer_schemas": layer_schemas_q,
         "bronze_csv_scan": bronze_csv_scan_q,
+        **{f"typed_scan_{f.split('_')[0]}": _typed_scan(f) for f in FEEDS},
+        "refused_rows": refused_rows_q,
         "bronze_lineage": bronze_lineage_q,
         "bronze_overwrite_idempotent": bronze_overwrite_q,
         "describe_bronze": describe_bronze_q,
         "file_inventory": file_inventory_q,
+        "folder_listing": folder_listing_q,
         "dq_metrics_append": dq_metrics_append_q,
         "conform_financial": conform_financial_q,
         "table_replace": table_replace_q,

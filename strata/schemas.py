@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DataType, DateType, DecimalType, DoubleType, IntegerType,
                                LongType, StringType, StructField, StructType, TimestampType)
 
+# Names, types and order of the table.
 INCIDENTS_DDL = """
   incident_id STRING, company_name STRING, company_revenue_usd DOUBLE, country_hq STRING,
   industry_primary STRING, industry_secondary STRING, employee_count INT, is_public_company BOOLEAN,
@@ -19,6 +20,7 @@ INCIDENTS_DDL = """
   source_file STRING, date_quality_flag STRING, dq_issue_count INT, ingestion_timestamp_silver TIMESTAMP
 """
 
+# Names, types and order of the table.
 FINANCIAL_DDL = """
   incident_id STRING, direct_loss_method STRING, total_loss_method STRING, ransom_source STRING, notes STRING,
   source_file STRING, direct_loss_usd DECIMAL(18,2), ransom_demanded_usd DECIMAL(18,2),
@@ -31,6 +33,7 @@ FINANCIAL_DDL = """
   data_quality_flag INT, financial_quality_flag STRING, dq_issue_count INT, ingestion_timestamp_silver TIMESTAMP
 """
 
+# Names of the flags.
 MARKET_DQ_FLAGS = [
     "dq_invalid_incident_id", "dq_invalid_stock_ticker", "dq_invalid_price_7d_before",
     "dq_invalid_price_disclosure_day", "dq_invalid_price_1d_after", "dq_invalid_price_7d_after",
@@ -40,6 +43,7 @@ MARKET_DQ_FLAGS = [
     "dq_invalid_updated_before_created", "dq_invalid_boolean_token", "dq_missing_bronze_ingestion_timestamp",
 ]
 
+# Names, types and order of the table.
 MARKET_DDL = """
   incident_id STRING, stock_ticker STRING, price_7d_before DECIMAL(18,2), price_disclosure_day DECIMAL(18,2),
   price_1d_after DECIMAL(18,2), price_7d_after DECIMAL(18,2), price_30d_after DECIMAL(18,2),
@@ -54,6 +58,7 @@ MARKET_DDL = """
   bronze_ingestion_timestamp TIMESTAMP, silver_ingestion_timestamp TIMESTAMP, source_file STRING,
 """ + ", ".join(f"{f} INT" for f in MARKET_DQ_FLAGS) + ", dq_has_issues INT"
 
+# Names, types and order of the table.
 METRICS_DDL = """
   layer STRING, table_name STRING, column_name STRING, null_count BIGINT, null_pct DOUBLE,
   total_rows BIGINT, profiled_at TIMESTAMP
@@ -88,6 +93,22 @@ MARKET = struct(MARKET_DDL)
 METRICS = struct(METRICS_DDL)
 
 
+def _feed(silver: StructType, last: str, replaced: dict[str, str], left_out: tuple[str, ...] = ()) -> StructType:
+    """A feed's columns as its file has them: those of the silver table up to ``last``, typed alike, then two times."""
+    names = silver.fieldNames()
+    fields = [silver[n] for n in names[:names.index(last) + 1] if n not in left_out]
+    added = [StructField(n, _SIMPLE[t], True) for n, t in {**replaced, "created_at": "TIMESTAMP", "updated_at": "TIMESTAMP"}.items()]
+    return StructType(fields + added)
+
+
+#: Typed schemas of the three feeds' files, by the name of the feed.
+FEEDS = {
+    "incidents_master": _feed(INCIDENTS, "notes", {}),
+    "financial_impact": _feed(FINANCIAL, "inflation_adjusted_usd", {"cpi_index_used": "STRING"}, ("source_file",)),
+    "market_impact": _feed(MARKET, "notes", {}),
+}
+
+
 def conform(df: DataFrame, schema: StructType, strict: bool = True) -> DataFrame:
     """Store-assignment into a fixed schema: select by name, cast, fill absent columns with NULL.
 

@@ -329,8 +329,18 @@ def digest() -> str:
     return hashlib.sha1(text.encode()).hexdigest()[:12]
 
 
+def input_state(spark: SparkSession, sf_dir: str, names=("orders", "lineitem", "events", "nation")) -> tuple:
+    """Name, size and time of the input tables' files: what is stored of other files is not read again."""
+    found = []
+    for name in names:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        found += [(f.getPath().getName(), f.getLen(), f.getModificationTime())
+                  for f in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)]
+    return tuple(sorted(found))
+
+
 def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name, digest())
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name, digest(), input_state(spark, sf_dir))
     path = _STORED.get(key)
     if path is None:
         path = shared_dir(spark, "bronze", uuid.uuid4().hex[:12], name)

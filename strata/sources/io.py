@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from strata.functions.clean import now
 from strata.session import shared_dir
@@ -57,6 +58,36 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return reader.csv(path)
 
 
+@dataclass
+class Typed:
+    """A typed scan: the rows that fit the schema, and those refused, with what of them could be read and their ``record``."""
+    good: DataFrame
+    refused: DataFrame
+
+
+#: The text of a refused record; whether a row was refused.
+RECORD, REFUSED = "record", "refused"
+
+
+def read_csv_typed(spark: SparkSession, path: str, schema: StructType, store: str) -> Typed:
+    """Header CSV scan by an explicit schema that loses no row: what does not fit is kept apart, with its text.
+
+    A record is refused if a value cannot be read as its column's type (an empty value is
+    NULL and fits any) or if it has too few or too many values; a header with other names
+    fails the job.  The file is parsed once, whole (Spark parses only the columns that a query
+    asks for, and would then not see what is wrong with the others), and stored
+    below ``store`` in two partitions, which the two results read.
+    """
+    clash = {RECORD, REFUSED} & set(schema.fieldNames())
+    if clash:
+        raise ValueError(f"columns of the scan's own: {sorted(clash)}")
+    parsed = (spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", RECORD).schema(StructType(schema.fields + [StructField(RECORD, StringType())])).csv(path))
+    parsed.withColumn(REFUSED, F.col(RECORD).isNotNull()).write.mode("overwrite").partitionBy(REFUSED).parquet(store)
+    stored = spark.read.schema(StructType(parsed.schema.fields + [StructField(REFUSED, BooleanType())])).parquet(store)
+    return Typed(stored.where(~F.col(REFUSED)).select(*schema.fieldNames()), stored.where(REFUSED).select(*schema.fieldNames(), RECORD))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV that round-trips text exactly (no whitespace trimming on write)."""
     (df.write.mode(mode).option("header", True)
@@ -96,6 +127,21 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | N
     return df.sparkSession.table(name)
 
 
+def replace_partitions(df: DataFrame, name: str, keys: Sequence[str], path: str) -> DataFrame:
+    """Write ``df`` into table ``name``, partitioned by ``keys``: each partition that ``df`` has rows of is replaced, all others stay.
+
+    So a batch that is written again leaves one copy of itself, and earlier batches
+    are untouched.  The rows of a batch must hold whole partitions.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(_check_ident(name)):
+        df.limit(0).write.format("parquet").partitionBy(*keys).option("path", path).saveAsTable(name)
+    rest = [c for c in df.columns if c not in keys]
+    df.select(*rest, *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    return spark.table(name)
+
+
 def create_table(spark: SparkSession, name: str, schema: StructType, replace: bool = False,
                  path: str | None = None) -> DataFrame:
     """Fixed-schema table: drop-and-recreate empty (``replace``) or create only if absent."""
@@ -111,6 +157,22 @@ def describe(df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "col_name string, data_type string, position int")
 
 
+def describe_table(spark: SparkSession, name: str) -> DataFrame:
+    """DESCRIBE of a stored table as rows (col_name, data_type, position): what the catalog holds, not what a query would give."""
+    rows = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE {_check_ident(name)}").collect()]
+    stop = next((i for i, r in enumerate(rows) if not r[0] or r[0].startswith("#")), len(rows))  # partition information follows
+    return spark.createDataFrame([(*r, i + 1) for i, r in enumerate(rows[:stop])], "col_name string, data_type string, position int")
+
+
+def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """Files below ``folder`` as rows (file_name relative to it, length, modified), read from the store's listing; no content is read."""
+    root = folder.rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    # paths come with the store's scheme, the folder may be given without
+    name = F.substring_index(F.col("path"), root + "/", -1)
+    return files.select(name.alias("file_name"), "length", F.col("modificationTime").alias("modified"))
+
+
 def file_inventory(*dfs: DataFrame) -> DataFrame:
     """Rows per input file of one or more file-based DataFrames (file_name, rows).
 
