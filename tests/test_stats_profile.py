@@ -263,3 +263,32 @@ def test_one_value_has_one_bucket(spark):
     assert {r.size_bucket for r in stats.quantile_bucket(df, "v", 5, stats.SIZE_LABELS, collapse=True).collect()} == {"Q1 (smallest)"}
     with pytest.raises(ValueError):
         stats.quantile_bucket(df, "v")
+
+
+def test_audit_reads_the_table_once(spark):
+    """All results come from one pass, and equal those of the separate profiles."""
+    from strata.plans import audit
+
+    rows = [(" Unknown", "a", 1, None), ("N/A", "tbd", 2, 1.0), ("ok", "?", None, None), ("unknown", None, 4, 2.0), (None, " -- ", 5, 2.0), ("N/A", "x", 6, 1.0)]
+    plain = spark.createDataFrame(rows, "`c 1` string, c2 string, n int, v double")
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(n):
+        read.add(1)
+        return n
+
+    got = audit.run(plain.withColumn("n", counted("n")), "bronze", "t", "c 1", as_of="2001-01-01 00:00:00")
+    pairs = [(got.nulls, profile.nulls(plain)), (got.metrics, profile.metrics(plain, "bronze", "t", "2001-01-01 00:00:00")),
+             (got.placeholders, profile.placeholders(plain)), (got.placeholder_values, profile.placeholder_values(plain, "`c 1`")),
+             (got.nulls_after_clean, profile.null_after_clean(got.cleaned.drop("n"), "`c 1`"))]
+    for a, b in pairs:
+        assert a.columns == b.columns
+        assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+    assert read.value == len(rows)
+    empty = audit.run(plain.limit(0), "bronze", "t", "c 1")
+    assert [tuple(r) for r in empty.nulls_after_clean.collect()] == [(0, 0)]
+    assert {(r.null_count, r.null_pct) for r in empty.nulls.collect()} == {(0, None)} and empty.nulls.count() == 4
+    assert empty.placeholders.count() == 0 == empty.placeholder_values.count()
+    numbers = audit.run(plain.select("n"), "bronze", "t", "n")
+    assert [tuple(r) for r in numbers.nulls_after_clean.collect()] == [(6, 1)] and numbers.placeholders.count() == 0
