@@ -21,8 +21,11 @@ MONEY = ["direct_loss_usd", "ransom_demanded_usd", "ransom_paid_usd", "recovery_
          "total_loss_upper_bound", "inflation_adjusted_usd"]
 
 
-def typed(raw: DataFrame, key_case: str | None = "upper") -> DataFrame:
-    """Cleaning and typing; the key is upper-cased (the reference's policy) unless ``key_case`` says otherwise."""
+def typed(raw: DataFrame, key_case: str | None = "upper", on_error: str = "null") -> DataFrame:
+    """Cleaning and typing; the key is upper-cased (the reference's policy) unless ``key_case`` says otherwise.
+
+    ``on_error="fail"`` makes a malformed time fail the job, as the reference's plain casts do.
+    """
     tok = clean.FINANCIAL_NULL_TOKENS
     raw = raw.withColumn("__cpi_value_text", clean.cpi_value_text("cpi_index_used"))
     year, value = clean.cpi("cpi_index_used", "__cpi_value_text")
@@ -36,9 +39,9 @@ def typed(raw: DataFrame, key_case: str | None = "upper") -> DataFrame:
         *[(m, clean.money(m)) for m in MONEY],
         ("cpi_year", year),
         ("cpi_value", value),
-        ("created_at_bronze", clean.cast("created_at", "timestamp")),
-        ("updated_at_bronze", clean.cast("updated_at", "timestamp")),
-        ("ingestion_timestamp_bronze", clean.cast("ingestion_timestamp", "timestamp")),
+        ("created_at_bronze", clean.cast("created_at", "timestamp", on_error)),
+        ("updated_at_bronze", clean.cast("updated_at", "timestamp", on_error)),
+        ("ingestion_timestamp_bronze", clean.cast("ingestion_timestamp", "timestamp", on_error)),
     ]
     return clean.select_cleaned(raw, spec)
 
@@ -108,6 +111,6 @@ def derive(w: DataFrame, as_of=None) -> DataFrame:
     })
 
 
-def build(raw: DataFrame, as_of=None, tiebreak=None, key_case: str | None = "upper") -> DataFrame:
+def build(raw: DataFrame, as_of=None, tiebreak=None, key_case: str | None = "upper", on_error: str = "null") -> DataFrame:
     """Raw financial rows -> silver rows (31 columns; the two never-filled ones are NULL)."""
-    return schemas.conform(derive(winners(typed(raw, key_case), tiebreak), as_of), schemas.FINANCIAL)
+    return schemas.conform(derive(winners(typed(raw, key_case, on_error), tiebreak), as_of), schemas.FINANCIAL)

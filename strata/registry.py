@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.oracle import AS_OF, AS_OF_2  # noqa: F401  (shared constants)
 import os
+import re
 import uuid
 
 from strata import oracle, schemas
@@ -183,6 +184,13 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], No
     return _STORED[key]
 
 
+def forget(raw: bool = False) -> None:
+    """Build the stored layers anew when they are next read, with ``raw`` the raw feeds too."""
+    _STORED.clear()
+    if raw:
+        fx.forget()
+
+
 def silver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A silver build as the layer stores it: bucketed on the key, so that joins on it shuffle nothing."""
     build = {
@@ -401,7 +409,15 @@ def _fin_rules(*names):
     return lambda: [silver_financial.issue_rules()[n].alias(n) for n in names]
 
 
-MKT_D2 = silver_market.DEC_18_2
+#: Every strict cast of the incident silver.
+STRICT_CASTS = {
+    **dict.fromkeys(["company_revenue_usd", "downtime_hours", "quality_score"], "double"),
+    **dict.fromkeys(["employee_count", "confidence_tier"], "int"), "data_compromised_records": "bigint",
+    **dict.fromkeys(["is_public_company", "incident_date_estimated"], "boolean"),
+    **dict.fromkeys(["incident_date", "discovery_date", "disclosure_date"], "date"),
+    **dict.fromkeys(["created_at", "updated_at", "ingestion_timestamp"], "timestamp")}
+#: The flags of the market feed by the kind of their rule.
+MKT_RANGES = [f for f in schemas.MARKET_DQ_FLAGS if re.search("price|volume|p_value|volatility", f)]
 COLUMN_KEYS: dict[str, tuple] = {
     "clean_trim_case": (_raw_inc, lambda: [
         clean.norm("incident_id").alias("incident_id"), clean.norm("company_name", "upper").alias("company_name"),
@@ -414,22 +430,17 @@ COLUMN_KEYS: dict[str, tuple] = {
     "clean_tokens_lower": (_raw_mkt, lambda: [
         clean.tokens_to_null(c, clean.MARKET_NULL_TOKENS, "lower").alias(c) for c in ("incident_id", "stock_ticker")]),
     "clean_tokens_keepcase": (_raw_mkt, lambda: [
-        clean.tokens_to_null(c, clean.MARKET_NULL_TOKENS, None).alias(c) for c in ("sector_index", "source_file")]),
+        clean.tokens_to_null(c, clean.MARKET_NULL_TOKENS, None).alias(name)
+        for c, name in (("sector_index", "sector_index"), ("notes", "notes_kept"), ("source_file", "source_file"))]),
     "clean_sentinel": (_raw_inc, lambda: [
         clean.tokens_to_null("attribution_confidence", clean.INCIDENT_SENTINELS, "lower").alias(
             "attribution_confidence")]),
-    "cast_strict": (_raw_inc, lambda: [
-        clean.cast("company_revenue_usd", "double", "fail").alias("company_revenue_usd"),
-        clean.cast("employee_count", "int", "fail").alias("employee_count"),
-        clean.cast("incident_date", "date", "fail").alias("incident_date"),
-        clean.cast("is_public_company", "boolean", "fail").alias("is_public_company"),
-        clean.cast("created_at", "timestamp", "fail").alias("created_at")]),
+    "cast_strict": (_raw_inc, lambda: [clean.cast(c, t, "fail").alias(c) for c, t in STRICT_CASTS.items()]),
+    "cast_strict_financial": (_raw_fin, lambda: [clean.cast(c, "timestamp", "fail").alias(c)
+                                                 for c in ("created_at", "updated_at", "ingestion_timestamp")]),
     "parse_money": (_raw_fin, lambda: [clean.money(m).alias(m) for m in silver_financial.MONEY]),
     "parse_grouped_decimal": (_raw_mkt, lambda: [
-        *[clean.number(m, "decimal(18,2)").alias(m) for m in MKT_D2],
-        clean.number("sector_return_same_period", "decimal(18,6)").alias("sector_return_same_period"),
-        clean.number("car_0_to_90", "decimal(18,6)").alias("car_0_to_90"),
-        clean.number("market_cap_at_disclosure", "decimal(20,2)").alias("market_cap_at_disclosure")]),
+        clean.number(m, t).alias(m) for m, t in silver_market.NUMERIC_TYPES.items() if t.startswith("decimal")]),
     "parse_grouped_bigint": (_raw_mkt, lambda: [clean.number(m, "bigint").alias(m) for m in silver_market.BIGINTS]),
     "parse_int": (_raw_mkt, lambda: [
         clean.number("days_to_price_recovery", "int", strip=None).alias("days_to_price_recovery")]),
@@ -450,6 +461,13 @@ COLUMN_KEYS: dict[str, tuple] = {
     "rule_format": (_typed_inc, _inc_rules("incident_id_format", "country_format", "industry_format")),
     "rule_range": (_typed_inc, _inc_rules("revenue_range", "employee_range", "downtime_range")),
     "rule_domain": (_typed_inc, _inc_rules("confidence_domain", "tier_domain", "grade_domain")),
+    "rule_format_financial": (_typed_fin, _fin_rules("incident_id_format")),
+    "rule_format_market": (_flags_mkt, lambda: [F.col("dq_invalid_stock_ticker")]),
+    "rule_range_financial": (_typed_fin, _fin_rules("direct_negative", "recovery_negative", "legal_negative", "fine_negative",
+                                                    "insurance_negative", "total_negative_or_missing")),
+    "rule_range_market": (_flags_mkt, lambda: [F.col(f) for f in MKT_RANGES]),
+    "rule_cross_column_market": (_flags_mkt, lambda: [F.col("dq_invalid_updated_before_created")]),
+    "rule_required_market": (_flags_mkt, lambda: [F.col("dq_invalid_incident_id"), F.col("dq_missing_bronze_ingestion_timestamp")]),
     "rule_cross_column": (_typed_fin, _fin_rules("loss_range", "cpi_pair")),
     "rule_required": (_typed_inc, _inc_rules("public_required")),
     "incident_date_flag": (_typed_inc, lambda: [silver_incidents.date_flag(AS_OF).alias("date_quality_flag")]),

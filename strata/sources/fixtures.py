@@ -349,6 +349,11 @@ def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def forget() -> None:
+    """Derive the raw feeds anew when they are next read."""
+    _STORED.clear()
+
+
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze(spark, sf_dir, "raw_incidents")
 

@@ -32,12 +32,16 @@ def _check_ident(name: str) -> str:
     return name
 
 
-def ensure_schemas(spark: SparkSession, names: Sequence[str] = LAYERS, location_root: str | None = None) -> list[str]:
+def ensure_schemas(spark: SparkSession, names: Sequence[str] = LAYERS, location_root: str | None = None,
+                   catalog: str | None = None) -> list[str]:
     """CREATE SCHEMA IF NOT EXISTS for each layer; returns the names.
 
+    ``catalog`` is selected first and stays the session's (default: the one it has); an unknown one fails.
     ``location_root`` places each schema's folder there (default: the shared
     work folder); pass ``""`` to use the catalog's own warehouse location.
     """
+    if catalog is not None:
+        spark.catalog.setCurrentCatalog(_check_ident(catalog))
     root = shared_dir(spark, "warehouse") if location_root is None else location_root
     for n in names:
         loc = f" LOCATION '{root.rstrip('/')}/{_check_ident(n)}.db'" if root else ""
@@ -165,7 +169,10 @@ def describe_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """Files below ``folder`` as rows (file_name relative to it, length, modified), read from the store's listing; no content is read."""
+    """Files below ``folder`` as rows (file_name relative to it, length, modified), read from the store's listing.
+
+    No content is read; files without content are not listed (the source passes over them).
+    """
     root = folder.rstrip("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
     # paths come with the store's scheme, the folder may be given without
