@@ -4,12 +4,18 @@
 ``connect`` finds links: every bucket is first compared with one of its rows (a
 star), what links is merged, and rows that lie in one component are not compared
 again, so a bucket of alike rows costs a comparison a row, whatever its size.
+
+Pairs are screened by ``parities`` before their sets are read: a set is folded to a few
+hundred bits, each the parity of the elements that fall on it.  Bits that differ between
+two sets are no more than the elements that do, so a pair with too many of
+them cannot link; none that links is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +68,32 @@ def labels(links: DataFrame) -> DataFrame:
     return _through_least(_toward_least(edges)).groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
 
 
+def parities(hashes: np.ndarray, words: int) -> list[int]:
+    """Parity of the number of hashes on each of 64 * ``words`` bits (a power of two), as longs."""
+    odd = np.bincount((hashes & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
+def may_link(words: int, percent: int) -> Callable[[Column, Column], Column]:
+    """Test of two sketches (n elements, bits: ``parities``, slack): whether their sets can have that Jaccard similarity.
+
+    Alike sets of m elements together differ in at most (100 - percent) / (100 + percent) * m.
+    ``slack``: by how many elements the sets that a row stands for may differ from its own.
+    """
+    def test(one: Column, two: Column) -> Column:
+        differ = sum((F.bit_count(F.get(one["bits"], i).bitwiseXOR(F.get(two["bits"], i))) for i in range(words)), F.lit(0))
+        return (differ - one["slack"] - two["slack"]) * (100 + percent) <= (one["n"] + two["n"]) * (100 - percent)
+    return test
+
+
+def _screened(pairs: DataFrame, sketches: DataFrame | None, test: Callable[[Column, Column], Column] | None) -> DataFrame:
+    """The pairs (a, b) that pass ``test``."""
+    if sketches is None:
+        return pairs
+    one, two = (sketches.select(F.col("node").alias(n), F.col("sketch").alias(f"_{n}")) for n in ("a", "b"))
+    return pairs.join(two, "b").join(one, "a").where(test(F.col("_a"), F.col("_b"))).select("a", "b")
+
+
 def _star(rows: DataFrame, heads: DataFrame, near: Callable[[Column, Column], Column]) -> DataFrame:
     """Candidate pairs: each row of a bucket against the bucket's head."""
     one = heads.select("bucket", F.col("head.node").alias("a"), F.col("head.info").alias("i"))
@@ -69,24 +101,32 @@ def _star(rows: DataFrame, heads: DataFrame, near: Callable[[Column, Column], Co
     return one.join(two, "bucket").where((F.col("a") != F.col("b")) & near(F.col("i"), F.col("j"))).select("a", "b").distinct()
 
 
-def _rest(apart: DataFrame, near: Callable[[Column, Column], Column]) -> DataFrame:
-    """All pairs of a bucket in different components: rows outside the main one against all."""
-    side = lambda n, r, i: ["bucket", F.col("node").alias(n), F.col("root").alias(r), F.col("info").alias(i)]
-    one = apart.where("root <> main").select(*side("a", "r", "i"))
-    two = apart.select(*side("b", "s", "j"), (F.col("root") != F.col("main")).alias("also"))
-    new = (F.col("r") != F.col("s")) & (~F.col("also") | (F.col("a") < F.col("b")))
-    return one.join(two, "bucket").where(new & near(F.col("i"), F.col("j"))).select("a", "b").distinct()
+def _rest(apart: DataFrame, near: Callable[[Column, Column], Column], sketches: DataFrame | None,
+          test: Callable[[Column, Column], Column] | None) -> DataFrame:
+    """Pairs of a bucket in different components that may link: rows outside the main one against all."""
+    held = ["root", "info"]
+    if sketches is not None:
+        apart, held = apart.join(sketches, "node"), [*held, "sketch"]
+    side = lambda n, end: ["bucket", F.col("node").alias(n), *[F.col(c).alias(f"{c}{end}") for c in held]]
+    one = apart.where("root <> main").select(*side("a", 1))
+    two = apart.select(*side("b", 2), (F.col("root") != F.col("main")).alias("also"))
+    new = (F.col("root1") != F.col("root2")) & (~F.col("also") | (F.col("a") < F.col("b"))) & near(F.col("info1"), F.col("info2"))
+    if sketches is not None:
+        new = new & test(F.col("sketch1"), F.col("sketch2"))
+    return one.join(two, "bucket").where(new).select("a", "b").distinct()
 
 
 def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, Column], Column],
-            check: Callable[[DataFrame], DataFrame], viable: Column | None = None, *bounds: Column) -> DataFrame:
+            check: Callable[[DataFrame], DataFrame], viable: Column | None = None, *bounds: Column,
+            sketches: DataFrame | None = None, test: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """Components, as of ``components``, of the links between all pairs sharing a bucket for which ``check`` holds.
 
     ``index``: bucket, node, info, rank, for buckets of two nodes or more, stored;
     the row of least rank, the likeliest to link with many, heads its bucket.
     ``viable``: whether a row may link with any row of its bucket, given
     ``bounds``, aggregates of the bucket's infos.
-    ``near`` is a cheap necessary test of two infos, ``check`` keeps the true
+    ``near`` is a cheap necessary test of two infos, ``test`` (``may_link``) one of two ``sketches``
+    (node, sketch; stored), made before a pair leaves the join; ``check`` keeps the true
     links of stored candidate pairs.  ``links``: pairs known to link.  No pair in
     different components is left unchecked; only pairs already connected are.
     Between stars one contraction of the links (``labels``) tells most of those.
@@ -103,7 +143,7 @@ def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, C
         return stored(found if links is None else links.unionByName(found), "links")
 
     for _ in range(MOST_STARS):
-        links = add(_star(rows, heads, near))
+        links = add(_screened(_star(rows, heads, near), sketches, test))
         done = heads.select("bucket", F.col("head.node").alias("node"))
         tried = stored(done if tried is None else tried.unionByName(done), "tried")
         place = nodes.join(labels(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
@@ -114,4 +154,4 @@ def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, C
         cost = rows.where("root <> main").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
         if cost <= REST_FACTOR * size:
             break
-    return components(add(_rest(rows, near)) if cost else links)
+    return components(add(_rest(rows, near, sketches, test)) if cost else links)

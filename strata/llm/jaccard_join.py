@@ -9,11 +9,12 @@ of counters over all shingles of the corpus, so common lines and passages come l
 1. Equal sets are one class; of the classes with equal size and prefix one is the
    head, and those that link with it are its group, which stands for its members in
    the index of prefix shingles.  The others are groups of their own.
-2. Groups that share a prefix shingle and pass the size and position filters are
-   candidates.  A shingle's groups are first compared with one of them (a star)
+2. Groups that share a prefix shingle and pass the filters on sizes, positions and
+   folded bits are candidates.  A shingle's groups are first compared with one of them (a star)
    and what links is merged; only groups still apart are then compared in pairs.
    So a group of near copies, however large, costs a few comparisons a member.
-3. Candidates are expanded to the members' sets and verified exactly; components
+3. Candidates are verified exactly: the heads first, which connects their groups; where
+   two heads do not link, their groups are expanded and the members verified.  Components
    come from distributed union-find.
 
 Sets are identified by a 64-bit and shingles by a 48-bit hash.
@@ -39,10 +40,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import stored
-from strata.llm.components import connect
+from strata.llm.components import connect, may_link, parities
 
 #: Counters of the shingle order (4 MB), in blocks that are summed apart, by that many first sums.
 COUNTERS, BLOCK, FIRST_SUMS = 1 << 20, 1 << 12, 64
+#: Longs of a set's parities (``components.parities``).
+PARITY_WORDS = 8
 #: Bits of the table of ids whose sets are fetched (a hint: false positives are fetched in vain).
 FETCH_BITS = 1 << 24
 #: Rows that a task works on at once.
@@ -127,17 +130,17 @@ def prefix_size(size: int, percent: int) -> int:
 
 
 def prefixes(docs: DataFrame, n: int, percent: int, counters) -> DataFrame:
-    """doc_id, row, n_shingles, node (hash of the set; null if empty), key (hash of size and prefix), prefix (longs)."""
+    """doc_id, row, n_shingles, node (hash of the set; null if empty), key (hash of size and prefix), prefix (longs), bits (parities)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counters.value
         for batch in slices(batches):
-            sizes, nodes, keys, firsts = [], [], [], []
+            sizes, nodes, keys, firsts, bits = [], [], [], [], []
             for value in batch.column(1):
                 own = shingles(value.as_py(), n)
                 sizes.append(len(own))
                 if not len(own):
-                    nodes.append(None), keys.append(None), firsts.append(None)
+                    nodes.append(None), keys.append(None), firsts.append(None), bits.append(None)
                     continue
                 order = np.lexsort((own, counts[(own % COUNTERS).astype(np.int64)]))
                 first = own[order[:prefix_size(len(own), percent)]].astype(np.int64)
@@ -145,11 +148,12 @@ def prefixes(docs: DataFrame, n: int, percent: int, counters) -> DataFrame:
                 keys.append(int.from_bytes(hashlib.blake2b(
                     len(own).to_bytes(8, "little") + first.tobytes(), digest_size=8).digest(), "little", signed=True))
                 firsts.append(first)
+                bits.append(parities(own, PARITY_WORDS))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "row": batch.column(2), "n_shingles": pa.array(sizes, pa.int64()), "node": pa.array(nodes, pa.int64()),
-                "key": pa.array(keys, pa.int64()), "prefix": pa.array(firsts, pa.list_(pa.int64()))})
+                "key": pa.array(keys, pa.int64()), "prefix": pa.array(firsts, pa.list_(pa.int64())), "bits": pa.array(bits, pa.list_(pa.int64()))})
 
-    return _texts(docs, row_hash().alias("row")).mapInArrow(find, "doc_id long, row long, n_shingles long, node long, key long, prefix array<long>")
+    return _texts(docs, row_hash().alias("row")).mapInArrow(find, "doc_id long, row long, n_shingles long, node long, key long, prefix array<long>, bits array<long>")
 
 
 def _bitmap(ids: DataFrame) -> bytes:
@@ -221,10 +225,13 @@ class Sets:
         return self.have
 
 
-def _expand(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of groups as pairs of their members' nodes."""
-    one, two = (members.select(F.col("grp").alias(g), F.col("node").alias(f"_{g}")) for g in ("a", "b"))
-    return pairs.join(one, "a").join(two, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+def _expand(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of groups as those pairs of their members' nodes that may link."""
+    test = may_link(PARITY_WORDS, percent)
+    one, two = (members.select(F.col("grp").alias(g), F.col("node").alias(f"_{g}"),
+                               F.struct("n", "bits", F.lit(0).alias("slack")).alias(f"s_{g}")) for g in ("a", "b"))
+    return pairs.join(one, "a").join(two, "b").where(test(F.col("s_a"), F.col("s_b"))).select(
+        F.col("_a").alias("a"), F.col("_b").alias("b"))
 
 
 def link(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -245,7 +252,9 @@ def link_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
     known = stored(verify(own, sets.of(own), percent), "links")
     # an equal prefix is not yet a link: a set that does not link with its head is a group of its own
     stays = known.select(F.col("a").alias("node"), F.col("b").alias("head"))
-    members = stored(alike.join(stays, "node", "left").select("node", "least", F.coalesce("head", "node").alias("grp")), "members")
+    grouping = alike.join(stays, "node", "left").select("node", "least", F.coalesce("head", "node").alias("grp"))
+    bits = found.where("node is not null").groupBy("node").agg(F.first("n_shingles").cast("int").alias("n"), F.first("bits").alias("bits"))
+    members = stored(grouping.join(bits, "node"), "members")
     heads = found.where("node is not null").select(F.col("node").alias("grp"), F.col("n_shingles").cast("int").alias("n"), "prefix")
     heads = heads.join(members.where("node = grp").select("grp"), "grp").groupBy("grp").agg(
         F.first("n").alias("n"), F.first("prefix").alias("prefix"))
@@ -272,15 +281,27 @@ def _resolve(found: DataFrame, members: DataFrame, tokens: DataFrame, sets: Sets
     index = stored(indexed.select(F.col("token").alias("bucket"), F.col("grp").alias("node"),
                                   F.struct("n", F.col("pos").alias("p"), "q").alias("info"), F.col("pos").alias("rank")), "index")
 
+    # a group's members differ from its head by as much as a link allows, and no group of one does
+    slack = F.when(F.count(F.lit(1)) > 1, F.floor(2 * F.first("n") * (100 - percent) / (100 + percent)).cast("int")).otherwise(0)
+    many = members.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), slack.alias("slack"))
+    sketches = stored(members.where("node = grp").join(many, "grp").select(
+        "node", F.struct("n", "bits", "slack").alias("sketch"), "members"), "sketches")
+    large = sketches.where("members > 1").select("node")
+
     def check(pairs: DataFrame) -> DataFrame:
-        members_pairs = stored(_expand(pairs, members), "members")
-        return verify(members_pairs, sets.of(members_pairs), percent)
+        """Links of heads; only where the heads of two groups do not link are their members compared."""
+        direct = stored(verify(pairs, sets.of(pairs), percent), "links")
+        apart = pairs.join(direct, ["a", "b"], "left_anti")
+        of_large = [apart.join(large.withColumnRenamed("node", c), c, "left_semi") for c in ("a", "b")]
+        members_pairs = stored(_expand(of_large[0].unionByName(of_large[1]).distinct(), members, percent), "members")
+        return direct.unionByName(verify(members_pairs, sets.of(members_pairs), percent))
 
     info, n1 = F.col("info"), F.col("info.n")
     most = F.least(info["q"], F.col("most_q")) + 1 + F.least(n1 - 1 - info["p"], F.col("most_n") - 1 - F.col("least_p"))
     viable = most * (100 + percent) >= (n1 + F.col("least_n")) * percent
     roots = connect(index, known, partial(_near, percent), check, viable, F.max("info.q").alias("most_q"),
-                    F.min("info.p").alias("least_p"), F.min("info.n").alias("least_n"), F.max("info.n").alias("most_n"))
+                    F.min("info.p").alias("least_p"), F.min("info.n").alias("least_n"), F.max("info.n").alias("most_n"),
+                    sketches=sketches.select("node", "sketch"), test=may_link(PARITY_WORDS, percent))
 
     named = members.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -140,3 +140,45 @@ def test_lines_match_all_pairs_of_all_character_shingles(frame):
     got = line_dedup.classes(frame(list(enumerate(docs)))).collect()
     assert {(r["doc_id"], r["line_no"]): r["keep"] for r in got} == {k: first[root[s]] == k for k, s in places.items()}
     assert sum(root[s] != s for s in sets) > 60
+
+
+def test_parities_never_refuse_a_link(spark):
+    """The screen lets every linking pair pass, also with slack for groups, and refuses unlike pairs."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from strata.llm.components import may_link, parities
+
+    rng, rows = np.random.default_rng(6), []
+    for k in range(400):
+        n = int(rng.integers(1, 300))
+        one = rng.integers(0, 1 << 48, n, dtype=np.uint64)
+        cut = int(rng.integers(0, max(1, n // 4) + 1))
+        two = np.concatenate([one[cut:], rng.integers(0, 1 << 48, int(rng.integers(0, cut + 2)), dtype=np.uint64)]) if k % 2 else rng.integers(
+            0, 1 << 48, n, dtype=np.uint64)
+        a, b = set(one.tolist()), set(two.tolist())
+        linked = bool(b) and 100 * len(a & b) >= 85 * len(a | b)
+        apart = len(a ^ b)
+        sketch = lambda s, slack: (len(s), parities(np.array(sorted(s), np.uint64), 8), slack)
+        rows.append((sketch(a, 0), sketch(b, 0), linked, n, apart, sketch(a, apart)))
+    kind = "struct<n:int,bits:array<long>,slack:int>"
+    df = spark.createDataFrame(rows, f"a {kind}, b {kind}, linked boolean, n int, apart int, c {kind}")
+    test = may_link(8, 85)
+    got = df.select("linked", "n", test(F.col("a"), F.col("b")).alias("may"), test(F.col("c"), F.col("b")).alias("loose")).collect()
+    assert all(r["may"] for r in got if r["linked"]) and sum(r["linked"] for r in got) > 50
+    assert all(r["loose"] for r in got)
+    assert sum(not r["may"] for r in got) > 150
+
+
+def test_groups_whose_heads_are_unlike_still_link_by_members(frame):
+    """Two groups of near copies in a chain: only members in between link the groups."""
+    base = [f"w{i}" for i in range(130)]
+    docs = []
+    for k in range(14):  # each moves a few words further
+        base = base[:9 * k] + [f"c{k}x{j}" for j in range(2)] + base[9 * k + 2:]
+        docs.append(list(base))
+    data = [(i, " ".join(w)) for i, w in enumerate(docs)] + [(100, " ".join(docs[-1])), (200, "something else altogether here")]
+    sets = {i: set(jaccard_join.shingles(t, 4).tolist()) for i, t in data}
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.link(frame(data)).collect()}
+    assert got == united(sets, sets, 85)
+    assert got[13] == 0 and 100 * len(sets[0] & sets[13]) < 85 * len(sets[0] | sets[13])
