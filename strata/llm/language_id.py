@@ -2,9 +2,9 @@
 
 The network reads a text's UTF-8 bytes in windows, in both directions, labels
 every byte, and a document's probabilities are the means over all its bytes.  It
-is trained in numpy by backpropagation through time on a bounded, documented
-sample of labelled documents (``SAMPLE`` for each language, chosen by a hash of
-the id) and is a few thousand numbers, so tasks receive it whole.
+is trained in numpy by backpropagation through time on the whole texts of a bounded,
+documented sample of labelled documents (about ``SAMPLE`` for each language, chosen by a
+hash of the id and text) and is a few thousand numbers, so tasks receive it whole.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 whole texts are read, a block of windows in memory at a time; repeated rows are
@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 
 from strata.llm.common import workers_import
 
-#: Labelled documents a language gives to training, about, and the characters taken of each, at a hashed place.
-SAMPLE, SAMPLE_CHARS = 400, 512
+#: Labelled documents that a language gives to training, about.
+SAMPLE = 120
 #: Units of each direction; bytes in a window; windows read at once.
 UNITS, WINDOW, BLOCK = 10, 128, 2048
 EPOCHS, BATCH, RATE, SEED = 4, 64, 0.02, 7
@@ -135,12 +135,11 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> tuple[Network, list[str]]:
     rows = labelled.where("text is not null and lang is not null")
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     langs = sorted(counts)
-    place = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1_000_000))
+    place = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(1_000_000_000))
     share = F.lit(0)
     for lang in langs:
-        share = F.when(F.col("lang") == lang, F.lit(max(1, round(1_000_000 * sample / counts[lang])))).otherwise(share)
-    start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))) + 1
-    got = rows.where(place < share).select("doc_id", "lang", F.substring("text", start.cast("int"), F.lit(SAMPLE_CHARS)).alias("t"))
+        share = F.when(F.col("lang") == lang, F.lit(max(1, round(1_000_000_000 * sample / counts[lang])))).otherwise(share)
+    got = rows.where(place < share).select("doc_id", "lang", F.col("text").alias("t"))
     pairs = [(windows_of(r["t"].encode()), langs.index(r["lang"])) for r in got.orderBy("doc_id", "t").collect() if LETTER.search(r["t"])]
     network = Network(max(1, len(langs)))
     if pairs:

@@ -58,3 +58,48 @@ def test_a_text_in_blocks_is_one_text():
     whole = g.label(net, [data])
     parts = g.label(net, [data, b"", b"ab"])
     assert np.allclose(whole[0], parts[0]) and parts[1].sum() == 0
+
+
+def plain_label(net, data):
+    """Mean probabilities over all bytes, byte by byte, straight from the network's equations."""
+    w, n = {k: v.astype(np.float64) for k, v in net.weights.items()}, net.units
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    total = np.zeros(len(w["c"]))
+    for at in range(0, len(data), g.WINDOW):
+        window, states = data[at:at + g.WINDOW], []
+        for d, order in ((0, range(len(window))), (1, reversed(range(len(window))))):
+            h, seen = np.zeros(n), {}
+            for i in order:
+                x, back = w["X"][d][window[i]], h @ w["U"][d]
+                z, r = sigmoid(x[:n] + back[:n]), sigmoid(x[n:2 * n] + back[n:2 * n])
+                h = h + z * (np.tanh(x[2 * n:] + r * back[2 * n:]) - h)
+                seen[i] = h
+            states.append(seen)
+        for i in range(len(window)):
+            score = states[0][i] @ w["O"][0] + states[1][i] @ w["O"][1] + w["c"]
+            p = np.exp(score - score.max())
+            total += p / p.sum()
+    return total / total.sum()
+
+
+def test_labels_match_the_equations(spark, frame):
+    rng, net = random.Random(4), g.Network(4, seed=3)
+    texts = ["".join(rng.choice("abc é日 ") for _ in range(k)) for k in (1, 5, 127, 128, 129, 700)]
+    got = g.label(net, [t.encode() for t in texts])
+    for t, p in zip(texts, got):
+        assert np.allclose(p, plain_label(net, t.encode()), atol=1e-5)
+    model = (net, ["a", "b", "c", "d"])
+    for r in g.predict(frame(list(enumerate(texts))), model).collect():
+        p = plain_label(net, r["text"].encode())
+        if r["lang_pred"] != g.UNKNOWN:
+            assert abs(r["score"] - p.max()) < 1e-5 and r["lang_pred"] == model[1][int(p.argmax())]
+
+
+def test_training_reads_whole_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(g.Network, "train", lambda self, windows, labels: seen.append((windows, labels)))
+    rows = [(i, f"text {i} " * 400, "xx") for i in range(5)] + [(None, "no id " * 300, "yy"), (9, "1 2 3", "yy"), (10, None, "yy")]
+    g.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    (windows, labels), = seen
+    assert (windows != g.PAD).sum() == sum(len(t) for _, t, _ in rows[:6])
+    assert set(labels.tolist()) == {0, 1}
