@@ -86,14 +86,6 @@ def may_link(words: int, percent: int) -> Callable[[Column, Column], Column]:
     return test
 
 
-def _screened(pairs: DataFrame, sketches: DataFrame | None, test: Callable[[Column, Column], Column] | None) -> DataFrame:
-    """The pairs (a, b) that pass ``test``."""
-    if sketches is None:
-        return pairs
-    one, two = (sketches.select(F.col("node").alias(n), F.col("sketch").alias(f"_{n}")) for n in ("a", "b"))
-    return pairs.join(two, "b").join(one, "a").where(test(F.col("_a"), F.col("_b"))).select("a", "b")
-
-
 def _star(rows: DataFrame, heads: DataFrame, near: Callable[[Column, Column], Column]) -> DataFrame:
     """Candidate pairs: each row of a bucket against the bucket's head."""
     one = heads.select("bucket", F.col("head.node").alias("a"), F.col("head.info").alias("i"))
@@ -101,33 +93,37 @@ def _star(rows: DataFrame, heads: DataFrame, near: Callable[[Column, Column], Co
     return one.join(two, "bucket").where((F.col("a") != F.col("b")) & near(F.col("i"), F.col("j"))).select("a", "b").distinct()
 
 
-def _rest(apart: DataFrame, near: Callable[[Column, Column], Column], sketches: DataFrame | None,
-          test: Callable[[Column, Column], Column] | None) -> DataFrame:
-    """Pairs of a bucket in different components that may link: rows outside the main one against all."""
-    held = ["root", "info"]
-    if sketches is not None:
-        apart, held = apart.join(sketches, "node"), [*held, "sketch"]
+def _rest(apart: DataFrame, near: Callable[[Column, Column], Column], sketches: DataFrame, test: Callable[[Column, Column], Column]) -> DataFrame:
+    """Pairs of a bucket in different components that may link: rows outside the main one against all.
+
+    A pair that shares several buckets leaves the join in the first of them only, if both
+    sketches name their buckets, and as often as it meets otherwise.
+    """
+    held = ["root", "info", "sketch"]
+    apart = apart.join(sketches, "node")
     side = lambda n, end: ["bucket", F.col("node").alias(n), *[F.col(c).alias(f"{c}{end}") for c in held]]
     one = apart.where("root <> main").select(*side("a", 1))
     two = apart.select(*side("b", 2), (F.col("root") != F.col("main")).alias("also"))
     new = (F.col("root1") != F.col("root2")) & (~F.col("also") | (F.col("a") < F.col("b"))) & near(F.col("info1"), F.col("info2"))
-    if sketches is not None:
-        new = new & test(F.col("sketch1"), F.col("sketch2"))
-    return one.join(two, "bucket").where(new).select("a", "b").distinct()
+    first = F.get(F.array_intersect(F.col("sketch1.buckets"), F.col("sketch2.buckets")), 0) == F.col("bucket")
+    first = first | F.col("sketch1.buckets").isNull() | F.col("sketch2.buckets").isNull()
+    return one.join(two, "bucket").where(new & test(F.col("sketch1"), F.col("sketch2")) & first).select("a", "b").distinct()
 
 
-def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, Column], Column],
-            check: Callable[[DataFrame], DataFrame], viable: Column | None = None, *bounds: Column,
-            sketches: DataFrame | None = None, test: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, Column], Column], sketches: DataFrame,
+            test: Callable[[Column, Column], Column], check: Callable[[DataFrame], DataFrame],
+            check_star: Callable[[DataFrame], DataFrame] | None = None, viable: Column | None = None, *bounds: Column) -> DataFrame:
     """Components, as of ``components``, of the links between all pairs sharing a bucket for which ``check`` holds.
 
     ``index``: bucket, node, info, rank, for buckets of two nodes or more, stored;
     the row of least rank, the likeliest to link with many, heads its bucket.
     ``viable``: whether a row may link with any row of its bucket, given
     ``bounds``, aggregates of the bucket's infos.
-    ``near`` is a cheap necessary test of two infos, ``test`` (``may_link``) one of two ``sketches``
-    (node, sketch; stored), made before a pair leaves the join; ``check`` keeps the true
-    links of stored candidate pairs.  ``links``: pairs known to link.  No pair in
+    ``near`` is a cheap necessary test of two infos, ``test`` (``may_link``) one of two
+    ``sketches`` (node, sketch with n, bits, slack and its ``buckets`` in an order that all
+    nodes follow, or null; stored), made before a pair leaves the join; ``check`` keeps the true
+    links of stored candidate pairs.  ``check_star`` may find fewer in the stars, whose
+    rows are then compared again.  ``links``: pairs known to link.  No pair in
     different components is left unchecked; only pairs already connected are.
     Between stars one contraction of the links (``labels``) tells most of those.
     """
@@ -138,20 +134,23 @@ def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, C
     heads = index.groupBy("bucket").agg(F.min(F.struct("rank", "node", "info")).alias("head"))
     nodes = index.select("node").distinct()
 
-    def add(pairs: DataFrame) -> DataFrame:
-        found = check(stored(pairs, "pairs"))
+    def add(pairs: DataFrame, checked: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        found = checked(stored(pairs, "pairs"))
         return stored(found if links is None else links.unionByName(found), "links")
 
     for _ in range(MOST_STARS):
-        links = add(_screened(_star(rows, heads, near), sketches, test))
+        links = add(_star(rows, heads, near), check_star or check)
         done = heads.select("bucket", F.col("head.node").alias("node"))
         tried = stored(done if tried is None else tried.unionByName(done), "tried")
         place = nodes.join(labels(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-        rows = index.join(tried, ["bucket", "node"], "left_anti").join(place, "node")
+        left = index if check_star else index.join(tried, ["bucket", "node"], "left_anti")
+        rows = left.join(place, "node")
         spread = rows.groupBy("bucket").agg(F.min("root").alias("main"), F.max("root").alias("other"), F.count("*").alias("c"))
         rows = stored(rows.join(spread.where("main <> other"), "bucket"), "apart")
-        heads = rows.where("root <> main").groupBy("bucket").agg(F.min(F.struct("rank", "node", "info")).alias("head"))
-        cost = rows.where("root <> main").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+        outside = rows.where("root <> main")
+        cost = outside.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
         if cost <= REST_FACTOR * size:
             break
-    return components(add(_rest(rows, near, sketches, test)) if cost else links)
+        outside = outside.join(tried, ["bucket", "node"], "left_anti") if check_star else outside
+        heads = outside.groupBy("bucket").agg(F.min(F.struct("rank", "node", "info")).alias("head"))
+    return components(add(_rest(rows, near, sketches, test), check) if cost else links)

@@ -46,6 +46,8 @@ from strata.llm.components import connect, may_link, parities
 COUNTERS, BLOCK, FIRST_SUMS = 1 << 20, 1 << 12, 64
 #: Longs of a set's parities (``components.parities``).
 PARITY_WORDS = 8
+#: Prefixes up to this length are carried along, so that their pairs leave the join once; others are made distinct later.
+NAMED = 128
 #: Bits of the table of ids whose sets are fetched (a hint: false positives are fetched in vain).
 FETCH_BITS = 1 << 24
 #: Rows that a task works on at once.
@@ -258,8 +260,9 @@ def link_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
     heads = found.where("node is not null").select(F.col("node").alias("grp"), F.col("n_shingles").cast("int").alias("n"), "prefix")
     heads = heads.join(members.where("node = grp").select("grp"), "grp").groupBy("grp").agg(
         F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    heads = stored(heads, "heads")
     tokens = heads.select("grp", "n", F.posexplode("prefix").alias("pos", "token"))
-    return _resolve(found, members, tokens, sets, known, percent)
+    return _resolve(found, members, heads, tokens, sets, known, percent)
 
 
 def _near(percent: int, one: Column, two: Column) -> Column:
@@ -274,7 +277,7 @@ def _near(percent: int, one: Column, two: Column) -> Column:
     return alike & (most * (100 + percent) >= (one["n"] + two["n"]) * percent)
 
 
-def _resolve(found: DataFrame, members: DataFrame, tokens: DataFrame, sets: Sets, known: DataFrame, percent: int) -> DataFrame:
+def _resolve(found: DataFrame, members: DataFrame, heads: DataFrame, tokens: DataFrame, sets: Sets, known: DataFrame, percent: int) -> DataFrame:
     shared = tokens.groupBy("token").agg(F.min("grp").alias("least"), F.max("grp").alias("most")).where("least <> most")
     order = Window.partitionBy("grp").orderBy("pos")  # at most a prefix long
     indexed = tokens.join(shared, "token").withColumn("q", F.row_number().over(order) - 1)
@@ -284,24 +287,29 @@ def _resolve(found: DataFrame, members: DataFrame, tokens: DataFrame, sets: Sets
     # a group's members differ from its head by as much as a link allows, and no group of one does
     slack = F.when(F.count(F.lit(1)) > 1, F.floor(2 * F.first("n") * (100 - percent) / (100 + percent)).cast("int")).otherwise(0)
     many = members.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), slack.alias("slack"))
-    sketches = stored(members.where("node = grp").join(many, "grp").select(
-        "node", F.struct("n", "bits", "slack").alias("sketch"), "members"), "sketches")
+    # a longer prefix would be carried by each of its many rows
+    named = F.when(F.size("prefix") <= NAMED, F.col("prefix")).alias("buckets")
+    sketches = stored(members.where("node = grp").join(many, "grp").join(heads.select("grp", named), "grp").select(
+        "node", F.struct("n", "bits", "slack", "buckets").alias("sketch"), "members"), "sketches")
     large = sketches.where("members > 1").select("node")
 
+    def of_heads(pairs: DataFrame) -> DataFrame:
+        return verify(pairs, sets.of(pairs), percent)
+
     def check(pairs: DataFrame) -> DataFrame:
         """Links of heads; only where the heads of two groups do not link are their members compared."""
-        direct = stored(verify(pairs, sets.of(pairs), percent), "links")
+        direct = stored(of_heads(pairs), "links")
         apart = pairs.join(direct, ["a", "b"], "left_anti")
         of_large = [apart.join(large.withColumnRenamed("node", c), c, "left_semi") for c in ("a", "b")]
         members_pairs = stored(_expand(of_large[0].unionByName(of_large[1]).distinct(), members, percent), "members")
-        return direct.unionByName(verify(members_pairs, sets.of(members_pairs), percent))
+        return direct.unionByName(of_heads(members_pairs))
 
     info, n1 = F.col("info"), F.col("info.n")
     most = F.least(info["q"], F.col("most_q")) + 1 + F.least(n1 - 1 - info["p"], F.col("most_n") - 1 - F.col("least_p"))
     viable = most * (100 + percent) >= (n1 + F.col("least_n")) * percent
-    roots = connect(index, known, partial(_near, percent), check, viable, F.max("info.q").alias("most_q"),
-                    F.min("info.p").alias("least_p"), F.min("info.n").alias("least_n"), F.max("info.n").alias("most_n"),
-                    sketches=sketches.select("node", "sketch"), test=may_link(PARITY_WORDS, percent))
+    roots = connect(index, known, partial(_near, percent), sketches.select("node", "sketch"), may_link(PARITY_WORDS, percent), check, of_heads,
+                    viable, F.max("info.q").alias("most_q"), F.min("info.p").alias("least_p"), F.min("info.n").alias("least_n"),
+                    F.max("info.n").alias("most_n"))
 
     named = members.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
