@@ -28,12 +28,12 @@ PATTERNS = {
     "aggregates": r"(?:Hash|ObjectHash|Sort)Aggregate",
     "scans": r"FileScan parquet|Scan ExistingRDD|LocalTableScan",
 }
-BAD = r"PythonUDF|BatchEvalPython|ArrowEvalPython|CartesianProduct|BroadcastNestedLoopJoin"
+BAD = r"PythonUDF|BatchEvalPython|ArrowEvalPython|MapInArrow|CartesianProduct|BroadcastNestedLoopJoin"
 
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as entry
+    from strata import registry
     from strata.session import get_session
 
     spark = get_session(master="local[*]", shuffle_partitions=8)
@@ -43,7 +43,7 @@ def main(argv):
     print("hash partitioning (see README, *Designed for scale*).\n")
     print("| key | " + " | ".join(PATTERNS) + " | Python/cartesian |")
     print("|---|" + "---|" * (len(PATTERNS) + 1))
-    for key, fn in entry.queries().items():
+    for key, fn in registry.queries().items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         cells = [str(len(re.findall(p, plan))) for p in PATTERNS.values()]
         bad = "yes" if re.search(BAD, plan) else "no"
