@@ -12,7 +12,7 @@ written independently.  Readers map the files into memory where the folder is
 mounted, and read them as a stream from any other store.
 
 Defined cases: a null text is an empty document (its end id alone); null doc_ids
-come first; documents with equal ids stay apart, in the order of their texts;
+come first; documents with equal ids stay apart, in the order of their texts' hashes;
 an empty table gives a corpus without documents; other columns are not written.
 A task writes under a name of its own and renames, so that a repeated task
 replaces its shard by the same bytes.
@@ -91,9 +91,11 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, partitions: i
         yield pa.RecordBatch.from_pydict({"shard": pa.array([n], pa.int32()), "n_docs": pa.array([n_docs], pa.int64()),
                                           "n_tokens": pa.array([at], pa.int64())})
 
-    order = [F.col("_id").asc_nulls_first(), F.col("_text")]
-    ranged = (docs.select(F.col(doc_id).cast("long").alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
-              .repartitionByRange(partitions, F.col("_id").asc_nulls_first()).sortWithinPartitions(*order))
+    # rows of one id, or of none, may be many: their texts' hashes deal them to several ranges
+    order = [F.col("_id").asc_nulls_first(), F.col("_hash")]
+    own = docs.select(F.col(doc_id).cast("long").alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
+    ranged = own.select("_id", F.xxhash64("_text").alias("_hash"), "_text").repartitionByRange(partitions, *order).sortWithinPartitions(
+        *order, "_text").select("_id", "_text")
     shards = ranged.mapInArrow(write_shard, "shard int, n_docs long, n_tokens long").collect()
     rows, base = [], 0
     for r in sorted(shards, key=lambda r: r["shard"]):

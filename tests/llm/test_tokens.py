@@ -41,6 +41,17 @@ def test_binary_files_round_trip(spark, frame, rows, tmp_path):
     assert binary_tokens.read(spark, path + "0", empty).count() == 0
 
 
+def test_rows_without_an_id_are_spread_over_shards(spark, frame, tmp_path):
+    data = [(None, f"text number {i}") for i in range(300)] + [(7, f"of one id {i}") for i in range(300)] + [(9, "last")]
+    path = str(tmp_path / "corpus")
+    shards = binary_tokens.write(frame(data), path, PATH, end_id=2, partitions=6)
+    assert max(r["n_docs"] for r in shards.collect()) < 200
+    got = binary_tokens.read(spark, path, shards).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None] * 300 + [7] * 300 + [9]
+    want = {zlib.crc32(np.append(ids, 2).astype("<u4").tobytes()) for ids in whole([t for _, t in data])}
+    assert {r["ids_crc32"] for r in got} == want
+
+
 def best_fit(lengths, capacity):
     rooms, n = [], 0
     for x in sorted(lengths, reverse=True):
