@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import stored
 
-#: Stars are repeated, so often at most, while the rest would meet more pairs than this times the index rows.
-REST_FACTOR, MOST_STARS = 4, 4
+#: Stars are repeated, so often at most, while the rest would meet more pairs than this times the index rows
+#: and the last star left fewer than this share of the rows apart.  What they leave is compared all the same.
+REST_FACTOR, MOST_STARS, SETTLED = 4, 4, 0.8
 
 
 def _toward_least(edges: DataFrame) -> DataFrame:
@@ -131,6 +132,7 @@ def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, C
         limits = index.groupBy("bucket").agg(*bounds)
         index = stored(index.join(limits, "bucket").where(viable).select("bucket", "node", "info", "rank"), "viable")
     rows, tried, size = index, None, index.count()
+    before = size
     heads = index.groupBy("bucket").agg(F.min(F.struct("rank", "node", "info")).alias("head"))
     nodes = index.select("node").distinct()
 
@@ -148,9 +150,10 @@ def connect(index: DataFrame, links: DataFrame | None, near: Callable[[Column, C
         spread = rows.groupBy("bucket").agg(F.min("root").alias("main"), F.max("root").alias("other"), F.count("*").alias("c"))
         rows = stored(rows.join(spread.where("main <> other"), "bucket"), "apart")
         outside = rows.where("root <> main")
-        cost = outside.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-        if cost <= REST_FACTOR * size:
+        cost, count = outside.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0], rows.count()
+        if cost <= REST_FACTOR * size or count > SETTLED * before:
             break
+        before = count
         outside = outside.join(tried, ["bucket", "node"], "left_anti") if check_star else outside
         heads = outside.groupBy("bucket").agg(F.min(F.struct("rank", "node", "info")).alias("head"))
     return components(add(_rest(rows, near, sketches, test), check) if cost else links)
