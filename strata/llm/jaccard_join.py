@@ -45,9 +45,9 @@ from strata.llm.components import connect, may_link, parities
 #: Counters of the shingle order (4 MB), in blocks that are summed apart, by that many first sums.
 COUNTERS, BLOCK, FIRST_SUMS = 1 << 20, 1 << 12, 64
 #: Longs of a set's parities (``components.parities``).
-PARITY_WORDS = 8
+PARITY_WORDS = 4
 #: Prefixes up to this length are carried along, so that their pairs leave the join once; others are made distinct later.
-NAMED = 128
+NAMED = 24
 #: Bits of the table of ids whose sets are fetched (a hint: false positives are fetched in vain).
 FETCH_BITS = 1 << 24
 #: Rows that a task works on at once.
