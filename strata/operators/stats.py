@@ -54,16 +54,19 @@ def numeric_projection(df: DataFrame, include_decimal: bool = False) -> DataFram
     return df.select(*[F.col(c).cast("double").alias(c) for c in numeric_columns(df, include_decimal)])
 
 
-def _pearson(x: Column, y: Column, nulls: str) -> Column:
-    """Pearson r as one aggregate expression; zero variance gives NULL (not an error)."""
+def _pair(x: Column, y: Column, nulls: str) -> tuple[Column, Column]:
+    """Two columns as doubles, by the policy for NULLs."""
     x, y = x.cast("double"), y.cast("double")
     if nulls == "zero":
-        x, y = F.coalesce(x, F.lit(0.0)), F.coalesce(y, F.lit(0.0))
-    elif nulls == "pairwise":
+        return F.coalesce(x, F.lit(0.0)), F.coalesce(y, F.lit(0.0))
+    if nulls == "pairwise":
         both = x.isNotNull() & y.isNotNull()
-        x, y = F.when(both, x), F.when(both, y)
-    else:
-        raise ValueError("nulls must be 'zero' or 'pairwise'")
+        return F.when(both, x), F.when(both, y)
+    raise ValueError("nulls must be 'zero' or 'pairwise'")
+
+
+def _pearson(x: Column, y: Column) -> Column:
+    """Pearson r of a ``_pair`` as one aggregate expression; zero variance gives NULL (not an error)."""
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
@@ -73,31 +76,32 @@ def corr(df: DataFrame, a: str, b: str, nulls: str = "zero", digits: int | None
     ``nulls="zero"`` treats NULL as 0 (the reference's ``DataFrame.stat.corr``);
     ``"pairwise"`` uses the rows where both are present.
     """
-    r = _pearson(F.col(a), F.col(b), nulls)
+    r = _pearson(*_pair(F.col(a), F.col(b), nulls))
     return df.agg((F.round(r, digits) if digits is not None else r).alias("r"))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], nulls: str = "zero", digits: int | None = None) -> DataFrame:
     """Rows (x, y, r) for all ordered pairs of ``cols``, from a single aggregation.
 
-    k columns cost k(k+1)/2 aggregate buffers in one pass; beyond some tens of
+    Each row is laid out as its k(k+1)/2 pairs, which are aggregated by pair: one small
+    aggregate whatever k is.  All pairs side by side would be one of some hundred
+    buffers, whose generated code is too large to be compiled.  Beyond some tens of
     columns ``gram.corr_matrix`` is the tool.
     """
     cols = list(cols)
     if not cols:
         return df.sparkSession.createDataFrame([], "x string, y string, r double")
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            name = f"__r_{len(aggs)}"
-            r = _pearson(F.col(a), F.col(b), nulls)
-            aggs.append((F.round(r, digits) if digits is not None else r).alias(name))
-            pairs.append((a, b, name))
-            if a != b:
-                pairs.append((b, a, name))
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{x}', '{y}', `{n}`" for x, y, n in pairs)
-    return wide.selectExpr(f"stack({len(pairs)}, {stack}) AS (x, y, r)")
+    places = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    laid = F.array(*[F.struct(F.lit(p).alias("p"), *[v.alias(n) for n, v in zip("xy", _pair(F.col(cols[i]), F.col(cols[j]), nulls))])
+                     for p, (i, j) in enumerate(places)])
+    each = df.select(F.explode(laid).alias("s")).select("s.*")
+    # every pair has a row, also without rows; NULLs count for nothing
+    none = df.sparkSession.range(len(places)).select(F.col("id").cast("int").alias("p"), *[F.lit(None).cast("double").alias(n) for n in "xy"])
+    r = _pearson(F.col("x"), F.col("y"))
+    found = each.unionByName(none).groupBy("p").agg((F.round(r, digits) if digits is not None else r).alias("r"))
+    both = F.array(*[F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y")) for a, b in dict.fromkeys(((cols[i], cols[j]), (cols[j], cols[i])))])
+                     for i, j in places])
+    return found.select(F.explode(F.get(both, F.col("p"))).alias("n"), "r").select("n.x", "n.y", "r")
 
 
 def _inside(rows: DataFrame, brackets: list[tuple]) -> DataFrame:
@@ -110,45 +114,51 @@ def _inside(rows: DataFrame, brackets: list[tuple]) -> DataFrame:
 
 
 def _order_statistics(rows: DataFrame, ranks: list[tuple[str | None, int]]) -> dict[tuple[str | None, int], float]:
-    """The value of each (group, rank from 0) in ``rows`` (g string, v double, no NULLs)."""
+    """The value of each (group, rank from 0) in ``rows`` (g string, v double, no NULLs).
+
+    Ranks that lie in one bracket share it, so the brackets never overlap: a row is in one at most.
+    """
     out: dict[tuple[str | None, int], float] = {}
     # of each rank: bracket, and how many values of its group lie below it
     state = {r: (float("-inf"), float("inf"), 0) for r in ranks}
     while state:
-        todo = list(state)
-        held = _inside(rows, [(i, r[0], state[r][0], state[r][1]) for i, r in enumerate(todo)])
+        shared: dict[tuple, list] = {}  # (group, low, high, below): its ranks
+        for r, bracket in state.items():
+            shared.setdefault((r[0], *bracket), []).append(r)
+        todo = list(shared)
+        held = _inside(rows, [(i, *b[:3]) for i, b in enumerate(todo)])
         seen = held.groupBy("i").agg(F.count("*").alias("n"), F.approx_count_distinct("v").alias("d"),
                                      F.percentile_approx("v", [k / CUTS for k in range(CUTS + 1)], 50 * CUTS).alias("cuts"))
         few, many = [], {}
         for x in seen.collect():
             few.append(x["i"]) if x["d"] <= BRACKET_VALUES or len(set(x["cuts"])) <= 2 else many.update({x["i"]: x["cuts"]})
         if few:
-            small = _inside(rows, [(i, todo[i][0], *state[todo[i]][:2]) for i in few]).groupBy("i", "v").count()
+            small = _inside(rows, [(i, *todo[i][:3]) for i in few]).groupBy("i", "v").count()
             values: dict[int, list] = {}
             for x in small.collect():
                 values.setdefault(x["i"], []).append((x["v"], x["count"]))
             for i, found in values.items():
-                below = state[todo[i]][2]
+                below, wanted = todo[i][3], sorted(shared[todo[i]], key=lambda r: r[1])
                 for v, n in sorted(found):
                     below += n
-                    if below > todo[i][1]:
-                        out[todo[i]] = v
-                        break
-                del state[todo[i]]
+                    while wanted and below > wanted[0][1]:
+                        out[wanted[0]] = v
+                        del state[wanted.pop(0)]
         if many:
-            # exact counts up to each cut say between which two the rank lies
-            cut = [(i, todo[i][0], float("-inf"), float("inf")) for i in many]
+            # exact counts up to each cut say between which two a rank lies
             spots = F.create_map(*[x for i, c in many.items() for x in (F.lit(i), F.array(*map(F.lit, sorted(set(c)))))])
-            counts = _inside(rows, cut).withColumn("cuts", spots[F.col("i")]).withColumn(
+            counts = _inside(rows, [(i, *todo[i][:3]) for i in many]).withColumn("cuts", spots[F.col("i")]).withColumn(
                 "k", F.size(F.filter("cuts", lambda c: c < F.col("v")))).groupBy("i", "k").count().collect()
             for i, c in many.items():
-                edges, at, rank = sorted(set(c)), 0, todo[i][1]
+                _, low, high, at = todo[i]
+                edges, wanted = sorted(set(c)), sorted(shared[todo[i]], key=lambda r: r[1])
                 for k, n in sorted((x["k"], x["count"]) for x in counts if x["i"] == i):
-                    if at + n > rank:  # values over edges[k - 1] up to edges[k]
-                        low = math.nextafter(edges[k - 1], math.inf) if k else float("-inf")
-                        state[todo[i]] = (low, edges[k] if k < len(edges) else float("inf"), at)
-                        break
+                    # values over edges[k - 1] up to edges[k]
+                    part = (max(low, math.nextafter(edges[k - 1], math.inf)) if k else low,
+                            min(high, edges[k]) if k < len(edges) else high, at)
                     at += n
+                    while wanted and at > wanted[0][1]:
+                        state[wanted.pop(0)] = part
     return out
 
 
