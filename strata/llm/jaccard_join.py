@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import discard, stored
 from strata.llm.components import connect, may_link, parities
 
 #: Counters of the shingle order (4 MB), in blocks that are summed apart, by that many first sums.
@@ -213,6 +213,7 @@ class Sets:
 
     def __init__(self, docs: DataFrame, members: DataFrame, n: int):
         self.docs, self.members, self.n, self.have = docs, members.select("node", F.col("least").alias("doc_id")), n, None
+        self.kept: list[DataFrame] = []
 
     def of(self, pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -223,6 +224,7 @@ class Sets:
             bits = self.docs.sparkSession.sparkContext.broadcast(_bitmap(new))
             got = sets_of(self.docs, self.n, bits).join(new.select("node"), "node", "left_semi").dropDuplicates(["node"])
             got = stored(got, "sets")
+            self.kept.append(got)
             self.have = got if self.have is None else self.have.unionByName(got)
         return self.have
 
@@ -310,6 +312,7 @@ def _resolve(found: DataFrame, members: DataFrame, heads: DataFrame, tokens: Dat
     roots = connect(index, known, partial(_near, percent), sketches.select("node", "sketch"), may_link(PARITY_WORDS, percent), check, of_heads,
                     viable, F.max("info.q").alias("most_q"), F.min("info.p").alias("least_p"), F.min("info.n").alias("least_n"),
                     F.max("info.n").alias("most_n"))
+    discard(index, sketches, heads, *sets.kept)
 
     named = members.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -59,6 +59,20 @@ def test_prefix_join_matches_all_pairs(frame, rows):
     assert jaccard_join.link(frame([])).count() == 0
 
 
+def test_tables_are_deleted_once_nothing_reads_them(spark, frame, rows):
+    from pathlib import Path
+
+    from strata.session import shared_dir
+
+    folder = Path(shared_dir(spark, "llm").removeprefix("file:"))
+    read = {"signatures", "index", "texts", "sketches", "heads", "sets"}
+    for run in (line_dedup.classes, jaccard_join.link):
+        before = set(folder.glob("*-*"))
+        assert run(frame(rows)).count() >= len(rows)
+        left = {p.name.split("-")[0] for p in set(folder.glob("*-*")) - before}
+        assert left and not left & read
+
+
 def test_links_within_a_prefix_group(frame):
     """Three sets of equal size and prefix: the head is unlike the two others, which link."""
     words = lambda name, k: [f"{name}{i}" for i in range(k)]
