@@ -69,6 +69,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, partitions: i
         n, encode = TaskContext.get().partitionId(), encoder(tokenizer, by_chunk).encode
         store, root = _store(path)
         store.create_dir(root, recursive=True)
+        end = np.array([end_id]).astype(ids_type).tobytes()
         names = {kind: f"{_shard(root, n, kind)}.{uuid.uuid4().hex}" for kind in ("ids", "off", "doc")}
         out = {kind: store.open_output_stream(name) for kind, name in names.items()}
         at = n_docs = 0
@@ -79,7 +80,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, partitions: i
                 found = np.frombuffer(encode(value.as_py() or ""), dtype="<u4")
                 if found.size and found.max() > most:
                     raise ValueError(f"ids above {most} need a wider type than {dtype}")
-                out["ids"].write(np.append(found, end_id).astype(ids_type).tobytes())
+                out["ids"].write(found.astype(ids_type).tobytes() + end)
                 at += found.size + 1
                 ends.append(at)
             out["off"].write(np.asarray(ends, OFFSET).tobytes())

@@ -42,7 +42,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_chunk = by_chunk
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)")
         self.letters = byte_letters()
         self.tokenize = self.tokenizer.model.tokenize
         self.young: dict[str, bytes] = {"": b""}
@@ -54,10 +55,20 @@ class Encoder:
     def chunk(self, chunk: str) -> bytes:
         if chunk.isascii() and chunk.isalpha():
             return array("I", [t.id for t in self.tokenize(chunk.lower())]).tobytes()
-        if not PLAIN.fullmatch(chunk) or any(s in chunk for s in self.special):
+        if not PLAIN.fullmatch(chunk) or self.special.search(chunk):
             return self.library(chunk)
         pieces = PIECES.findall(chunk.lower())
-        return array("I", [t.id for p in pieces for t in self.tokenize(p.translate(self.letters))]).tobytes()
+        return b"".join([self.young.get(p) or self.piece(p) for p in pieces])
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of one piece, which are those of a chunk that consists of it."""
+        ids = self.old.get(piece)
+        if ids is None:
+            shown = piece if piece.isascii() else piece.translate(self.letters)
+            ids = array("I", [t.id for t in self.tokenize(shown)]).tobytes()
+        if len(piece) <= CACHE_CHARS:
+            self.young[piece] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
         if not self.by_chunk:
