@@ -46,7 +46,7 @@ from strata.llm.components import connect, may_link, parities
 COUNTERS, BLOCK, FIRST_SUMS = 1 << 20, 1 << 12, 64
 #: Longs of a set's parities (``components.parities``).
 PARITY_WORDS = 4
-#: Prefixes up to this length are carried along, so that their pairs leave the join once; others are made distinct later.
+#: So many first shingles of a prefix are carried along: pairs that share one of them leave the join once.
 NAMED = 24
 #: Bits of the table of ids whose sets are fetched (a hint: false positives are fetched in vain).
 FETCH_BITS = 1 << 24
@@ -289,8 +289,8 @@ def _resolve(found: DataFrame, members: DataFrame, heads: DataFrame, tokens: Dat
     # a group's members differ from its head by as much as a link allows, and no group of one does
     slack = F.when(F.count(F.lit(1)) > 1, F.floor(2 * F.first("n") * (100 - percent) / (100 + percent)).cast("int")).otherwise(0)
     many = members.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), slack.alias("slack"))
-    # a longer prefix would be carried by each of its many rows
-    named = F.when(F.size("prefix") <= NAMED, F.col("prefix")).alias("buckets")
+    # a whole long prefix would be carried by each of its many rows
+    named = F.slice("prefix", 1, NAMED).alias("buckets")
     sketches = stored(members.where("node = grp").join(many, "grp").join(heads.select("grp", named), "grp").select(
         "node", F.struct("n", "bits", "slack", "buckets").alias("sketch"), "members"), "sketches")
     large = sketches.where("members > 1").select("node")

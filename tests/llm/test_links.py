@@ -196,3 +196,38 @@ def test_groups_whose_heads_are_unlike_still_link_by_members(frame):
     got = {r["doc_id"]: r["component_id"] for r in jaccard_join.link(frame(data)).collect()}
     assert got == united(sets, sets, 85)
     assert got[13] == 0 and 100 * len(sets[0] & sets[13]) < 85 * len(sets[0] | sets[13])
+
+
+def test_lines_are_compared_by_sql_alone(spark, frame, rows):
+    from pyspark.sql import functions as F
+
+    each = line_dedup.lines(frame(rows))
+    signed = line_dedup.signatures(each)
+    texts = each.where("node is not null").select("node", F.lower("line").alias("text")).dropDuplicates(["node"])
+    ends = texts.agg(F.min("node").alias("a"), F.max("node").alias("b"))
+    for df in (signed, line_dedup.sketches_of(signed, texts), line_dedup.verify(ends, texts)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not [n for n in ("MapInArrow", "Python", "Pandas") if n in plan]
+
+
+def test_a_long_line_has_each_shingle_once(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    texts = ["a", "abcd", "abcde", "🙂é" * 40] + ["".join(rng.choice("abé🙂 ") for _ in range(n)) for n in (63, 64, 65, 66, 67, 68, 69, 128, 132, 133, 1000)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.size(line_dedup.shingle_set(F.col("t"))).alias("n")).collect()
+    assert {r["t"]: r["n"] for r in got} == {t: len({t[i:i + 5] for i in range(max(1, len(t) - 4))}) for t in texts}
+
+
+def test_pairs_of_long_prefixes_leave_the_bucket_join_once(spark):
+    """Two sketches that name the first of their buckets only: one pair, however many buckets they share."""
+    from pyspark.sql import functions as F
+
+    from strata.llm.components import _rest
+
+    apart = spark.createDataFrame([(b, n, 1, n, 9) for b in range(40) for n in (1, 2)] + [(b, 3, 1, 3, 9) for b in range(30, 40)],
+                                  "bucket long, node long, info int, root long, main long")
+    sketches = spark.createDataFrame([(1, {"buckets": list(range(24))}), (2, {"buckets": list(range(24))}), (3, {"buckets": list(range(50, 60))})],
+                                     "node long, sketch struct<buckets:array<long>>")
+    pairs = _rest(apart, lambda one, two: F.lit(True), sketches, lambda one, two: F.lit(True))
+    assert sorted(map(tuple, pairs.collect())) == [(1, 2), (1, 3), (2, 3)]
