@@ -36,16 +36,14 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import discard, stored
-from strata.llm.components import connect, may_link, parities
+from strata.llm.components import WIDTHS, connect, may_link, parities, words_of
 
 #: Counters of the shingle order (4 MB), in blocks that are summed apart, by that many first sums.
 COUNTERS, BLOCK, FIRST_SUMS = 1 << 20, 1 << 12, 64
-#: Longs of a set's parities (``components.parities``).
-PARITY_WORDS = 4
 #: So many first shingles of a prefix are carried along: pairs that share one of them leave the join once.
 NAMED = 24
 #: Bits of the table of ids whose sets are fetched (a hint: false positives are fetched in vain).
@@ -150,7 +148,7 @@ def prefixes(docs: DataFrame, n: int, percent: int, counters) -> DataFrame:
                 keys.append(int.from_bytes(hashlib.blake2b(
                     len(own).to_bytes(8, "little") + first.tobytes(), digest_size=8).digest(), "little", signed=True))
                 firsts.append(first)
-                bits.append(parities(own, PARITY_WORDS))
+                bits.append(parities(own, words_of(len(own))))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "row": batch.column(2), "n_shingles": pa.array(sizes, pa.int64()), "node": pa.array(nodes, pa.int64()),
                 "key": pa.array(keys, pa.int64()), "prefix": pa.array(firsts, pa.list_(pa.int64())), "bits": pa.array(bits, pa.list_(pa.int64()))})
@@ -231,7 +229,7 @@ class Sets:
 
 def _expand(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of groups as those pairs of their members' nodes that may link."""
-    test = may_link(PARITY_WORDS, percent)
+    test = may_link(WIDTHS[0][1], percent)
     one, two = (members.select(F.col("grp").alias(g), F.col("node").alias(f"_{g}"),
                                F.struct("n", "bits", F.lit(0).alias("slack")).alias(f"s_{g}")) for g in ("a", "b"))
     return pairs.join(one, "a").join(two, "b").where(test(F.col("s_a"), F.col("s_b"))).select(
@@ -263,28 +261,37 @@ def link_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
     heads = heads.join(members.where("node = grp").select("grp"), "grp").groupBy("grp").agg(
         F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     heads = stored(heads, "heads")
+    rows = stored(found.select("doc_id", "row", "n_shingles", "node"), "rows")
+    discard(found, own)
     tokens = heads.select("grp", "n", F.posexplode("prefix").alias("pos", "token"))
-    return _resolve(found, members, heads, tokens, sets, known, percent)
+    return _resolve(rows, members, heads, tokens, sets, known, percent)
 
 
 def _near(percent: int, one: Column, two: Column) -> Column:
-    """Size and position filters of two rows (n shingles, position p, q) of a prefix shingle.
+    """Size and position filters of two rows (n shingles, position p) of the first shingle that two prefixes share.
 
-    Before it the sets share at most the smaller number of indexed shingles
-    (q: a shingle that no other prefix has cannot be among them), after it at
-    most the smaller number of shingles left.
+    The prefixes follow one order, so two sets share nothing before that shingle and
+    at most the smaller number of shingles left after it.  A pair that fails here in
+    a later common shingle has met this test in the first.
     """
-    most = F.least(one["q"], two["q"]) + 1 + F.least(one["n"] - 1 - one["p"], two["n"] - 1 - two["p"])
+    most = 1 + F.least(one["n"] - 1 - one["p"], two["n"] - 1 - two["p"])
     alike = F.least(one["n"], two["n"]) * 100 >= F.greatest(one["n"], two["n"]) * percent
     return alike & (most * (100 + percent) >= (one["n"] + two["n"]) * percent)
 
 
+def _index(tokens: DataFrame, percent: int) -> DataFrame:
+    """bucket, node, info, rank (``connect``) of the prefix shingles of two groups or more, by bounds on what a bucket holds (``_near``)."""
+    limits = tokens.groupBy("token").agg(
+        F.min("grp").alias("least"), F.max("grp").alias("most"), F.min("pos").alias("least_p"),
+        F.min("n").alias("least_n"), F.max("n").alias("most_n")).where("least <> most").drop("least", "most")
+    most = 1 + F.least(F.col("n") - 1 - F.col("pos"), F.col("most_n") - 1 - F.col("least_p"))
+    viable = most * (100 + percent) >= (F.col("n") + F.col("least_n")) * percent
+    return tokens.join(limits, "token").where(viable).select(
+        F.col("token").alias("bucket"), F.col("grp").alias("node"), F.struct("n", F.col("pos").alias("p")).alias("info"), F.col("pos").alias("rank"))
+
+
 def _resolve(found: DataFrame, members: DataFrame, heads: DataFrame, tokens: DataFrame, sets: Sets, known: DataFrame, percent: int) -> DataFrame:
-    shared = tokens.groupBy("token").agg(F.min("grp").alias("least"), F.max("grp").alias("most")).where("least <> most")
-    order = Window.partitionBy("grp").orderBy("pos")  # at most a prefix long
-    indexed = tokens.join(shared, "token").withColumn("q", F.row_number().over(order) - 1)
-    index = stored(indexed.select(F.col("token").alias("bucket"), F.col("grp").alias("node"),
-                                  F.struct("n", F.col("pos").alias("p"), "q").alias("info"), F.col("pos").alias("rank")), "index")
+    index = stored(_index(tokens, percent), "index")
 
     # a group's members differ from its head by as much as a link allows, and no group of one does
     slack = F.when(F.count(F.lit(1)) > 1, F.floor(2 * F.first("n") * (100 - percent) / (100 + percent)).cast("int")).otherwise(0)
@@ -293,6 +300,7 @@ def _resolve(found: DataFrame, members: DataFrame, heads: DataFrame, tokens: Dat
     named = F.slice("prefix", 1, NAMED).alias("buckets")
     sketches = stored(members.where("node = grp").join(many, "grp").join(heads.select("grp", named), "grp").select(
         "node", F.struct("n", "bits", "slack", "buckets").alias("sketch"), "members"), "sketches")
+    discard(heads)  # the prefixes are the largest table but the sets
     large = sketches.where("members > 1").select("node")
 
     def of_heads(pairs: DataFrame) -> DataFrame:
@@ -306,13 +314,8 @@ def _resolve(found: DataFrame, members: DataFrame, heads: DataFrame, tokens: Dat
         members_pairs = stored(_expand(of_large[0].unionByName(of_large[1]).distinct(), members, percent), "members")
         return direct.unionByName(of_heads(members_pairs))
 
-    info, n1 = F.col("info"), F.col("info.n")
-    most = F.least(info["q"], F.col("most_q")) + 1 + F.least(n1 - 1 - info["p"], F.col("most_n") - 1 - F.col("least_p"))
-    viable = most * (100 + percent) >= (n1 + F.col("least_n")) * percent
-    roots = connect(index, known, partial(_near, percent), sketches.select("node", "sketch"), may_link(PARITY_WORDS, percent), check, of_heads,
-                    viable, F.max("info.q").alias("most_q"), F.min("info.p").alias("least_p"), F.min("info.n").alias("least_n"),
-                    F.max("info.n").alias("most_n"))
-    discard(index, sketches, heads, *sets.kept)
+    roots = connect(index, known, partial(_near, percent), sketches.select("node", "sketch"), may_link(WIDTHS[0][1], percent), check, of_heads)
+    discard(index, sketches, *sets.kept)
 
     named = members.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -231,3 +231,99 @@ def test_pairs_of_long_prefixes_leave_the_bucket_join_once(spark):
                                      "node long, sketch struct<buckets:array<long>>")
     pairs = _rest(apart, lambda one, two: F.lit(True), sketches, lambda one, two: F.lit(True))
     assert sorted(map(tuple, pairs.collect())) == [(1, 2), (1, 3), (2, 3)]
+
+
+def test_a_prefix_pair_must_be_able_to_link_from_its_first_common_shingle_on(spark):
+    """Shingles of a common passage come last in the prefixes; there, too few are left for a link."""
+    from pyspark.sql import functions as F
+
+    near = [((100, p, 20), (100, q, 20)) for p, q in ((0, 0), (8, 8), (8, 3), (9, 0), (14, 14))]
+    kind = "struct<n:int,p:int,q:int>"
+    got = spark.createDataFrame(near, f"one {kind}, two {kind}").select(jaccard_join._near(85, F.col("one"), F.col("two"))).collect()
+    assert [r[0] for r in got] == [True, True, True, False, False]
+
+
+def test_documents_with_common_passages_match_all_pairs(frame):
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(160)]
+    docs = []
+    for k in range(30):
+        own = [f"w{k}x{j}" for j in range(rng.choice((15, 30, 300)))]
+        docs += [own + passage, passage[:rng.randint(100, 160)] + own, [*own[:7], f"new{k}", *own[8:], *passage]]
+    data = list(enumerate(" ".join(d) for d in docs))
+    sets = {i: set(jaccard_join.shingles(t, 4).tolist()) for i, t in data}
+    want = united(sets, sets, 85)
+    assert {r["doc_id"]: r["component_id"] for r in jaccard_join.link(frame(data)).collect()} == want
+    assert 3 < len(set(want.values())) < 80
+
+
+def test_star_pairs_are_screened_before_their_sets_are_read(spark):
+    """A bucket's head is unlike the rows of its bucket but one: only that pair is checked."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from strata.llm.common import stored
+    from strata.llm.components import WIDTHS, connect, may_link, parities, words_of
+
+    rng = np.random.default_rng(2)
+    sets = [rng.integers(0, 1 << 48, 500, dtype=np.uint64) for _ in range(8)]
+    sets[1] = np.concatenate([sets[0][:490], sets[1][:10]])
+    sets[2] = np.concatenate([sets[0][:375], sets[2][:125]])  # similarity 0.6
+    rows = [(k, (500, parities(s, words_of(500)), 0, [7])) for k, s in enumerate(sets)]
+    sketches = stored(spark.createDataFrame(rows, "node long, sketch struct<n:int,bits:array<long>,slack:int,buckets:array<long>>"), "sketches")
+    index = stored(spark.createDataFrame([(7, k, 500, 0) for k in range(8)], "bucket long, node long, info int, rank int"), "index")
+    seen = []
+
+    def check(pairs):
+        seen.extend(map(tuple, pairs.collect()))
+        return pairs
+
+    roots = connect(index, None, lambda one, two: F.lit(True), sketches, may_link(WIDTHS[0][1], 80), check)
+    assert [tuple(r) for r in roots.collect()] == [(1, 0)] and seen == [(0, 1)]
+
+
+def test_sketches_of_different_widths_may_link(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from strata.llm.components import WIDTHS, may_link, parities, words_of
+
+    rng, rows = np.random.default_rng(5), []
+    for least, _ in WIDTHS[:-1]:
+        for n in (least - 1, least + 20):
+            own = rng.integers(0, 1 << 48, n, dtype=np.uint64)
+            other = rng.integers(0, 1 << 48, n, dtype=np.uint64)
+            sketch = lambda s: (len(s), parities(s, words_of(len(s))), 0)
+            rows += [(sketch(own), sketch(own[:int(n * 0.85)]), True), (sketch(own), sketch(other), False)]
+    kind = "struct<n:int,bits:array<long>,slack:int>"
+    df = spark.createDataFrame(rows, f"a {kind}, b {kind}, linked boolean")
+    got = df.select("linked", may_link(WIDTHS[0][1], 85)(F.col("a"), F.col("b")).alias("may")).collect()
+    assert all(r["may"] == r["linked"] for r in got)
+
+
+def test_long_lines_have_wide_sketches(spark, frame):
+    """Lines of similarity 0.6 are refused by their sketches, alike ones pass."""
+    from pyspark.sql import functions as F
+
+    from strata.llm.components import may_link
+
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    base = text(600)
+    lines = [base, base[:450] + text(150), base[:580] + text(20), base[:450] + "é" + text(150), base[:300] + "é" + base[301:]]
+    each = line_dedup.lines(frame([(i, s) for i, s in enumerate(lines)]))
+    texts = each.select("node", F.lower("line").alias("text"))
+    one = line_dedup.sketches_of(line_dedup.signatures(each), texts).join(each.select("doc_id", "node"), "node").select("doc_id", "sketch")
+    both = one.where("doc_id = 0").select(F.col("sketch").alias("s")).join(one.where("doc_id > 0"))
+    words = len(one.first()["sketch"]["bits"])
+    got = {r["doc_id"]: r["may"] for r in both.select("doc_id", may_link(words, 80)(F.col("s"), F.col("sketch")).alias("may")).collect()}
+    assert got == {1: False, 2: True, 3: False, 4: True}
+
+
+def test_a_shingle_has_one_hash_in_texts_of_bytes_and_of_parts(spark):
+    from pyspark.sql import functions as F
+
+    text = " ".join(f"word{i}" for i in range(60))
+    df = spark.createDataFrame([(text, text + "é")], "a string, b string")
+    a, b = df.select(line_dedup.shingle_set(F.col("a")), line_dedup.shingle_set(F.col("b"))).first()
+    assert set(a) < set(b) and len(b) == len(a) + 1
