@@ -73,6 +73,59 @@ def test_tables_are_deleted_once_nothing_reads_them(spark, frame, rows):
         assert left and not left & read
 
 
+def test_shuffle_files_go_with_the_plan_that_made_them(spark):
+    """A stored table's lineage ends, so nothing reads its shuffles again."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from strata.llm.common import CLEANUP, stored
+
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {b for b in blocks.getAllBlocks().mkString("\n").split("\n") if b.startswith("shuffle_")}
+    set_before, before = spark.conf.get(CLEANUP, None), files()
+    table = stored(spark.range(5000).groupBy((F.col("id") % 1000).alias("k")).count(), "counts")
+    for _ in range(20):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert table.count() == 1000
+    assert spark.conf.get(CLEANUP, None) == set_before
+
+
+def test_buckets_are_shuffled_in_parts(frame, rows, kept_lines, monkeypatch):
+    """Whatever the number of parts, the same lines are kept, and a large table has several."""
+    from strata.llm import common, components
+
+    written = {}
+
+    def counted(spark, make, parts, kind):
+        written[kind] = max(parts, written.get(kind, 0))
+        return common.stored_in_parts(spark, make, parts, kind)
+
+    monkeypatch.setattr(line_dedup, "PART_LINES", 20)
+    monkeypatch.setattr(components, "PART_ROWS", 2)
+    monkeypatch.setattr(components, "REST_FACTOR", 0)
+    monkeypatch.setattr(components, "MOST_STARS", 1)
+    monkeypatch.setattr(line_dedup, "stored_in_parts", counted)
+    monkeypatch.setattr(components, "stored_in_parts", counted)
+    got = line_dedup.classes(frame(rows)).collect()
+    assert {(r["doc_id"], r["line_no"]): r["keep"] for r in got} == kept_lines[1]
+    assert written["index"] > 1 and written["sketches"] > 1 and written.get("pairs", 2) > 1
+
+
+def test_the_table_of_lines_to_fetch_grows_with_them(spark, monkeypatch):
+    """However many lines share a bucket, most others are not fetched again, and none of them is missed."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(line_dedup, "FETCH_POWERS", (4, 28))
+    every = spark.range(40_000).select(F.xxhash64("id").alias("node"), "id")
+    nodes = every.where("id < 10000").select("node")
+    got = line_dedup.held(every, nodes).agg(F.count_if(F.col("id") < 10_000), F.count("*")).first()
+    assert got[0] == 10_000 and got[1] < 20_000
+
+
 def test_links_within_a_prefix_group(frame):
     """Three sets of equal size and prefix: the head is unlike the two others, which link."""
     words = lambda name, k: [f"{name}{i}" for i in range(k)]
