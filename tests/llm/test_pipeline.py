@@ -77,6 +77,23 @@ def test_run(spark, tmp_path):
     assert len(pieces) == len(got)
 
 
+def test_a_stage_leaves_its_result_until_the_next_is_stored(spark, monkeypatch):
+    from pathlib import Path
+
+    from strata.session import shared_dir
+
+    folder, seen = Path(shared_dir(spark, "llm").removeprefix("file:")), []
+    before = set(folder.glob("stage-*"))
+
+    def stage(spark, docs, sf_dir):
+        seen.append({f.name.split("-")[1] for f in set(folder.glob("stage-*")) - before})
+        return docs.select("doc_id", "text")
+
+    monkeypatch.setattr(p, "STAGES", [(name, stage) for name in "abcd"])
+    assert p.run(spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert seen == [set(), {"a"}, {"b"}, {"c"}]
+
+
 def test_names():
     assert [n for n, _ in p.STAGES] == ["language_id", "line_dedup", "jaccard_join", "decontaminate", "packing"]
     assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 14))
