@@ -91,3 +91,26 @@ def test_merge_sides_are_stored_as_columns(spark, lineitem):
     target, source = registry._financial_merge(spark, lineitem)
     assert "ExistingRDD" not in plan(source) and source.inputFiles()[0].endswith(".parquet")
     assert target.count() > 0 and source.select("incident_id").distinct().count() == source.count() > 0
+
+
+def test_tables_and_files_are_written_by_compiled_methods(spark, tmp_path, monkeypatch):
+    """Sessions whose Java leaves long methods to its interpreter get short ones, while the library writes, and others are left as they are."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from strata import session
+    from strata.sources import io
+
+    seen, before = [], spark.conf.get(session.METHOD_LIMIT, None)
+    for name in ("csv", "saveAsTable"):
+        def spied(self, *args, _real=getattr(DataFrameWriter, name), **options):
+            seen.append(spark.conf.get(session.METHOD_LIMIT, None))
+            return _real(self, *args, **options)
+        monkeypatch.setattr(DataFrameWriter, name, spied)
+    df, flag = spark.range(10).selectExpr("CAST(id AS STRING) AS a"), session.JIT_FLAG
+    for own in (flag, "-XX:-NoSuchFlag"):
+        monkeypatch.setattr(session, "JIT_FLAG", own)
+        io.write_csv(df, str(tmp_path / "csv"))
+        assert io.read_csv(spark, str(tmp_path / "csv")).count() == 10
+        assert io.write_table(df, "compiled_test", "overwrite", str(tmp_path / "table")).count() == 10
+    assert seen == [before, before, "8000", "8000"]
+    assert spark.conf.get(session.METHOD_LIMIT, None) == before
